@@ -153,8 +153,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     rows = docs.withColumn("__skey", key).withColumn("__size", F.expr(WORD_SIZE).cast("long"))
     twins = Window.partitionBy("doc_id", "__skey", "__size").orderBy(F.xxhash64("text"))
     rows = rows.withColumn("__row0", F.row_number().over(twins))
-    s = spans.select(F.col("doc_id").alias("__id"), "skey", F.col("size").alias("__n"), "__row", "__words")
-    out = rows.join(s, rows["doc_id"].eqNullSafe(s["__id"]) & (rows["__skey"] == s["skey"]) & (rows["__size"] == s["__n"]) & (rows["__row0"] == s["__row"]))
+    s = spans.select(F.col("doc_id").alias("__id"), F.col("skey").alias("__sk"), F.col("size").alias("__n"), "__row", "__words")
+    out = rows.join(s, rows["doc_id"].eqNullSafe(s["__id"]) & (rows["__skey"] == s["__sk"]) & (rows["__size"] == s["__n"]) & (rows["__row0"] == s["__row"]))
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     some = F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), "")
     text = F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(some)

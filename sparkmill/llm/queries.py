@@ -5,11 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mix, quality, shards, sketch
+from . import jaccard, mix, quality, repeats, shards, sketch
 from .common import table
 from .oracles import ORACLES
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     led = quality.ledger(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return led.select("*", (~quality.passes("base-1")).alias("base_failed"), quality.passes("strict-1").alias("kept"))
@@ -28,6 +33,10 @@ def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.assign(table(spark, sf_dir, "documents"), leaves, shards.grown(leaves))
 
 
+def op10_toccurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.link_components(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit()}
 
