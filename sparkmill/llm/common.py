@@ -70,3 +70,10 @@ def text_bytes(column: pa.Array):
     at = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
     raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
     return raw, at - at[0]
+
+
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)

@@ -5,11 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, mix, quality, repeats, shards, sketch
-from .common import table
+from . import attribution, huffman, jaccard, licenses, mix, packing, quality, repeats, shards, sketch
+from .common import table, tokenizer_path
 from .oracles import ORACLES
 
 
+def op1_offset_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attribution.attribute(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = huffman.round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), 2)
+    return back.select("doc_id", "start", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+def op3_drr_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), 1)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", F.expr("substr(queue, 2)").alias("source"))
+
+
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
@@ -28,6 +42,10 @@ def op7_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken_words(table(spark, sf_dir, "documents"))
 
 
+def op8_patience_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = shards.tree(2, 3, 4)
     return shards.assign(table(spark, sf_dir, "documents"), leaves, shards.grown(leaves))

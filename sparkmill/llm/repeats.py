@@ -238,7 +238,7 @@ def _cuts(part: _Part, replies: pa.Table, width: int):
 
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """docs with text null'd out of the way: all other columns, kept (binary), n_bytes, n_removed, spans."""
+    """The other columns of docs, and kept (binary), n_bytes, n_removed, spans (removed byte runs)."""
     spark = docs.sparkSession
     parts = buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
     reach = width - gram + width
@@ -304,3 +304,23 @@ def _table(rows, ddl) -> pa.Table:
     names, kinds = zip(*((x.split()[0], {"int": pa.int32(), "binary": pa.binary()}[x.split()[1]]) for x in ddl.split(", ")))
     columns = list(zip(*rows)) or [[]] * len(names)
     return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], names=list(names))
+
+
+def cleaned(docs: DataFrame) -> DataFrame:
+    """docs with the repeats cut from text (and n_chars counted again); columns unchanged.
+
+    A character that lost some of its bytes goes as a whole.
+    """
+    done = remove_repeats(docs)
+
+    def whole(batches):
+        for batch in batches:
+            texts = [b.decode(errors="ignore") for b in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
+
+    rest = [c for c in docs.columns if c != "text"]
+    rows = done.select(F.struct(*rest).alias("row"), "kept")
+    out = rows.mapInArrow(whole, f"row {rows.schema['row'].dataType.simpleString()}, text string").select("row.*", "text")
+    if "n_chars" in rest:
+        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return out.select(*docs.columns)
