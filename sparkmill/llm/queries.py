@@ -11,7 +11,9 @@ from .oracles import ORACLES
 
 
 def op1_offset_attribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attribution.attribute(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+    docs = table(spark, sf_dir, "documents")
+    spans = F.expr("transform(sequence(0, greatest(char_length(text), 1) - 1, 1000), x -> struct(cast(x as long) as lo, cast(x + 1000 as long) as hi))")
+    return attribution.attribute(docs.withColumn("sections", spans), tokenizer_path("byte_bpe_50k.json"), "sections")
 
 
 def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
