@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,12 +37,12 @@ from .suffixes import sort_suffixes
 WIDTH = 50
 GRAM = 19
 HOT = 8
-#: Parts and buckets per shuffle partition.
-SPREAD = 8
+#: Parts, and buckets, per shuffle partition; a part's texts and their hashes are in memory at once.
+PARTS, BUCKETS = 16, 4
 
 _U = np.uint64
-_SEND = "bucket int, part int, h binary, c binary, least binary, pre binary, len binary, ctx binary"
-_FIELDS = [(x.split()[0], {"int": pa.int32(), "binary": pa.binary()}[x.split()[1]]) for x in _SEND.split(", ")]
+_SEND = "bucket int, part int, least binary, pre binary, len binary, ctx binary"
+ALONE, SEVERAL = 255, 128
 
 
 class _Part:
@@ -61,17 +62,41 @@ class _Part:
         lens = np.diff(self.at)
         end = np.repeat(np.where(self.known, self.at[1:], 0), lens)[: len(least)]
         least[np.arange(len(least)) + width > end] = 0  # strings that leave their document
-        # A gram is an anchor if it is the least of some string over it.
+        # A string's anchor is the leftmost gram of least hash in it; anchors do not decrease along the text.
+        start = np.flatnonzero(least)
         best = sliding(np.r_[np.zeros(w - 1, np.uint64), least, np.zeros(w - 1, np.uint64)], w, np.maximum)
         n = min(len(best), len(g))
-        self.q = np.flatnonzero((best[:n] == g[:n]) & (best[:n] > 0))
+        q = np.flatnonzero((best[:n] == g[:n]) & (best[:n] > 0))
+        del best
+        owner = np.searchsorted(q, start)
+        far = np.arange(len(start))
+        while len(far):
+            far = far[g[q[owner[far]]] != least[start[far]]]
+            owner[far] += 1
+        edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
+        self.q = q[owner[edge]]
+        self.lo = start[edge]
+        self.hi = start[np.r_[edge[1:], len(start)] - 1] + width if len(edge) else self.lo
         self.h = g[self.q]
         self.doc = np.searchsorted(self.at, self.q, "right") - 1
-        self.lo = np.maximum(self.at[self.doc], self.q - (w - 1))
-        self.hi = np.minimum(self.at[self.doc + 1], self.q + width)
         self.c = mix(spans(self.s, self.lo, self.hi) + (self.q - self.lo).astype(np.uint64))
 
 
+def _short(h) -> np.ndarray:
+    """The upper 48 bits: enough to find anchors that several documents may have."""
+    return h >> _U(16)
+
+
+def _pack(h48) -> bytes:
+    return h48.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view("<u8").ravel()
+
+
 def _key(h, c):
     return mix(h * _U(3) + c)
 
@@ -97,25 +122,26 @@ def _cut(bucket):
 
 def _anchors(part: _Part, number: int, buckets: int, hot: int):
     """Rows (bucket, part, anchors of one document, of several, of many contexts)."""
-    pair = np.lexsort((part.doc, part.h))
-    h, doc = part.h[pair], part.doc[pair]
+    h = _short(part.h)
+    pair = np.lexsort((part.doc, h))
+    h, doc = h[pair], part.doc[pair]
     new = np.r_[True, h[1:] != h[:-1]] if len(h) else np.zeros(0, bool)
     group = np.cumsum(new) - 1
     several = np.zeros(int(new.sum()), bool)
     several[group[1:][(h[1:] == h[:-1]) & (part.ids[doc[1:]] != part.ids[doc[:-1]])]] = True
     h = h[new]
     context = np.unique(_key(part.h, part.c), return_index=True)[1]
-    many, n = np.unique(part.h[context], return_counts=True)
+    many, n = np.unique(_short(part.h[context]), return_counts=True)
     heated = np.isin(h, many[n >= hot])
-    b = _bucket(h, buckets)
+    b = _bucket(h << _U(16), buckets)
     for number_b, lo, hi in _cut(b):
         one, two, three = h[lo:hi][~several[lo:hi]], h[lo:hi][several[lo:hi] & ~heated[lo:hi]], h[lo:hi][heated[lo:hi]]
-        yield number_b, number, one.tobytes(), two.tobytes(), three.tobytes()
+        yield number_b, number, _pack(one), _pack(two), _pack(three)
 
 
 def _survivors(parts, ones, twos, threes):
     """Rows (part, anchors that two documents have, those of many contexts)."""
-    one, two, three = ([np.frombuffer(x, np.uint64) for x in col] for col in (ones, twos, threes))
+    one, two, three = ([_unpack(x) for x in col] for col in (ones, twos, threes))
     every = np.sort(np.concatenate([*one, *two, *three]))
     kept = np.unique(np.concatenate([every[1:][every[1:] == every[:-1]], *two, *three]))
     hot = np.unique(np.concatenate(three))
@@ -124,7 +150,7 @@ def _survivors(parts, ones, twos, threes):
         own = own[_isin(own, kept)]
         if len(own):
             heated = _isin(own, hot)
-            yield part, own[~heated].tobytes(), own[heated].tobytes()
+            yield part, _pack(own[~heated]), _pack(own[heated])
 
 
 def _isin(x, table):
@@ -134,24 +160,32 @@ def _isin(x, table):
 
 
 def _contexts(part: _Part, number: int, kept, hot, buckets: int, width: int):
-    """Rows as _SEND: distinct contexts of kept anchors, distinct strings over hot ones."""
-    cold = np.flatnonzero(_isin(part.h, kept))
+    """Rows as _SEND: distinct contexts of kept anchors, distinct strings over hot ones (marked ALONE).
+
+    Hashes are not sent, the bucket makes them from the bytes; SEVERAL marks a context that
+    more than one document of the part has.
+    """
+    cold = np.flatnonzero(_isin(_short(part.h), kept))
     h, c, lo, hi, pre, ids = part.h[cold], part.c[cold], part.lo[cold], part.hi[cold], (part.q - part.lo)[cold], part.ids[part.doc[cold]]
-    start = _strings(part, np.flatnonzero(_isin(part.h, hot)), width)
+    start = _strings(part, np.flatnonzero(_isin(_short(part.h), hot)), width)
     if len(start):
         own = mix(spans(part.s, start, start + width))
         doc = np.searchsorted(part.at, start, "right") - 1
         zero = np.zeros(len(start), np.int64)
-        h, c, lo, hi, pre, ids = (np.r_[a, b] for a, b in ((h, own), (c, zero.astype(np.uint64)), (lo, start), (hi, start + width), (pre, zero), (ids, part.ids[doc])))
-    at, least, _ = _unique_min(_key(h, c), ids)
+        h, c, lo, hi, pre, ids = (np.r_[a, b] for a, b in ((h, own), (c, zero.astype(np.uint64)), (lo, start), (hi, start + width), (pre, zero + ALONE), (ids, part.ids[doc])))
+    at, least, place = _unique_min(_key(h, c), ids)
+    several = np.zeros(len(at), bool)
+    several[place[ids != least[place]]] = True
     order = np.argsort(h[at], kind="stable")
-    at, least = at[order], least[order]
+    at, least, several = at[order], least[order], several[order]
     b = _bucket(h[at], buckets)
     lens = hi[at] - lo[at]
     text = part.raw[ragged(lo[at], lens)]
     edge = np.r_[0, np.cumsum(lens)]
+    squeeze = zstandard.ZstdCompressor().compress
     for number_b, i, j in _cut(b):
-        yield number_b, number, h[at[i:j]].tobytes(), c[at[i:j]].tobytes(), least[i:j].tobytes(), pre[at[i:j]].astype(np.uint8).tobytes(), lens[i:j].astype(np.uint8).tobytes(), text[edge[i] : edge[j]].tobytes()
+        marked = (lens[i:j] + SEVERAL * several[i:j]).astype(np.uint8)
+        yield number_b, number, least[i:j].tobytes(), pre[at[i:j]].astype(np.uint8).tobytes(), marked.tobytes(), squeeze(text[edge[i] : edge[j]].tobytes())
 
 
 def _strings(part: _Part, anchors, width):
@@ -160,14 +194,20 @@ def _strings(part: _Part, anchors, width):
     return np.unique(ragged(lo, n))
 
 
-def _least_ids(table: pa.Table, width: int, reach: int):
+def _least_ids(table: pa.Table, width: int, gram: int, reach: int):
     """Rows (part, key, from, to, least): per distinct context, runs of string starts (relative to
     the context) and the least id that has those strings."""
-    cols = {k: table.column(k).to_pylist() for k, _ in _FIELDS if k not in ("bucket", "part")}
-    h, c = (np.concatenate([np.frombuffer(x, np.uint64) for x in cols[k]]) for k in ("h", "c"))
+    cols = {k: table.column(k).to_pylist() for k in ("least", "pre", "len", "ctx")}
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in cols["least"]])
     pre, lens = (np.concatenate([np.frombuffer(x, np.uint8) for x in cols[k]]).astype(np.int64) for k in ("pre", "len"))
-    text = np.frombuffer(b"".join(cols["ctx"]), np.uint8)
+    several, lens = lens >= SEVERAL, lens % SEVERAL
+    loose = zstandard.ZstdDecompressor().decompress
+    text = np.frombuffer(b"".join(loose(x) for x in cols["ctx"]), np.uint8)
+    s, hi = prefixes(text), np.cumsum(lens)
+    lo, alone = hi - lens, pre == ALONE
+    pre[alone] = 0
+    h = mix(spans(s, lo + pre, np.where(alone, hi, lo + pre + gram)))
+    c = np.where(alone, _U(0), mix(spans(s, lo, hi) + pre.astype(np.uint64)))
     rows = np.zeros((len(h), reach), np.uint8)
     rows[np.repeat(np.arange(len(h)), lens), ragged(np.zeros(len(h), np.int64), lens)] = text
     key = _key(h, c)
@@ -205,11 +245,14 @@ def _least_ids(table: pa.Table, width: int, reach: int):
     frm, to, low = start - edge[cls], stop - edge[cls], out_least[start]
     per = np.r_[0, np.cumsum(np.bincount(cls, minlength=len(first)))]
     i = 0
-    for part, raw in zip(table.column("part").to_pylist(), cols["h"]):
-        mine = place[i : i + len(raw) // 8]
-        i += len(raw) // 8
-        r = ragged(per[mine], per[mine + 1] - per[mine])
-        yield part, np.repeat(key[first[mine]], per[mine + 1] - per[mine]).tobytes(), frm[r].astype(np.uint8).tobytes(), to[r].astype(np.uint8).tobytes(), low[r].tobytes()
+    for part, raw in zip(table.column("part").to_pylist(), cols["pre"]):
+        j = i + len(raw)
+        mine, n = place[i:j], per[place[i:j] + 1] - per[place[i:j]]
+        r, k = ragged(per[mine], n), np.repeat(key[first[mine]], n)
+        # Of use only to a document above the least id.
+        of_use = (low[r] < np.repeat(ids[i:j], n)) | np.repeat(several[i:j], n)
+        r, k, i = r[of_use], k[of_use], j
+        yield part, k.tobytes(), frm[r].astype(np.uint8).tobytes(), to[r].astype(np.uint8).tobytes(), low[r].tobytes()
 
 
 def _cuts(part: _Part, replies: pa.Table, width: int):
@@ -229,8 +272,8 @@ def _cuts(part: _Part, replies: pa.Table, width: int):
     if len(key):
         mark(part.lo, _key(part.h, part.c), part.ids[part.doc])
         # Strings over hot anchors were sent alone; where none was, none is found.
-        hot = np.unique(np.frombuffer(b"".join(x or b"" for x in replies.column("hot").to_pylist()), np.uint64))
-        start = _strings(part, np.flatnonzero(_isin(part.h, hot)), width)
+        hot = np.unique(_unpack(b"".join(replies.column("hot").to_pylist())))
+        start = _strings(part, np.flatnonzero(_isin(_short(part.h), hot)), width)
         if len(start):
             own = mix(spans(part.s, start, start + width))
             mark(start, _key(own, np.zeros(len(own), np.uint64)), part.ids[np.searchsorted(part.at, start, "right") - 1])
@@ -240,7 +283,8 @@ def _cuts(part: _Part, replies: pa.Table, width: int):
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """The other columns of docs, and kept (binary), n_bytes, n_removed, spans (removed byte runs)."""
     spark = docs.sparkSession
-    parts = buckets = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, buckets = PARTS * n, BUCKETS * n
     reach = width - gram + width
     others = [c for c in docs.columns if c != "text"]
     number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("__part")
@@ -256,17 +300,17 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
 
     def contexts(key, table, known):
         part = _Part(table, width, gram)
-        kept, heated = (np.sort(np.frombuffer(b"".join(known.column(c).to_pylist()), np.uint64)) for c in ("kept", "hot"))
+        kept, heated = (np.sort(_unpack(b"".join(known.column(c).to_pylist()))) for c in ("kept", "hot"))
         rows = list(_contexts(part, key[0].as_py(), kept, heated, buckets, width)) if table.num_rows else []
         if len(heated) and rows:  # echoed by the bucket: the part's own list of hot anchors
-            rows.append((rows[0][0], key[0].as_py(), *[b""] * 5, heated.tobytes()))
+            rows.append((rows[0][0], key[0].as_py(), *[b""] * 3, _pack(heated)))
         return _table(rows, _SEND)
 
     def least_ids(key, table):
-        bare = [len(x) == 0 for x in table.column("h").to_pylist()]
+        bare = [len(x) == 0 for x in table.column("pre").to_pylist()]
         echoed = [(p, b"", b"", b"", b"", x) for p, x, e in zip(table.column("part").to_pylist(), table.column("ctx").to_pylist(), bare) if e]
         table = table.filter(pa.array([not e for e in bare]))
-        rows = [(*r, b"") for r in _least_ids(table, width, reach)] if table.num_rows else []
+        rows = [(*r, b"") for r in _least_ids(table, width, gram, reach)] if table.num_rows else []
         return _table(rows + echoed, "part int, key binary, frm binary, to binary, low binary, hot binary")
 
     def cuts(key, table, replies):
