@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 
 _U = np.uint64
+try:  # Arrays of a megabyte go back to the system when freed; workers outlive their tasks.
+    ctypes.CDLL(None).mallopt(-3, 1 << 20)
+except (AttributeError, OSError):
+    pass
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Each power array grows to the longest text seen by this worker.
@@ -28,9 +34,9 @@ BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
-        steps = np.full(max(n, 1 << 20), base, np.uint64)
+        steps = np.full(max(n, 1 << 18), base, np.uint64)
         steps[0] = 1
-        have = _powers[base] = np.multiply.accumulate(steps)
+        have = _powers[base] = np.multiply.accumulate(steps, out=steps)
     return have[:n]
 
 

@@ -43,6 +43,7 @@ PARTS, BUCKETS = 16, 4
 _U = np.uint64
 _SEND = "bucket int, part int, least binary, pre binary, len binary, ctx binary"
 ALONE, SEVERAL = 255, 128
+CHUNK = 1 << 14
 
 
 class _Part:
@@ -196,18 +197,32 @@ def _strings(part: _Part, anchors, width):
 
 def _least_ids(table: pa.Table, width: int, gram: int, reach: int):
     """Rows (part, key, from, to, least): per distinct context, runs of string starts (relative to
-    the context) and the least id that has those strings."""
+    the context) and the least id that has those strings.  A bucket is taken CHUNK contexts at
+    a time, never parting those of one anchor."""
     cols = {k: table.column(k).to_pylist() for k in ("least", "pre", "len", "ctx")}
     ids = np.concatenate([np.frombuffer(x, np.int64) for x in cols["least"]])
     pre, lens = (np.concatenate([np.frombuffer(x, np.uint8) for x in cols[k]]).astype(np.int64) for k in ("pre", "len"))
     several, lens = lens >= SEVERAL, lens % SEVERAL
     loose = zstandard.ZstdDecompressor().decompress
     text = np.frombuffer(b"".join(loose(x) for x in cols["ctx"]), np.uint8)
+    part = np.repeat(table.column("part").to_numpy(), [len(x) for x in cols["pre"]])
+    del cols
     s, hi = prefixes(text), np.cumsum(lens)
     lo, alone = hi - lens, pre == ALONE
     pre[alone] = 0
     h = mix(spans(s, lo + pre, np.where(alone, hi, lo + pre + gram)))
     c = np.where(alone, _U(0), mix(spans(s, lo, hi) + pre.astype(np.uint64)))
+    del s
+    order = np.argsort(h, kind="stable")
+    edge = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
+    cut = np.unique(np.r_[edge[np.searchsorted(edge, np.arange(0, len(h), CHUNK))[np.searchsorted(edge, np.arange(0, len(h), CHUNK)) < len(edge)]], len(h)])
+    for a, b in zip(cut, cut[1:]):
+        some = np.sort(order[a:b])
+        own = text[ragged(lo[some], lens[some])]
+        yield from _least_of(part[some], h[some], c[some], ids[some], pre[some], lens[some], several[some], own, width, reach)
+
+
+def _least_of(part, h, c, ids, pre, lens, several, text, width, reach):
     rows = np.zeros((len(h), reach), np.uint8)
     rows[np.repeat(np.arange(len(h)), lens), ragged(np.zeros(len(h), np.int64), lens)] = text
     key = _key(h, c)
@@ -244,15 +259,16 @@ def _least_ids(table: pa.Table, width: int, gram: int, reach: int):
     cls = np.searchsorted(edge, start, "right") - 1
     frm, to, low = start - edge[cls], stop - edge[cls], out_least[start]
     per = np.r_[0, np.cumsum(np.bincount(cls, minlength=len(first)))]
-    i = 0
-    for part, raw in zip(table.column("part").to_pylist(), cols["pre"]):
-        j = i + len(raw)
-        mine, n = place[i:j], per[place[i:j] + 1] - per[place[i:j]]
-        r, k = ragged(per[mine], n), np.repeat(key[first[mine]], n)
+    by = np.argsort(part, kind="stable")
+    for number, i, j in _cut(part[by]):
+        own = by[i:j]
+        n = per[place[own] + 1] - per[place[own]]
+        r, k = ragged(per[place[own]], n), np.repeat(key[first[place[own]]], n)
         # Of use only to a document above the least id.
-        of_use = (low[r] < np.repeat(ids[i:j], n)) | np.repeat(several[i:j], n)
-        r, k, i = r[of_use], k[of_use], j
-        yield part, k.tobytes(), frm[r].astype(np.uint8).tobytes(), to[r].astype(np.uint8).tobytes(), low[r].tobytes()
+        of_use = (low[r] < np.repeat(ids[own], n)) | np.repeat(several[own], n)
+        r, k = r[of_use], k[of_use]
+        if len(r):
+            yield number, k.tobytes(), frm[r].astype(np.uint8).tobytes(), to[r].astype(np.uint8).tobytes(), low[r].tobytes()
 
 
 def _cuts(part: _Part, replies: pa.Table, width: int):
