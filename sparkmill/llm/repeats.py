@@ -112,6 +112,7 @@ def _unique_min(key, ids):
 
 
 def _bucket(h, buckets):
+    h = mix(h + _U(1))  # anchors are least hashes, so small ones: spread them anew
     return ((h >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
 
 
@@ -133,8 +134,10 @@ def _anchors(part: _Part, number: int, buckets: int, hot: int):
     h = h[new]
     context = np.unique(_key(part.h, part.c), return_index=True)[1]
     many, n = np.unique(_short(part.h[context]), return_counts=True)
-    heated = np.isin(h, many[n >= hot])
     b = _bucket(h << _U(16), buckets)
+    by = np.argsort(b, kind="stable")
+    b, h, several = b[by], h[by], several[by]
+    heated = np.isin(h, many[n >= hot])
     for number_b, lo, hi in _cut(b):
         one, two, three = h[lo:hi][~several[lo:hi]], h[lo:hi][several[lo:hi] & ~heated[lo:hi]], h[lo:hi][heated[lo:hi]]
         yield number_b, number, _pack(one), _pack(two), _pack(three)
@@ -177,9 +180,9 @@ def _contexts(part: _Part, number: int, kept, hot, buckets: int, width: int):
     at, least, place = _unique_min(_key(h, c), ids)
     several = np.zeros(len(at), bool)
     several[place[ids != least[place]]] = True
-    order = np.argsort(h[at], kind="stable")
-    at, least, several = at[order], least[order], several[order]
     b = _bucket(h[at], buckets)
+    order = np.lexsort((h[at], b))
+    b, at, least, several = b[order], at[order], least[order], several[order]
     lens = hi[at] - lo[at]
     text = part.raw[ragged(lo[at], lens)]
     edge = np.r_[0, np.cumsum(lens)]
