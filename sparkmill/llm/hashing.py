@@ -2,15 +2,9 @@
 
 from __future__ import annotations
 
-import ctypes
-
 import numpy as np
 
 _U = np.uint64
-try:  # Arrays of a megabyte go back to the system when freed; workers outlive their tasks.
-    ctypes.CDLL(None).mallopt(-3, 1 << 20)
-except (AttributeError, OSError):
-    pass
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Each power array grows to the longest text seen by this worker.

@@ -24,6 +24,8 @@ gives no rows.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -37,8 +39,9 @@ from .suffixes import sort_suffixes
 WIDTH = 50
 GRAM = 19
 HOT = 8
-#: Parts, and buckets, per shuffle partition; a part's texts and their hashes are in memory at once.
-PARTS, BUCKETS = 16, 4
+#: Text bytes of a part, which is in memory at once with its anchors; parts per bucket.
+PART_BYTES, PARTS_A_BUCKET = 1 << 20, 4
+CACHE = 1 << 16
 
 _U = np.uint64
 _SEND = "bucket int, part int, least binary, pre binary, len binary, ctx binary"
@@ -56,31 +59,42 @@ class _Part:
         ids = table.column("__id").to_numpy()
         self.known = ~np.isnan(ids) if ids.dtype.kind == "f" else np.ones(len(ids), bool)
         self.ids = table.column("__id").fill_null(0).to_numpy().astype(np.int64)
-        self.s = prefixes(self.raw)
-        w = width - gram + 1
-        g = grams(self.s, gram)
-        least = sliding(g, w, np.minimum)
-        lens = np.diff(self.at)
-        end = np.repeat(np.where(self.known, self.at[1:], 0), lens)[: len(least)]
-        least[np.arange(len(least)) + width > end] = 0  # strings that leave their document
-        # A string's anchor is the leftmost gram of least hash in it; anchors do not decrease along the text.
-        start = np.flatnonzero(least)
-        best = sliding(np.r_[np.zeros(w - 1, np.uint64), least, np.zeros(w - 1, np.uint64)], w, np.maximum)
-        n = min(len(best), len(g))
-        q = np.flatnonzero((best[:n] == g[:n]) & (best[:n] > 0))
-        del best
-        owner = np.searchsorted(q, start)
-        far = np.arange(len(start))
-        while len(far):
-            far = far[g[q[owner[far]]] != least[start[far]]]
-            owner[far] += 1
-        edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
-        self.q = q[owner[edge]]
-        self.lo = start[edge]
-        self.hi = start[np.r_[edge[1:], len(start)] - 1] + width if len(edge) else self.lo
-        self.h = g[self.q]
+        # Some documents at a time, so that the arrays of hashes stay in the processor's cache.
+        block = self.at[1:] // CACHE
+        cut = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)] if len(block) else np.zeros(1, np.int64)
+        found = [_anchors_of(self.raw[self.at[i] : self.at[j]], self.at[i : j + 1] - self.at[i], self.known[i:j], width, gram) for i, j in zip(cut, cut[1:])]
+        base = [int(self.at[i]) for i in cut[:-1]]
+        self.q, self.lo, self.hi = (np.concatenate([f[k] + o for f, o in zip(found, base)] or [np.zeros(0, np.int64)]) for k in range(3))
+        self.h, self.c = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.uint64)]) for k in (3, 4))
         self.doc = np.searchsorted(self.at, self.q, "right") - 1
-        self.c = mix(spans(self.s, self.lo, self.hi) + (self.q - self.lo).astype(np.uint64))
+
+    @cached_property
+    def s(self):
+        return prefixes(self.raw)
+
+
+def _anchors_of(raw, at, known, width, gram):
+    """(place, from, to, hash, context hash) of the anchors, with the bytes of the strings they stand for."""
+    s = prefixes(raw)
+    w = width - gram + 1
+    g = grams(s, gram)
+    least = sliding(g, w, np.minimum)
+    end = np.repeat(np.where(known, at[1:], 0), np.diff(at))[: len(least)]
+    least[np.arange(len(least)) + width > end] = 0  # strings that leave their document
+    # A string's anchor is the leftmost gram of least hash in it; anchors do not decrease along the text.
+    start = np.flatnonzero(least)
+    best = sliding(np.r_[np.zeros(w - 1, np.uint64), least, np.zeros(w - 1, np.uint64)], w, np.maximum)
+    n = min(len(best), len(g))
+    q = np.flatnonzero((best[:n] == g[:n]) & (best[:n] > 0))
+    owner = np.searchsorted(q, start)
+    far = np.arange(len(start))
+    while len(far):
+        far = far[g[q[owner[far]]] != least[start[far]]]
+        owner[far] += 1
+    edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
+    q, lo = q[owner[edge]], start[edge]
+    hi = start[np.r_[edge[1:], len(start)] - 1] + width if len(edge) else lo
+    return q, lo, hi, g[q], mix(spans(s, lo, hi) + (q - lo).astype(np.uint64))
 
 
 def _short(h) -> np.ndarray:
@@ -301,9 +315,9 @@ def _cuts(part: _Part, replies: pa.Table, width: int):
 
 def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
     """The other columns of docs, and kept (binary), n_bytes, n_removed, spans (removed byte runs)."""
-    spark = docs.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts, buckets = PARTS * n, BUCKETS * n
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    parts = size // PART_BYTES + 1
+    buckets = parts // PARTS_A_BUCKET + 1
     reach = width - gram + width
     others = [c for c in docs.columns if c != "text"]
     number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("__part")
