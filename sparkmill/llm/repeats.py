@@ -81,19 +81,23 @@ def _anchors_of(raw, at, known, width, gram):
     least = sliding(g, w, np.minimum)
     end = np.repeat(np.where(known, at[1:], 0), np.diff(at))[: len(least)]
     least[np.arange(len(least)) + width > end] = 0  # strings that leave their document
-    # A string's anchor is the leftmost gram of least hash in it; anchors do not decrease along the text.
-    start = np.flatnonzero(least)
-    best = sliding(np.r_[np.zeros(w - 1, np.uint64), least, np.zeros(w - 1, np.uint64)], w, np.maximum)
-    n = min(len(best), len(g))
-    q = np.flatnonzero((best[:n] == g[:n]) & (best[:n] > 0))
-    owner = np.searchsorted(q, start)
-    far = np.arange(len(start))
-    while len(far):
-        far = far[g[q[owner[far]]] != least[start[far]]]
-        owner[far] += 1
-    edge = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else np.zeros(0, np.int64)
-    q, lo = q[owner[edge]], start[edge]
-    hi = start[np.r_[edge[1:], len(start)] - 1] + width if len(edge) else lo
+    # A string's anchor is the leftmost gram of least hash in it.  Strings in a row with the same least
+    # hash share it, up to the anchor's own place.
+    edge = np.flatnonzero(np.r_[True, least[1:] != least[:-1]]) if len(least) else np.zeros(0, np.int64)
+    lo, last = edge, np.r_[edge[1:], len(least)][: len(edge)] - 1
+    some = least[lo] > 0
+    lo, last = lo[some], last[some]
+    step = np.arange(w)
+    q = lo + (g[lo[:, None] + step] == least[lo][:, None]).argmax(1)
+    if (last > q).any():  # text that repeats itself: string by string
+        redo = last > q
+        each = ragged(lo[redo], last[redo] - lo[redo] + 1)
+        own = np.concatenate([x + (g[x[:, None] + step] == least[x][:, None]).argmax(1) for x in np.array_split(each, len(each) // 4096 + 1)])
+        edge = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
+        lo, last, q = (np.r_[x[~redo], y] for x, y in ((lo, each[edge]), (last, each[np.r_[edge[1:], len(each)] - 1]), (q, own[edge])))
+        by = np.argsort(lo)
+        lo, last, q = lo[by], last[by], q[by]
+    hi = last + width
     return q, lo, hi, g[q], mix(spans(s, lo, hi) + (q - lo).astype(np.uint64))
 
 
