@@ -2,4 +2,59 @@
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP5 = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
+l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
+li AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
+g AS (SELECT doc_id, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS tri FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS n FROM g) WHERE n > 1),
+r AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM m) GROUP BY doc_id),
+x AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda v: length(v))), 0)::BIGINT AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
+  len(list_filter(w, lambda v: regexp_matches(v, '[A-Z]') AND NOT regexp_matches(v, '[a-z]'))) AS n_upper_words
+  FROM d LEFT JOIN li USING (doc_id) LEFT JOIN r USING (doc_id)),
+b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
+  + 8 * (word_chars < 3 * n_words OR word_chars > 10 * n_words)::INT + 16 * (10 * n_dup_lines > 3 * n_lines)::INT + 32 * (2 * n_upper_words > n_words)::INT)::INT AS fail_bits FROM x)
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
+"""
+
+_U = "((('0x' || substr(md5(doc_id::VARCHAR || '|' || {path}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+
+
+def _draw(path: str, children: str) -> str:
+    """The child of least -ln(u) / w; children: SQL list of structs (c, w)."""
+    u = _U.format(path=f"{path} || '>' || v.c::VARCHAR")
+    return f"list_sort(list_transform({children}, lambda v: {{'d': -ln({u}) / v.w, 'c': v.c}}))[1].c"
+
+
+def _tree(extra: bool) -> str:
+    top = "[{'c': 0, 'w': 12.0::DOUBLE}, {'c': 1, 'w': 12.0::DOUBLE}" + (", {'c': 2, 'w': 1.0::DOUBLE}]" if extra else "]")
+    racks = "CASE WHEN r = 2 THEN [{'c': 0, 'w': 1.0::DOUBLE}] ELSE [{'c': 0, 'w': 4.0::DOUBLE}, {'c': 1, 'w': 4.0::DOUBLE}, {'c': 2, 'w': 4.0::DOUBLE}] END"
+    leaves = "CASE WHEN r = 2 THEN [{'c': 24, 'w': 1.0::DOUBLE}] ELSE list_transform([0, 1, 2, 3], lambda i: {'c': ((r * 3 + k) * 4 + i)::INT, 'w': 1.0::DOUBLE}) END"
+    step1 = f"SELECT doc_id, {_draw(repr(''), top)} AS r FROM documents"
+    step2 = f"SELECT *, {_draw('r::VARCHAR', racks)} AS k FROM ({step1})"
+    return f"SELECT doc_id, {_draw('r::VARCHAR || ' + repr('/') + ' || k::VARCHAR', leaves)} AS s FROM ({step2})"
+
+
+OP9 = f"""
+WITH a AS ({_tree(False)}), b AS ({_tree(True)}),
+d AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 8 AS size, floor(256 * ({_U.format(path="'slot'")}))::INT AS bin FROM documents)
+SELECT doc_id, size, 'key' AS law, a.s::INT AS shard, row_number() OVER (PARTITION BY a.s ORDER BY bin, doc_id) - 1 AS slot, b.s::INT AS grown_shard
+FROM d JOIN a USING (doc_id) JOIN b USING (doc_id)
+"""
+
+OP10 = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, h FROM (
+  SELECT doc_id, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS h FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) >= 3)
+  UNION ALL SELECT doc_id, array_to_string(w, chr(10)) FROM d WHERE len(w) BETWEEN 1 AND 2)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * o >= 90 * (nx.n + ny.n - o)),
+c AS (SELECT doc_id AS v, doc_id AS r FROM d UNION SELECT e.y, c.r FROM c JOIN e ON e.x = c.v)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(c.r) AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.v = d.doc_id GROUP BY 1, 2
+"""
+
+ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "op10_toccurrence_join": OP10}
