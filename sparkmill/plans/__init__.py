@@ -1,11 +1,50 @@
-"""Registered queries over the tables, outside the training-data subpackage."""
+"""Registered queries over the tables, outside the training-data subpackage.
+
+The reference has no operators; these are the provisional match-graph slice.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import operators
+from ..sources import table
+
+
+def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    return rows.groupBy("label").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"), F.max("vec_id").alias("last_id"))
+
+
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.nearest(operators.descriptors(table(spark, sf_dir, "embeddings")))
+
+
+def ratio_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.ratio_matches(nearest(spark, sf_dir))
+
+
+def view_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.view_graph(ratio_matches(spark, sf_dir))
+
+
+_ROWS = """rows_ AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
+  WHERE len(embedding) = 64 AND abs(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) - 1) < 1e-3)"""
+_KNN = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c, b.label AS cl, round(2 - 2 * list_dot_product(a.x, b.x), 6) AS d2
+  FROM rows_ a JOIN rows_ b ON a.label <> b.label WHERE a.vec_id % 20 = 0),
+ knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM pairs) WHERE r <= 2)"""
+_RATIO = f"""{_KNN}, matches AS (SELECT * EXCLUDE (r) FROM (SELECT *, lead(d2) OVER (PARTITION BY q, cl ORDER BY r) AS d2_next FROM knn) WHERE r = 1 AND d2 < 0.95 * 0.95 * d2_next)"""
+
 
 def queries() -> dict:
-    return {}
+    return {"descriptors": descriptors, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "descriptors": f"WITH {_ROWS} SELECT label, count(*) AS n, min(vec_id) AS first_id, max(vec_id) AS last_id FROM rows_ GROUP BY label",
+        "nearest": f"WITH {_KNN} SELECT q, ql, c, cl, d2, r::INT AS r FROM knn",
+        "ratio_matches": f"WITH {_RATIO} SELECT * FROM matches",
+        "view_graph": f"WITH {_RATIO} SELECT least(ql, cl) AS la, greatest(ql, cl) AS lb, count(*) AS n, round(avg(d2), 4) AS mean_d2 FROM matches GROUP BY 1, 2",
+    }
