@@ -2,9 +2,10 @@
 
 1. Signatures.  Sets of linked documents differ in at most 2 * size / 19 shingles (for 0.9),
    so if the hash range is cut into one more piece than that, some piece holds the same
-   shingles in both.  A document sends a hash of each piece, for both size classes that
-   pairs of its size can share; where a piece is empty, the shingles of its 0.9-prefix
-   under that piece stand in for it (two linked sets share one of those).  A signature that
+   shingles in both.  A document sends a hash of each piece that is not empty, for both size
+   classes that pairs of its size can share.  There are more pieces than differences by an
+   eighth; a document with as many empty pieces as that also sends its prefix (its least
+   hashes, of which two linked sets share one).  A signature that
    several documents have joins them, by a star to the least id, into candidate groups;
    no pair of linked documents lies across two groups.
 2. Search.  Only documents of candidate groups have their whole shingle sets shuffled, one
@@ -16,8 +17,8 @@
 
 Skew: copies collapse to one set; signatures are made distinct in every task before the
 shuffle; a group above GROUP sets is cut into blocks and every two blocks meet in a task
-of their own.  Documents that a search would only join to their own component are not
-searched again, so a large group of near copies costs a few probes per document.
+of their own.  Candidates that are in a document's own component already are
+not probed, so a large group of near copies costs a few probes per document.
 
 Edge cases: null or empty texts have an empty set and no links; a null id takes part in no
 link and has a null component; rows that repeat an id are one node; an empty table gives no rows.
@@ -42,6 +43,8 @@ PERCENT = 90
 WORDS = 3
 #: Distinct sets in one search task; a larger group meets block by block.
 GROUP = 1024
+#: One more piece for so many: linked sets then share more pieces than are likely to be empty.
+SPARE = 8
 SPREAD = 4
 FLUSH = 1 << 20
 
@@ -103,16 +106,14 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     mixed, out = mix(s + _PLACE[4]), []
     prefix = s[: n - -(-percent * n // 100) + 1]
     for level in {own, max(own - 1, 0)}:
-        pieces = 2 * (edges[level + 2] - 1) * (100 - percent) // (100 + percent) + 1
+        differ = 2 * (edges[level + 2] - 1) * (100 - percent) // (100 + percent)
+        pieces = differ + 1 + differ // SPARE
         piece = (s >> _U(32)) * _U(pieces) >> _U(32)
         start = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
-        at = piece[start]
-        class_ = np.array([level], np.uint64)
+        at, class_ = piece[start], np.array([level], np.uint64)
         out.append(mix(np.add.reduceat(mixed, start) + at * _PLACE[0] + class_ * _PLACE[1]))
-        if len(at) < pieces:
-            empty = np.setdiff1d(np.arange(pieces, dtype=np.uint64), at)
-            tag = mix(empty * _PLACE[2] + class_ * _PLACE[3] + _U(1))
-            out.append(mix(prefix[None, :] ^ tag[:, None]).ravel())
+        if pieces - len(at) >= pieces - differ:  # all that is sure to agree may be empty in both
+            out.append(mix(prefix ^ mix(class_ * _PLACE[3] + _U(1))))
     return np.concatenate(out)
 
 
@@ -138,9 +139,6 @@ def search(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, in
             x = root[x]
         return x
 
-    def overlap(x, y):
-        return len(np.intersect1d(sets[order[x]], sets[order[y]], assume_unique=True))
-
     def join(x, y):
         links.append((order[x], order[y]))
         a, b = find(x), find(y)
@@ -152,18 +150,6 @@ def search(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, in
         first = int(np.searchsorted(sizes, least))
         if first >= x:
             continue
-        hubs = {find(y) for y in range(first, x)} if x - first <= 64 else {find(y) for y in {*range(first, first + 32), *range(x - 32, x)}}
-        whole = x - first <= 64
-        for y in list(hubs)[:8]:
-            if y >= first and find(y) != find(x) and _linked(overlap(x, y), n, int(sizes[y]), percent):
-                join(x, y)
-        if not whole:
-            roots = np.fromiter((find(y) for y in range(first, x)), np.int64, x - first)
-            done = bool((roots == find(x)).all())
-        else:
-            done = all(find(y) == find(x) for y in range(first, x))
-        if done:
-            continue
         # DivideSkip: long lists aside, so that T - aside occurrences in the short ones are needed.
         own = where[edge[x] : edge[x + 1]]
         lens = lists[own + 1] - lists[own]
@@ -173,15 +159,18 @@ def search(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, in
         short, long_ = own[by[: n - aside]], own[by[n - aside :]]
         need = least - aside
         runs = [posting[lists[t] : lists[t + 1]] for t in short]
-        if sum(map(len, runs)) <= 4096:
+        if sum(map(len, runs)) <= 512:
             met = [(y, sum(1 for _ in g)) for y, g in groupby(heapq.merge(*(r.tolist() for r in runs)))]
+            met = [(y, k) for y, k in met if first <= y < x and k >= need]
         else:  # the same merge of sorted runs, by numpy's merging sort
-            met = list(zip(*(v.tolist() for v in np.unique(np.sort(np.concatenate(runs), kind="stable"), return_counts=True))))
-        for y, count in met:
-            if first <= y < x and count >= need and find(y) != find(x):
+            y, k = np.unique(np.sort(np.concatenate(runs), kind="stable"), return_counts=True)
+            some = (y >= first) & (y < x) & (k >= need)
+            met = list(zip(y[some].tolist(), k[some].tolist()))
+        for y, k in sorted(met, key=lambda m: -m[1]):
+            if find(y) != find(x):  # else their component is known already
                 probe = long_ * len(order) + y
                 hit = flat[np.minimum(np.searchsorted(flat, probe), len(flat) - 1)] == probe
-                if _linked(count + int(hit.sum()), n, int(sizes[y]), percent):
+                if _linked(k + int(hit.sum()), n, int(sizes[y]), percent):
                     join(x, y)
     return links
 
@@ -197,12 +186,25 @@ def _flush(sigs, ids, buckets):
     sig, doc = sig[new], doc[new]
     bucket = (sig >> _U(32)) * _U(buckets) >> _U(32)
     edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    rows = [(int(bucket[a]), 0, sig[a:b].tobytes(), doc[a:b].tobytes()) for a, b in zip(edge, np.r_[edge[1:], len(sig)])]
+    rows = [(int(bucket[a]), 0, sig[a:b].tobytes(), _pack(doc[a:b])) for a, b in zip(edge, np.r_[edge[1:], len(sig)])]
     if stars.shape[1]:
         rows.append((int(stars[0, 0] % buckets), 1, stars[0].tobytes(), stars[1].tobytes()))
     return rows
 
 
+def _pack(ids: np.ndarray) -> bytes:
+    """The least id, then the differences to it in four bytes where they fit, else in eight."""
+    low = ids.min()
+    far = (ids - low).view(np.uint64)
+    return low.tobytes() + (far.astype(np.uint32) if far.max() >> _U(32) == 0 else far).tobytes() + (b"4" if far.max() >> _U(32) == 0 else b"8")
+
+
+def _unpack(raw: bytes) -> np.ndarray:
+    far = np.frombuffer(raw[8:-1], np.uint32 if raw[-1:] == b"4" else np.uint64)
+    return np.frombuffer(raw[:8], np.int64) + far.astype(np.int64)
+
+
+_MEETS = "array<struct<g1:bigint,c:int,i:int,d:int,j:int>>"
 _SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
 
@@ -243,7 +245,7 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         out = []
         sent = [(a, b) for k, a, b in rows if k == 0]
         if sent:
-            sig, doc = np.frombuffer(b"".join(a for a, _ in sent), np.uint64), ints(b"".join(b for _, b in sent))
+            sig, doc = np.frombuffer(b"".join(a for a, _ in sent), np.uint64), np.concatenate([_unpack(b) for _, b in sent])
             order = np.lexsort((doc, sig))
             sig, doc = sig[order], doc[order]
             new = np.r_[True, sig[1:] != sig[:-1]]
@@ -270,18 +272,26 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     # One representative per distinct set, the least id: grouped with partial minima.
     classes = materialize(info.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep")), "classes")
     groups = components(found.where("kind = 1").select("a", "b"))
-    members = classes.join(groups, classes["rep"] == groups["node"]).select("rep", F.col("component").alias("label")).distinct()
+    members = classes.join(groups, classes["rep"] == groups["node"]).select("rep", "n", F.col("component").alias("label")).distinct()
     members = materialize(members, "members")
     count = members.groupBy("label").agg(F.count("*").alias("g")).where("g > 1")
-    placed = members.join(count, "label").select("rep", "label", F.ceil(F.col("g") / group).cast("int").alias("blocks"))
-    placed = placed.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    meets = F.when(F.col("blocks") == 1, F.array(F.struct(F.pmod(F.xxhash64("label"), F.lit(bins)).alias("g1"), F.lit(-1).alias("g2"), F.lit(-1).alias("g3")))).otherwise(
-        F.transform(
-            F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != F.col("block")),
-            lambda k: F.struct(F.col("label").alias("g1"), F.least(k, F.col("block")).alias("g2"), F.greatest(k, F.col("block")).alias("g3")),
-        )
-    )
-    placed = materialize(placed.select("rep", "label", meets.alias("meets")), "placed")
+    placed = members.join(count, "label")
+    edges = F.array(*(F.lit(e) for e in _classes(percent, 1 << 40)))
+    large = placed.where(F.col("g") > group).withColumn("class", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
+    blocks = large.groupBy("label", "class").agg(F.ceil(F.count("*") / (group / 2)).cast("int").alias("m"))
+    near = lambda by: blocks.select("label", (F.col("class") - by).alias("class"), F.col("m").alias(f"m{by}"))
+    large = large.join(near(0), ["label", "class"]).join(near(1), ["label", "class"], "left").join(near(-1), ["label", "class"], "left")
+    large = large.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("m0")).cast("int"))
+    meet = lambda m, f: F.when(F.col(m) > 0, F.transform(F.sequence(F.lit(0), F.col(m) - 1), f)).otherwise(F.array().cast(_MEETS))
+    key = lambda c, i, d, j: F.struct(F.col("label").alias("g1"), c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"))
+    own, i = F.col("class"), F.col("i")
+    here = F.filter(meet("m0", lambda k: key(own, F.least(k, i), own, F.greatest(k, i))), lambda m: (F.col("m0") == 1) | (m["i"] != m["j"]))
+    large = large.select("rep", "label", F.concat(here, meet("m1", lambda k: key(own, i, own + 1, k)), meet("m-1", lambda k: key(own - 1, k, own, i))).cast(_MEETS).alias("meets"))
+    minus = F.lit(-1)
+    bin_ = F.struct(F.pmod(F.xxhash64("label"), F.lit(bins)).alias("g1"), minus.alias("c"), minus.alias("i"), minus.alias("d"), minus.alias("j"))
+    small = placed.where(F.col("g") <= group).select("rep", "label", F.array(bin_).cast(_MEETS).alias("meets"))
+    placed = small.unionByName(large)
+    placed = materialize(placed, "placed")
 
     def whole(batches):
         for batch in slices(batches, "text"):
@@ -306,7 +316,7 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
             out += [(int(rep[places[i]]), int(rep[places[j]])) for i, j in links]
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    links = dealt.groupBy("g1", "g2", "g3").applyInArrow(look, "a long, b long")
+    links = dealt.groupBy("g1", "c", "i", "d", "j").applyInArrow(look, "a long, b long")
     joined = materialize(components(links), "linked")
     best = classes.join(joined, classes["rep"] == joined["node"], "left").select("n", "c", "d", F.coalesce("component", "rep").alias("component"))
     out = info.join(best, ["n", "c", "d"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
