@@ -16,7 +16,7 @@ x AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lamb
   len(list_filter(w, lambda v: regexp_matches(v, '[A-Z]') AND NOT regexp_matches(v, '[a-z]'))) AS n_upper_words
   FROM d LEFT JOIN li USING (doc_id) LEFT JOIN r USING (doc_id)),
 b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
-  + 8 * (word_chars < 3 * n_words OR word_chars > 10 * n_words)::INT + 16 * (10 * n_dup_lines > 3 * n_lines)::INT + 32 * (2 * n_upper_words > n_words)::INT)::INT AS fail_bits FROM x)
+  + 8 * (word_chars < 3 * n_words OR word_chars > 10 * n_words)::INT + 16 * (10 * n_dup_lines > 6 * n_lines)::INT + 32 * (2 * n_upper_words > n_words)::INT)::INT AS fail_bits FROM x)
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 

@@ -24,7 +24,7 @@ RULES = {
     "repeated_words": "100 * n_repeat_words > 50 * n_words",
     "symbols": "10 * n_symbols > n_words",
     "word_length": "word_chars < 3 * n_words or word_chars > 10 * n_words",
-    "repeated_lines": "10 * n_dup_lines > 3 * n_lines",
+    "repeated_lines": "10 * n_dup_lines > 6 * n_lines",
     "shouting": "2 * n_upper_words > n_words",
 }
 BASE = ("few_words", "repeated_words")
