@@ -10,7 +10,7 @@ piece is encoded once per worker, and a text's ids are its pieces' ids joined:
 * both: between a letter and a comma or full stop that ends the piece.
 
 Texts with other white space (runs, tabs, edges) take a slower cut that is exact too.
-The memory is bounded: a full memo is emptied.
+The memory is bounded: a full memo keeps what it has and forgets newer pieces after each batch.
 """
 
 from __future__ import annotations
@@ -21,9 +21,10 @@ from itertools import chain
 
 import numpy as np
 
-MEMO_PIECES = 1_500_000
-_ODD = re.compile(r"[^\S \n]|[ \n]{2}|^[ \n]|[ \n]\Z")
+MEMO_PIECES = 400_000
+_ODD_SPACE = re.compile(r"[^\S \n]")
 _ODD_IN = re.compile(r"[^\S ]|\S |\0|  | \Z")
+_RUNS = ("  ", "\n\n", " \n", "\n ", "\0")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
 
@@ -49,15 +50,14 @@ class Encoder:
 
     @staticmethod
     def _byte_pieces(text: str) -> list[str]:
-        if _ODD.search(text):
+        if text[:1] in " \n" or text[-1:] in " \n" or any(run in text for run in _RUNS) or _ODD_SPACE.search(text):
             return _CUT.split(text)
         # A mark before each space keeps it with the piece that follows.
-        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0") if "\0" not in text else _CUT.split(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
-    def _learn(self, pieces: set[str]) -> None:
+    def _learn(self, pieces: set[str]) -> set[str]:
+        """Encodes the pieces not in memory; returns those that are to be forgotten again."""
         memo = self._memo
-        if len(memo) + len(pieces) > MEMO_PIECES:
-            memo.clear()
         new = {p for p in pieces if p not in memo}
         ended = {p: p[:-1] for p in new if p[-1:] in (",", ".") and p[-2:-1].isalpha()}
         asked = {p for p in chain((p for p in new if p not in ended), ended.values(), ",.") if p not in memo}
@@ -74,12 +74,16 @@ class Encoder:
                 memo[p] = raw[lo + 4 : hi]
         for p, stem in ended.items():
             memo[p] = memo[stem] + memo[p[-1]]
+        return new | asked if len(memo) > MEMO_PIECES else set()
 
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [self._pieces(x) for x in texts]
-        self._learn(set(chain.from_iterable(cut)))
+        spare = self._learn(set(chain.from_iterable(cut)))
         find = self._memo.__getitem__
-        return [b"".join(map(find, pieces)) for pieces in cut]
+        out = [b"".join(map(find, pieces)) for pieces in cut]
+        for piece in spare:
+            del self._memo[piece]
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
