@@ -1,0 +1,34 @@
+from brute import components, removed, rules
+
+import corpus_pipeline as cp
+from sparkmill.llm.common import materialize, table, tokenizer_path
+from sparkmill.llm.tokens import Encoder
+
+DATA = "/root/testdata/sf0.001"
+
+
+def test_stages(spark):
+    docs, seen = table(spark, DATA, "documents"), []
+    for name, stage in cp.STAGES[:-1]:
+        out = materialize(stage(spark, docs, DATA), "t")
+        assert out.columns == docs.columns, name
+        seen.append((docs.collect(), out.collect()))
+        docs = out
+    kept = {r["doc_id"] for r in seen[0][1]}
+    for r in seen[0][0]:
+        n, chars, symbols, _, repeats = rules(r["text"])
+        if n < 50 or 100 * repeats > 50 * n or 10 * symbols > n:
+            assert r["doc_id"] not in kept
+    best = components([(r["doc_id"], r["text"]) for r in seen[1][0]], 5, 80)
+    assert {r["doc_id"] for r in seen[1][1]} == {c for _, c in best.values()}
+    lost = {x[0]: x for x in removed([(r["doc_id"], r["text"]) for r in seen[2][0]])}
+    for r in seen[2][1]:
+        _, n, gone, _, _ = lost[r["doc_id"]]
+        assert 0 <= n - gone - len(r["text"].encode()) <= 6 * (gone > 0) * lost[r["doc_id"]][3]
+        assert r["n_chars"] == len(r["text"])
+    source = {r["doc_id"]: r["text"] for r in seen[3][0]}
+    assert sum(r["text"] == source[r["doc_id"]] for r in seen[3][1]) >= len(seen[3][1]) - 20
+    assert all(source[r["doc_id"]].startswith(r["text"].rstrip()) for r in seen[3][1])
+    pieces = cp.STAGES[-1][1](spark, docs, DATA).collect()
+    encode = Encoder(tokenizer_path("word_bpe_49k.json")).tokenizer.encode
+    assert sum(r["length"] for r in pieces) == sum(len(encode(r["text"], add_special_tokens=False).ids) + 1 for r in docs.collect())
