@@ -7,9 +7,12 @@ piece is encoded once per worker, and a text's ids are its pieces' ids joined:
 * ``byte`` files (byte-level BPE): a match never runs over a space that has a
   non-space on both sides, nor over a single line break between two non-spaces.
 * ``word`` files (white space dropped): any space or line break.
-* both: between a letter and a comma or full stop that ends the piece.
+* both: between a letter (in lower case still one at its end) and a run of ASCII punctuation (no apostrophe) that ends the piece.
 
 Texts with other white space (runs, tabs, edges) take a slower cut that is exact too.
+A piece of Latin letters alone is one word to the pre-tokenizer, so it goes straight to the
+library's BPE model; all others go through the whole tokenizer.  Probes at the start hold the
+two ways together, and a file where they differ has only the second.
 The memory is bounded: a full memo keeps what it has and forgets newer pieces after each batch.
 """
 
@@ -18,6 +21,7 @@ from __future__ import annotations
 import os
 import re
 from itertools import chain
+from struct import pack
 
 import numpy as np
 
@@ -26,6 +30,17 @@ _ODD_SPACE = re.compile(r"[^\S \n]")
 _ODD_IN = re.compile(r"[^\S ]|\S |\0|  | \Z")
 _RUNS = ("  ", "\n\n", " \n", "\n ", "\0")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+_PLAIN = re.compile("[ ]?[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_TAIL = "!\"#$%&)*,-./:;?@]_}~"
+_PROBES = ("a", "The", " the", "Über", " naïveté", "ÀÖØÞßÿ", " antidisestablishmentarianism", "QzxWvK")
+
+
+def _byte_letters() -> dict[int, str]:
+    """Byte-level spelling of the space and the letters of _PLAIN: printable bytes stand for themselves, the others follow from 256 on."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
+    others = [b for b in range(256) if b not in shown]
+    name = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+    return {c: "".join(name[b] for b in chr(c).encode()) for c in range(256) if c == 32 or chr(c).isalpha()}
 
 
 class Encoder:
@@ -43,6 +58,17 @@ class Encoder:
         self._mark, self._mark_in = (" 1 ", "1") if words_only else ("\n", "\n")
         (self._mark_id,) = t.encode(self._mark_in, add_special_tokens=False).ids
         self._memo: dict[str, bytes] = {}
+        self._model, self._letters, self._lower = t.model, _byte_letters(), words_only
+        probes = [p for p in _PROBES if not (words_only and p[0] == " ")]
+        whole = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(probes, add_special_tokens=False)]
+        self._plain = _PLAIN.fullmatch if [self._word(p) for p in probes] == whole else lambda piece: None
+
+    def _word(self, piece: str) -> bytes:
+        """The ids of a piece of Latin letters."""
+        if self._lower:
+            piece = piece.lower()
+        ids = [token.id for token in self._model.tokenize(piece.translate(self._letters))]
+        return pack(f"<{len(ids)}I", *ids)
 
     @staticmethod
     def _word_pieces(text: str) -> list[str]:
@@ -58,13 +84,18 @@ class Encoder:
     def _learn(self, pieces: set[str]) -> set[str]:
         """Encodes the pieces not in memory; returns those that are to be forgotten again."""
         memo = self._memo
-        new = {p for p in pieces if p not in memo}
-        ended = {p: p[:-1] for p in new if p[-1:] in (",", ".") and p[-2:-1].isalpha()}
-        asked = {p for p in chain((p for p in new if p not in ended), ended.values(), ",.") if p not in memo}
-        alone = [p for p in asked if len(p) > 100 or self._mark_in in p or _ODD_IN.search(p) or not p]
+        new = pieces.difference(memo)
+        stems = ((p, p.rstrip(_TAIL)) for p in new)
+        ended = {p: stem for p, stem in stems if len(stem) < len(p) and stem[-1:].lower()[-1:].isalpha()}
+        tails = {p[len(stem) :] for p, stem in ended.items()}
+        asked = {p for p in chain((p for p in new if p not in ended), ended.values(), tails) if p not in memo}
+        for p in filter(self._plain, asked):
+            memo[p] = self._word(p)
+        asked_whole = {p for p in asked if p not in memo}
+        alone = [p for p in asked_whole if len(p) > 100 or self._mark_in in p or _ODD_IN.search(p) or not p]
         for p, e in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
             memo[p] = np.array(e.ids, "<u4").tobytes()
-        together = list(asked.difference(alone))
+        together = list(asked_whole.difference(alone))
         for i in range(0, len(together), 4096):
             some = together[i : i + 4096]
             (e,) = self.tokenizer.encode_batch_fast([self._mark.join(some)], add_special_tokens=False)
@@ -73,7 +104,7 @@ class Encoder:
             for p, lo, hi in zip(some, [-4, *ends[:-1]], ends, strict=True):
                 memo[p] = raw[lo + 4 : hi]
         for p, stem in ended.items():
-            memo[p] = memo[stem] + memo[p[-1]]
+            memo[p] = memo[stem] + memo[p[len(stem) :]]
         return new | asked if len(memo) > MEMO_PIECES else set()
 
     def ids(self, texts: list[str]) -> list[bytes]:

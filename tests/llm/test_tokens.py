@@ -18,6 +18,8 @@ SCHEMA = "doc_id long, text string, source string, ids int"
 def texts():
     r = random.Random(1)
     out = ["", " ", "\n", "a  b", "a\n\nb", "a \nb", "\ta b\t", "x　 y", "don't  stop 's", "a\x1cb \x1c c", "<|endoftext|> a", "é́ ΑΣ ΑΣ.", "a\0 b\0\nc", "ª. b, ²."]
+    out += ["Straße! ÀÖØ?) Überraſchung;", "word%%% Word\".-- naïve:/ İ, aİ$ x́. ß@_ µª!", "l'été... l'ÉTÉ** don't, 'S. rock'n'roll!"]
+    out += [" ".join("".join(r.choice("abcDEFüÉİ'") for _ in range(r.randrange(1, 8))) + "".join(r.choice(".,!%)'́<9") for _ in range(r.randrange(4))) for _ in range(8)) for _ in range(1500)]
     return out + ["".join(r.choice([" ", "\n", "a", "B", "1", "'s", ".", ",", "\t", "é", " ", "日", "\r", "\0"]) for _ in range(r.randrange(14))) for _ in range(4000)]
 
 
