@@ -59,6 +59,7 @@ class Encoder:
         (self._mark_id,) = t.encode(self._mark_in, add_special_tokens=False).ids
         self._memo: dict[str, bytes] = {}
         self._model, self._letters, self._lower = t.model, _byte_letters(), words_only
+        self._raw = [pack("<I", i) for i in range(t.get_vocab_size())]
         probes = [p for p in _PROBES if not (words_only and p[0] == " ")]
         whole = [np.array(e.ids, "<u4").tobytes() for e in t.encode_batch_fast(probes, add_special_tokens=False)]
         self._plain = _PLAIN.fullmatch if [self._word(p) for p in probes] == whole else lambda piece: None
@@ -67,8 +68,12 @@ class Encoder:
         """The ids of a piece of Latin letters."""
         if self._lower:
             piece = piece.lower()
-        ids = [token.id for token in self._model.tokenize(piece.translate(self._letters))]
-        return pack(f"<{len(ids)}I", *ids)
+        if not piece.isascii():
+            piece = piece.translate(self._letters)
+        elif piece[0] == " ":
+            piece = self._letters[32] + piece[1:]
+        found = self._model.tokenize(piece)
+        return b"".join([self._raw[token.id] for token in found])
 
     @staticmethod
     def _word_pieces(text: str) -> list[str]:
