@@ -205,6 +205,10 @@ def _unpack(raw: bytes) -> np.ndarray:
 
 
 _MEETS = "array<struct<g1:bigint,c:int,i:int,d:int,j:int>>"
+#: A set's place: its block i of `own` in its size class, and the blocks of the classes above and below; null in small groups.
+_PLACED = ["rep", "label", "class", "i", "own", "above", "below"]
+#: A row of these in a broadcast: 64 bytes, and as many for its share of the hash table.
+PLACED_BYTES = 128
 _SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
 
@@ -263,6 +267,18 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
     return materialize(sent.groupBy("bucket").applyInArrow(meet, "kind int, a long, b long, c long, d long"), "signatures")
 
 
+def _meets(bins: int):
+    """The tasks a placed set goes to, one for every block it meets: made after any broadcast, as their number grows with the group."""
+    of, i = F.col("class"), F.col("i")
+    key = lambda c, i, d, j: F.struct(F.col("label").alias("g1"), c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"))
+    meet = lambda m, f: F.when(F.col(m) > 0, F.transform(F.sequence(F.lit(0), F.col(m) - 1), f)).otherwise(F.array().cast(_MEETS))
+    here = F.filter(meet("own", lambda k: key(of, F.least(k, i), of, F.greatest(k, i))), lambda m: (F.col("own") == 1) | (m["i"] != m["j"]))
+    large = F.concat(here, meet("above", lambda k: key(of, i, of + 1, k)), meet("below", lambda k: key(of - 1, k, of, i))).cast(_MEETS)
+    minus = F.lit(-1)
+    bin_ = F.struct(F.pmod(F.xxhash64("label"), F.lit(bins)).alias("g1"), minus.alias("c"), minus.alias("i"), minus.alias("d"), minus.alias("j"))
+    return F.when(of.isNull(), F.array(bin_).cast(_MEETS)).otherwise(large)
+
+
 def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs."""
     spark = docs.sparkSession
@@ -279,31 +295,22 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     edges = F.array(*(F.lit(e) for e in _classes(percent, 1 << 40)))
     large = placed.where(F.col("g") > group).withColumn("class", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
     blocks = large.groupBy("label", "class").agg(F.ceil(F.count("*") / (group / 2)).cast("int").alias("m"))
-    near = lambda by: blocks.select("label", (F.col("class") - by).alias("class"), F.col("m").alias(f"m{by}"))
-    large = large.join(near(0), ["label", "class"]).join(near(1), ["label", "class"], "left").join(near(-1), ["label", "class"], "left")
-    large = large.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("m0")).cast("int"))
-    meet = lambda m, f: F.when(F.col(m) > 0, F.transform(F.sequence(F.lit(0), F.col(m) - 1), f)).otherwise(F.array().cast(_MEETS))
-    key = lambda c, i, d, j: F.struct(F.col("label").alias("g1"), c.alias("c"), i.alias("i"), d.alias("d"), j.alias("j"))
-    own, i = F.col("class"), F.col("i")
-    here = F.filter(meet("m0", lambda k: key(own, F.least(k, i), own, F.greatest(k, i))), lambda m: (F.col("m0") == 1) | (m["i"] != m["j"]))
-    large = large.select("rep", "label", F.concat(here, meet("m1", lambda k: key(own, i, own + 1, k)), meet("m-1", lambda k: key(own - 1, k, own, i))).cast(_MEETS).alias("meets"))
-    minus = F.lit(-1)
-    bin_ = F.struct(F.pmod(F.xxhash64("label"), F.lit(bins)).alias("g1"), minus.alias("c"), minus.alias("i"), minus.alias("d"), minus.alias("j"))
-    small = placed.where(F.col("g") <= group).select("rep", "label", F.array(bin_).cast(_MEETS).alias("meets"))
-    placed = small.unionByName(large)
-    placed = materialize(placed, "placed")
+    near = lambda by, name: blocks.select("label", (F.col("class") - by).alias("class"), F.col("m").alias(name))
+    large = large.join(near(0, "own"), ["label", "class"]).join(near(1, "above"), ["label", "class"], "left").join(near(-1, "below"), ["label", "class"], "left")
+    large = large.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("own")).cast("int")).select(*_PLACED)
+    small = placed.where(F.col("g") <= group).select("rep", "label", *(F.lit(None).cast("int").alias(c) for c in _PLACED[2:]))
+    placed = materialize(small.unionByName(large), "placed")
 
     def whole(batches):
         for batch in slices(batches, "text"):
-            sets = [s.tobytes() for s in shingle_sets(batch.column(3), words)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(sets, pa.binary())], ["rep", "label", "meets", "s"])
+            sets = [s.tobytes() for s in shingle_sets(batch.column(len(_PLACED)), words)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sets, pa.binary())], [*_PLACED, "s"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    small = sized(placed, 64)
-    sets = texts.join(small, texts["doc_id"] == small["rep"]).select("rep", "label", "meets", "text")
-    kind = placed.schema["meets"].dataType.simpleString()
-    sets = sets.mapInArrow(whole, f"rep long, label long, meets {kind}, s binary")
-    dealt = sets.select("rep", "label", "s", F.explode("meets").alias("m")).select("rep", "label", "s", "m.*")
+    small = sized(placed, PLACED_BYTES)
+    sets = texts.join(small, texts["doc_id"] == small["rep"]).select(*_PLACED, "text")
+    sets = sets.mapInArrow(whole, ", ".join(f"{c} {t}" for c, t in placed.dtypes) + ", s binary")
+    dealt = sets.select("rep", "label", "s", F.explode(_meets(bins)).alias("m")).select("rep", "label", "s", "m.*")
 
     def look(table):
         label, rep = table.column("label").to_numpy(), table.column("rep").to_numpy()

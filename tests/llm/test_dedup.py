@@ -85,6 +85,24 @@ def test_signatures_of_linked_sets_meet():
             assert len(np.intersect1d(sa, sb)), (len(a), len(b), shared)
 
 
+def test_rows_counted_for_a_broadcast_are_as_small_as_counted(spark, monkeypatch):
+    r = random.Random(9)
+    words = ["w%d" % i for i in range(400)]
+    base = [r.choice(words) for _ in range(150)]
+    rows = [(i, " ".join("x%d" % i if k == i else w for k, w in enumerate(base))) for i in range(90)]
+    counted = []
+
+    def sized(df, row_bytes):
+        cell = lambda v: 8 + (56 * len(v) if isinstance(v, list) else 0)
+        counted.append((row_bytes, max((8 + sum(map(cell, x)) for x in df.collect()), default=0)))
+        return df
+
+    monkeypatch.setattr(jaccard, "sized", sized)
+    got = {x[0]: tuple(x)[1:] for x in jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string"), group=4).collect()}
+    assert got == components(rows) and len({c for _, c in got.values()}) == 1
+    assert counted and all(largest <= row_bytes for row_bytes, largest in counted), counted
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert repeats.remove_repeats(docs).count() == 0
