@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, sized
@@ -184,12 +184,24 @@ def read_blocks(files: DataFrame, book: DataFrame) -> DataFrame:
     return files.mapInArrow(run, "part int, at long, doc_id long, ids binary")
 
 
+def file_bases(files: DataFrame) -> DataFrame:
+    """(part, base): ids before each part, from the blocks of the files alone."""
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    totals = files.groupBy("part").agg(F.sum("n").alias("n"))
+    return totals.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+
+
 def round_trip(docs: DataFrame, path: str, end_id: int) -> DataFrame:
     """doc_id, start, ids: the corpus encoded, written in ascending doc_id order and read back."""
-    from .streams import bases, encoded, id_counts
+    from .streams import encoded, id_counts
 
     ids = encoded(docs, path, end_id)
     lengths = code_lengths(id_counts(ids))
     files, book = write_blocks(ids, lengths), write_code_book(docs.sparkSession, lengths)
-    base = materialize(bases(ids), "bases").select("part", "base")
+    return read_back(files, book)
+
+
+def read_back(files: DataFrame, book: DataFrame) -> DataFrame:
+    """doc_id, start, ids from the files and the code book alone."""
+    base = materialize(file_bases(files), "bases")
     return read_blocks(files, book).join(sized(base, 32), "part").select("doc_id", (F.col("base") + F.col("at")).alias("start"), "ids")

@@ -63,6 +63,17 @@ def test_files_read_back(spark, given):
     assert sorted(got, key=lambda x: x[1]) == want
 
 
+def test_starts_come_from_the_files(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(huffman, "write_blocks", lambda *x, w=huffman.write_blocks: held.append(w(*x)) or held[0].where(f"part <> {first(held[0])}"))
+    first = lambda files: min(r["part"] for r in files.select("part").collect())
+    docs = table(spark, f"{DATA}/sf0.001", "documents")
+    got = sorted((r["start"], len(r["ids"]) // 4) for r in huffman.round_trip(docs, tokenizer_path(BYTE), 2).collect())
+    lost = sum(r["n"] for r in held[0].where(f"part = {first(held[0])}").collect())
+    assert lost and got[0][0] == 0  # ids of a block that is not there are not counted
+    assert all(a + n == b for (a, n), (b, _) in zip(got, got[1:]))
+
+
 @pytest.mark.parametrize("given,group", [("rows", 2), ("table", 8), ("none", 8)])
 def test_packing(spark, given, group):
     docs = spark.createDataFrame(ROWS if given == "rows" else [], SCHEMA) if given != "table" else table(spark, f"{DATA}/sf0.001", "documents")
