@@ -6,11 +6,15 @@ anchors are aligned the same way, where more words are unique; equal words at a
 count as well.  Coverage is matched template words over template words.
 
 A text is aligned in windows of 1.5 template lengths, half a length apart, so that every
-occurrence lies whole in one and repeated notices stay unique in theirs.  A window is skipped
-only if it holds too few words of the template for the coverage asked: a bound, not a guess.
-
-Edge cases: a null, empty or wordless text has no matches; ties of coverage keep the earliest
-window; null ids and repeated rows are scanned row by row; an empty table gives no rows.
+stretch of one length lies whole in one.  A window is aligned if it holds half the words of the
+template that the coverage asks (a notice spread over two lengths has them in some window: a
+bound, not a guess) and is then extended by half a length to either side while that matches
+more of the template: one word in four of those added, or most of what is missing.  Covered
+windows are taken by coverage, none over another; what lies between is scanned again, so a
+notice that shared its windows with a copy is found as well.
+
+Edge cases: a null, empty or wordless text has no matches; of overlapping windows with equal
+coverage the earliest is kept; null ids and repeated rows are scanned row by row; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -118,9 +122,10 @@ class Scanner:
         for k, t in self.templates.items():
             self.member[k] = np.zeros(len(self.vocabulary) + 1, bool)
             self.member[k][[self.vocabulary[w] for w in t]] = True
+        self.count = {k: np.bincount([self.vocabulary[w] for w in t], minlength=len(self.vocabulary) + 1) for k, t in self.templates.items()}
 
     def scan(self, text: str | None):
-        """(template, matched words, template words, first word, end word) of the best window of each template that is covered."""
+        """(template, matched words, template words, first word, end word) of every covered window, none over another of its template."""
         ws = words(text or "")
         if not ws:
             return
@@ -128,22 +133,69 @@ class Scanner:
         if not ids.any():
             return
         for name, t in self.templates.items():
-            m = len(t)
             hits = np.r_[0, np.cumsum(self.member[name][ids])]
-            size, step = m + (m + 1) // 2, max(1, m // 2)
-            start = np.arange(0, max(len(ws) - m // 2, 0) + 1, step)
-            inside = hits[np.minimum(start + size, len(ws))] - hits[start]
-            best = None
-            for s in start[inside >= np.ceil(self.coverage * m)].tolist():
-                pairs = align(t, ws[s : s + size])
-                if len(pairs) >= self.coverage * m and (best is None or len(pairs) > best[1]):
-                    best = (name, len(pairs), m, s + pairs[0][1], s + pairs[-1][1] + 1)
-            if best:
-                yield best
+            found, rest = [], [(0, len(ws))]
+            while rest:
+                lo, hi = rest.pop()
+                some = self._covered(name, ws, ids, hits, lo, hi)
+                if some:
+                    found += some
+                    edges = [lo, *(x for _, a, b in some for x in (a, b)), hi]
+                    rest += zip(edges[::2], edges[1::2])
+            for n, a, b in sorted(found, key=lambda x: x[1]):
+                yield name, n, len(t), a, b
+
+    def _covered(self, name: str, ws: list[bytes], ids: np.ndarray, hits: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
+        """(matched, first word, end word), ascending and apart, of covered windows inside ws[lo:hi]."""
+        t, count = self.templates[name], self.count[name]
+        m, most = len(t), self.coverage * len(t)
+        if hits[hi] - hits[lo] < most:
+            return []
+        size, step = m + (m + 1) // 2, max(1, m // 2)
+        start = np.arange(lo, max(hi - m // 2, lo) + 1, step)
+        inside = hits[np.minimum(start + size, hi)] - hits[start]
+        met = []
+        for s in start[inside >= np.ceil(most / 2)].tolist():
+            e = min(s + size, hi)
+            if np.minimum(np.bincount(ids[s:e], minlength=len(count)), count).sum() < most / 2:
+                continue
+            n, a, b = self._extended(t, ws, s, e, step, lo, hi)
+            if n >= most:
+                met.append((n, a, b))
+        out = []
+        for n, a, b in sorted(set(met), key=lambda x: (-x[0], x[1], x[2])):
+            k = bisect_left(out, (a,), key=lambda x: x[1:2])
+            if (k == 0 or out[k - 1][2] <= a) and (k == len(out) or b <= out[k][1]):
+                out.insert(k, (n, a, b))
+        return out
+
+    def _extended(self, t: list[bytes], ws: list[bytes], s: int, e: int, step: int, lo: int, hi: int) -> tuple[int, int, int]:
+        """(matched, first word, end word) of the window s:e, widened while it gains."""
+        pairs = align(t, ws[s:e])
+        grown = True
+        while grown and len(pairs) < len(t):
+            grown = False
+            gain = max(1, min((step + 3) // 4, int(self.coverage * (len(t) - len(pairs)))))
+            for s1, e1 in ((s, min(e + step, hi)), (max(s - step, lo), e)):
+                if (s1, e1) != (s, e):
+                    more = align(t, ws[s1:e1])
+                    if len(more) >= len(pairs) + gain:
+                        pairs, s, e, grown = more, s1, e1, True
+                        break
+        if not pairs:
+            return 0, s, s
+        n, a, b = len(pairs), s + pairs[0][1], s + pairs[-1][1] + 1
+        short = len(t) - n
+        if short and n >= self.coverage * len(t):  # without the neighbours' words more of its own are unique
+            for s, e in ((a, min(b + short, hi)), (max(a - short, lo), b)):
+                more = align(t, ws[s:e])
+                if len(more) > n:
+                    n, a, b = len(more), s + more[0][1], s + more[-1][1] + 1
+        return n, a, b
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, license, coverage, matched_words, template_words, word_lo, word_hi: one row per document and covered template."""
+    """doc_id, license, coverage, matched_words, template_words, word_lo, word_hi: one row per document and covered stretch of a template."""
     templates = TEMPLATES if templates is None else templates
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), *((c, pa.int64()) for c in ("matched_words", "template_words", "word_lo", "word_hi"))])

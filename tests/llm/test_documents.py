@@ -137,6 +137,22 @@ def test_licenses(spark, none):
         assert {i for i, x in lines.items() if t[k] in x} == {i for i, name in found if name == k}
 
 
+def test_repeated_and_stretched_notices():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    spans = lambda text, name: [x[1:] for x in scanner.scan(text) if x[0] == name]
+    for name in ("mit", "apache-2.0", "gpl-3.0", "mit-text", "gpl-3.0-header"):
+        t, n = licenses.TEMPLATES[name], len(licenses.words(licenses.TEMPLATES[name]))
+        for gap in (0, 1, 3, 400):
+            text = (t + " " + "q " * gap) * 5
+            assert spans(text, name) == [(n, n, k * (n + gap), k * (n + gap) + n) for k in range(5)], (name, gap)
+        for every in (1, 2):  # foreign words after each, or after every second
+            ws = licenses.words(t)
+            long_ = b" ".join(w + (b" q%d" % i if i % every == 0 else b"") for i, w in enumerate(ws)).decode()
+            width = n + (n - 1 + every - 1) // every
+            got = spans("x " * 37 + long_ + " y" * 300, name)
+            assert [x[2] for x in got] == [37] and got[0][0] >= 0.95 * n and abs(got[0][3] - 37 - width) <= 1, (name, every, got)
+
+
 def test_alignment_is_monotone_and_equal():
     import random
 
