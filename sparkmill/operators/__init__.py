@@ -11,11 +11,23 @@ from ..functions import squared_distance
 BLOCK = 64
 
 
+def _checked(vectors: DataFrame, dim: int) -> DataFrame:
+    """vec_id, label, x and why a vector is of no use (null for those that are)."""
+    norm = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
+    rows = vectors.select("vec_id", "label", F.col("embedding").cast("array<double>").alias("x"))
+    why = F.when(F.col("x").isNull() | F.exists("x", F.isnull), "null").when(F.size("x") != dim, "length")
+    return rows.withColumn("why", why.when(~F.coalesce(F.abs(norm - 1) < 1e-3, F.lit(False)), "norm"))
+
+
 def descriptors(vectors: DataFrame, dim: int = 64) -> DataFrame:
     """vec_id, label, x (array<double>): vectors of the right length and unit norm."""
-    x = F.col("embedding").cast("array<double>")
-    norm = F.aggregate("x", F.lit(0.0), lambda s, v: s + v * v)
-    return vectors.select("vec_id", "label", x.alias("x")).where((F.size("x") == dim) & (F.abs(norm - 1) < 1e-3))
+    return _checked(vectors, dim).where("why is null").drop("why")
+
+
+def rejects(vectors: DataFrame, dim: int = 64) -> DataFrame:
+    """One row: n_rows, n_null (a null vector or value), n_length, n_norm; what descriptors leaves out, each row under its first fault."""
+    of = lambda why: F.count(F.when(F.col("why") == why, 1)).alias(f"n_{why}")
+    return _checked(vectors, dim).agg(F.count("*").alias("n_rows"), of("null"), of("length"), of("norm"))
 
 
 def nearest(rows: DataFrame, k: int = 2, every: int = 20) -> DataFrame:

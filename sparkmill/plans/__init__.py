@@ -17,6 +17,10 @@ def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("label").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"), F.max("vec_id").alias("last_id"))
 
 
+def descriptor_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.rejects(table(spark, sf_dir, "embeddings"))
+
+
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.nearest(operators.descriptors(table(spark, sf_dir, "embeddings")))
 
@@ -36,14 +40,19 @@ _KNN = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c
  knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM pairs) WHERE r <= 2)"""
 _RATIO = f"""{_KNN}, matches AS (SELECT * EXCLUDE (r) FROM (SELECT *, lead(d2) OVER (PARTITION BY q, cl ORDER BY r) AS d2_next FROM knn) WHERE r = 1 AND d2 < 0.95 * 0.95 * d2_next)"""
 
+_REJECTS = """WITH v AS (SELECT embedding IS NULL OR len(embedding) <> list_count(embedding) AS gap, embedding::DOUBLE[] AS x FROM embeddings),
+ w AS (SELECT CASE WHEN gap THEN 'null' WHEN len(x) <> 64 THEN 'length' WHEN NOT coalesce(abs(list_dot_product(x, x) - 1) < 1e-3, false) THEN 'norm' END AS why FROM v)
+ SELECT count(*) AS n_rows, count(*) FILTER (why = 'null') AS n_null, count(*) FILTER (why = 'length') AS n_length, count(*) FILTER (why = 'norm') AS n_norm FROM w"""
+
 
 def queries() -> dict:
-    return {"descriptors": descriptors, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph}
+    return {"descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "descriptors": f"WITH {_ROWS} SELECT label, count(*) AS n, min(vec_id) AS first_id, max(vec_id) AS last_id FROM rows_ GROUP BY label",
+        "descriptor_rejects": _REJECTS,
         "nearest": f"WITH {_KNN} SELECT q, ql, c, cl, d2, r::INT AS r FROM knn",
         "ratio_matches": f"WITH {_RATIO} SELECT * FROM matches",
         "view_graph": f"WITH {_RATIO} SELECT least(ql, cl) AS la, greatest(ql, cl) AS lb, count(*) AS n, round(avg(d2), 4) AS mean_d2 FROM matches GROUP BY 1, 2",

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import table
+
 
 def tumbling_counts(events: DataFrame, window: str = "1 day", late: str = "1 hour") -> DataFrame:
     """Per window and event type: n and the sum of value. Works on a batch or a stream."""
@@ -13,3 +17,7 @@ def tumbling_counts(events: DataFrame, window: str = "1 day", late: str = "1 hou
         timed = timed.withWatermark("ts", late)
     by = timed.groupBy(F.window("ts", window).alias("w"), "event_type")
     return by.agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("w.start").alias("start"), "event_type", "n", "value")
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {"tumbling_counts": lambda spark, sf_dir: tumbling_counts(table(spark, sf_dir, "events"))}

@@ -36,6 +36,25 @@ def test_counts_of_a_stream_equal_the_batch(spark, tmp_path):
     assert {tuple(r) for r in spark.table("counts").select("start", "event_type", "n").collect()} == batch
 
 
+def test_rejected_vectors_are_counted(spark):
+    from sparkmill import operators
+
+    unit, far = [1.0] + [0.0] * 63, [2.0] + [0.0] * 63
+    vectors = [unit, far, unit[:63], [], None, [None] + unit[1:], [float("nan")] + unit[1:]]
+    rows = spark.createDataFrame([(i, 0, x) for i, x in enumerate(vectors)], "vec_id long, label int, embedding array<float>")
+    assert operators.rejects(rows).first().asDict() == {"n_rows": 7, "n_null": 2, "n_length": 2, "n_norm": 2}
+    assert [r["vec_id"] for r in operators.descriptors(rows).collect()] == [0]
+
+
+def test_event_counts_are_registered(spark):
+    import __spark_entry__
+
+    got = {tuple(r)[:3]: r["value"] for r in __spark_entry__.queries()["tumbling_counts"](spark, DATA).collect()}
+    sql = f"SELECT date_trunc('day', ts)::TIMESTAMP, event_type, count(*), sum(value) FROM '{DATA}/events.parquet' GROUP BY 1, 2"
+    want = {r[:3]: r[3] for r in duckdb.sql(sql).fetchall()}
+    assert got.keys() == want.keys() and all(math.isclose(v, want[k], rel_tol=1e-9) for k, v in got.items())
+
+
 def test_imports_without_the_optional_parts(tmp_path):
     for p in ("__spark_entry__.py", "sparkmill"):
         (tmp_path / p).symlink_to(REPO / p) if p.endswith("py") else None
