@@ -18,7 +18,7 @@
 Skew: copies collapse to one set; signatures are made distinct in every task before the
 shuffle; a group above GROUP sets is cut into blocks and every two blocks meet in a task
 of their own.  Candidates that are in a document's own component already are
-not probed, so a large group of near copies costs a few probes per document.
+not probed, so a large group of near copies costs a few probes per document; `all_links` probes them all.
 
 Edge cases: null or empty texts have an empty set and no links; a null id takes part in no
 link and has a null component; rows that repeat an id are one node; an empty table gives no rows.
@@ -121,8 +121,8 @@ def _linked(shared: int, a: int, b: int, percent: int) -> bool:
     return shared * (100 + percent) >= percent * (a + b)
 
 
-def search(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links (i, j) among the sets that span every component of the link graph."""
+def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False) -> list[tuple[int, int]]:
+    """Links (i, j) among the sets: all of them, or as many as span every component of the link graph."""
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
     sizes = np.array([len(sets[i]) for i in order], np.int64)
     edge = np.r_[0, np.cumsum(sizes)]
@@ -167,7 +167,7 @@ def search(sets: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, in
             some = (y >= first) & (y < x) & (k >= need)
             met = list(zip(y[some].tolist(), k[some].tolist()))
         for y, k in sorted(met, key=lambda m: -m[1]):
-            if find(y) != find(x):  # else their component is known already
+            if every or find(y) != find(x):  # else their component is known already
                 probe = long_ * len(order) + y
                 hit = flat[np.minimum(np.searchsorted(flat, probe), len(flat) - 1)] == probe
                 if _linked(k + int(hit.sum()), n, int(sizes[y]), percent):
@@ -279,12 +279,16 @@ def _meets(bins: int):
     return F.when(of.isNull(), F.array(bin_).cast(_MEETS)).otherwise(large)
 
 
-def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row of docs."""
+def _documents(found: DataFrame) -> DataFrame:
+    return found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d")
+
+
+def _linked_sets(docs: DataFrame, words: int, percent: int, group: int, every: bool):
+    """Signatures and documents as candidates gives them, the distinct sets (n, c, d, rep), and links (a, b) between their reps."""
     spark = docs.sparkSession
     bins = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
     found = candidates(docs, words, percent)
-    info = found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d")
+    info = _documents(found)
     # One representative per distinct set, the least id: grouped with partial minima.
     classes = materialize(info.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep")), "classes")
     groups = components(found.where("kind = 1").select("a", "b"))
@@ -319,11 +323,28 @@ def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
         order = np.lexsort((rep, label))
         for _, places in groupby(order.tolist(), key=lambda i: label[i]):
             places = list(places)
-            links = search([np.frombuffer(held[i], np.uint64) for i in places], percent)
+            links = search([np.frombuffer(held[i], np.uint64) for i in places], percent, every)
             out += [(int(rep[places[i]]), int(rep[places[j]])) for i, j in links]
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
-    links = dealt.groupBy("g1", "c", "i", "d", "j").applyInArrow(look, "a long, b long")
+    return found, classes, dealt.groupBy("g1", "c", "i", "d", "j").applyInArrow(look, "a long, b long")
+
+
+def all_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+    """a, b, a_copies, b_copies: every linked pair of different sets, as their least ids (a < b), each
+    for a_copies * b_copies pairs of documents; copies of one set are linked as well and not listed."""
+    found, _, links = _linked_sets(docs, words, percent, group, True)
+    copies = _documents(found).where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"))
+    copies = materialize(copies, "copies")
+    side = lambda k: copies.select(F.col("rep").alias(k), F.col("copies").alias(f"{k}_copies"))
+    pairs = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_copies", "b_copies")
+
+
+def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row of docs; of the links only a spanning set is verified."""
+    found, classes, links = _linked_sets(docs, words, percent, group, False)
+    info = _documents(found)
     joined = materialize(components(links), "linked")
     best = classes.join(joined, classes["rep"] == joined["node"], "left").select("n", "c", "d", F.coalesce("component", "rep").alias("component"))
     out = info.join(best, ["n", "c", "d"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from brute import components, removed
+from brute import components, removed, shingles
 
 from sparkmill.llm import jaccard, repeats
 from sparkmill.llm.common import table
@@ -85,6 +85,20 @@ def test_signatures_of_linked_sets_meet():
             assert len(np.intersect1d(sa, sb)), (len(a), len(b), shared)
 
 
+@pytest.mark.parametrize("group", [1024, 7])
+def test_all_links(spark, group):
+    rows = [x for x in odd_rows()[:-4]]
+    got = [tuple(x) for x in jaccard.all_links(spark.createDataFrame(rows, SCHEMA), group=group).collect()]
+    ids = {}
+    for i, text, *_ in rows:
+        if shingles(text):
+            ids.setdefault(frozenset(shingles(text)), []).append(i)
+    sets = sorted(ids, key=lambda s: min(ids[s]))
+    pairs = [(s, t) for k, s in enumerate(sets) for t in sets[k + 1 :] if 100 * len(s & t) >= 90 * len(s | t)]
+    assert sorted(got) == sorted((min(ids[s]), min(ids[t]), len(ids[s]), len(ids[t])) for s, t in pairs)
+    assert len(got) > len({x for a, b, *_ in got for x in (a, b)})  # more than span them
+
+
 def test_rows_counted_for_a_broadcast_are_as_small_as_counted(spark, monkeypatch):
     r = random.Random(9)
     words = ["w%d" % i for i in range(400)]
