@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import slices, text_bytes
 from .tokens import encoder
 
 _OUT = "section int, lo long, hi long, doc_tokens long, n_first long, n_most long, n_split double"
@@ -69,12 +69,14 @@ def attribute(docs: DataFrame, path: str, sections: str | None = None) -> DataFr
         size = np.zeros(enc.tokenizer.get_vocab_size(), np.int64)
         for token, i in enc.tokenizer.get_vocab().items():
             size[i] = len(token)  # byte-level: a character of a token's name is a byte
-        for batch in slices(batches, "text", 1 << 20):
-            texts = [x or "" for x in batch.column(1).to_pylist()]
+        for batch in slices(batches, "text", 2 << 20):
+            ids, edge = enc.encode(batch.column(1))
+            all_raw, text_at = text_bytes(batch.column(1))
+            ids_size = size[ids]
             out: list[list] = [[] for _ in range(8)]
-            for doc, text, spans, ids in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), enc.ids(texts)):
-                raw = np.frombuffer(text.encode(), np.uint8)
-                ends = np.cumsum(size[np.frombuffer(ids, "<u4")])
+            for i, (doc, spans) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist())):
+                raw = all_raw[text_at[i] : text_at[i + 1]]
+                ends = np.cumsum(ids_size[edge[i] : edge[i + 1]])
                 letters = np.flatnonzero((raw & 0xC0) != 0x80)
                 if spans is None:
                     if sections:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
+import time
 import uuid
 
 import pyarrow as pa
@@ -19,11 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; one of our own only where that is unset."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = spark.sparkContext.getCheckpointDir()
+    """The folder named by spark.checkpoint.dir; one of our own only where that is unset, in local mode."""
+    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -43,7 +46,22 @@ def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFr
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def slices(batches, column: str, most_bytes: int = 4 << 20):
+_released = [0.0]
+
+
+def release(after: float = 0.0) -> None:
+    """Gives freed memory of this Python worker back to the system, if that was last done `after` seconds ago or more.
+
+    Workers live on between tasks and stages; what a task has freed would stay with them.
+    """
+    if time.monotonic() - _released[0] >= after:
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+            ctypes.CDLL(None).malloc_trim(0)
+        _released[0] = time.monotonic()
+
+
+def slices(batches, column: str, most_bytes: int = 1 << 20):
     """Arrow record batches cut so that a slice's texts hold about most_bytes (one text at least)."""
     import numpy as np
 
@@ -57,6 +75,7 @@ def slices(batches, column: str, most_bytes: int = 4 << 20):
         at = [0, *(np.flatnonzero(np.diff(cut)) + 1).tolist(), n]
         for lo, hi in zip(at, at[1:]):
             yield batch.slice(lo, hi - lo)
+    release()
 
 
 def text_bytes(column: pa.Array):

@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, sized
+from .common import materialize, release, sized
+from .tokens import binaries, numbers
 
 LIMIT = 18
 STRIDE = 256
@@ -123,8 +125,15 @@ _BLOCKS = "part int, at long, n long, doc_ids binary, doc_lens binary, checkpoin
 _BLOCK_SCHEMA = pa.schema([(x.split()[0], {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}[x.split()[1]]) for x in _BLOCKS.split(", ")])
 
 
+#: Stands for a null id in a block.
+_NULL = -(1 << 63)
+
+
 def write_blocks(ids: DataFrame, lengths: np.ndarray, block: int = BLOCK) -> DataFrame:
-    """Writes the files (uncompressed Parquet: the bits are coded already) and returns them as read back."""
+    """Writes the files (uncompressed Parquet: the bits are coded already) and returns them as read back.
+
+    File k, in the order of names, holds part k, its blocks in order, so ids ascend through the files.
+    """
     sizes = lengths.tobytes()
 
     def run(batches):
@@ -133,25 +142,36 @@ def write_blocks(ids: DataFrame, lengths: np.ndarray, block: int = BLOCK) -> Dat
         held, part, at, n = [], None, 0, 0
 
         def row():
-            bits, marks = encode_block(np.concatenate([np.frombuffer(x, "<u4") for _, x in held]), lens, codes)
-            known = np.array([-(1 << 63) if i is None else i for i, _ in held], np.int64)
-            own = (part, at, n, known.tobytes(), np.array([len(x) // 4 for _, x in held], np.int64).tobytes(), marks, bits)
-            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(own, _BLOCK_SCHEMA)], schema=_BLOCK_SCHEMA)
+            flat, docs, own = (np.concatenate(x) for x in zip(*held))
+            bits, marks = encode_block(flat, lens, codes)
+            values = (part, at, n, docs.tobytes(), own.tobytes(), marks, bits)
+            return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, _BLOCK_SCHEMA)], schema=_BLOCK_SCHEMA)
 
         for batch in batches:
-            for p, a, doc, x in zip(*(c.to_pylist() for c in batch.columns)):
-                if held and (p != part or a != at + n or n >= block):
+            parts, ats = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            docs = pc.fill_null(batch.column(2), _NULL).to_numpy()
+            flat, edge = numbers(batch.column(3))
+            own = np.diff(edge)
+            stops = np.r_[np.flatnonzero((parts[1:] != parts[:-1]) | (ats[1:] != ats[:-1] + own[:-1])) + 1, len(docs)]
+            i = 0
+            while i < len(docs):
+                if held and (parts[i] != part or ats[i] != at + n or n >= block):
                     yield row()
                     held, n = [], 0
                 if not held:
-                    part, at = p, a
-                held.append((doc, x))
-                n += len(x) // 4
+                    part, at = int(parts[i]), int(ats[i])
+                full = max(int(np.searchsorted(edge, edge[i] + block - n)), i + 1)
+                j = min(int(stops[np.searchsorted(stops, i, "right")]), full)
+                held.append((flat[edge[i] : edge[j]], docs[i:j], own[i:j]))
+                n += int(edge[j] - edge[i])
+                i = j
         if held:
             yield row()
+        release()
 
-    rows = ids.where("seq >= 0").select("part", "at", "doc_id", "ids")
-    return materialize(rows.mapInArrow(run, _BLOCKS), "huffman", codec="none")
+    rows = ids.where("seq >= 0").select("part", "at", "doc_id", "ids").mapInArrow(run, _BLOCKS)
+    files = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(rows.repartitionById(files, F.col("part")).sortWithinPartitions("part", "at"), "huffman", codec="none")
 
 
 def write_code_book(spark, lengths: np.ndarray) -> DataFrame:
@@ -176,10 +196,9 @@ def read_blocks(files: DataFrame, book: DataFrame) -> DataFrame:
                 edge = np.r_[0, np.cumsum(lens)]
                 for i in range(0, len(docs), 256):
                     j = min(i + 256, len(docs))
-                    own = ids[edge[i] : edge[j]].astype("<u4", copy=False)
-                    held = pa.Array.from_buffers(pa.large_binary(), j - i, [None, pa.py_buffer((edge[i : j + 1] - edge[i]) * 4), pa.py_buffer(np.ascontiguousarray(own))]).cast(pa.binary())
-                    known = pa.array(docs[i:j], mask=docs[i:j] == -(1 << 63))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(j - i, part, np.int32)), pa.array(at + edge[i:j]), known, held], ["part", "at", "doc_id", "ids"])
+                    known = pa.array(docs[i:j], mask=docs[i:j] == _NULL)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(j - i, part, np.int32)), pa.array(at + edge[i:j]), known, binaries(ids[edge[i] : edge[j]], edge[i : j + 1] - edge[i])], ["part", "at", "doc_id", "ids"])
+        release()
 
     return files.mapInArrow(run, "part int, at long, doc_id long, ids binary")
 

@@ -9,12 +9,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialize, sized, slices
-from .tokens import encoder
+from .tokens import binaries, encoder
+
+#: Text bytes encoded at once.
+SLICE = 2 << 20
+#: Groups in which the id counts of tasks are added up.
+GROUP_TASKS = 16
 
 _ROWS = pa.schema([("part", pa.int32()), ("seq", pa.int64()), ("doc_id", pa.int64()), ("queue", pa.string()), ("at", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
 _DDL = "part int, seq long, doc_id long, queue string, at long, n long, ids binary, counts binary"
@@ -33,27 +39,26 @@ def encoded(docs: DataFrame, path: str, end_id: int, queue=None) -> DataFrame:
 
     def run(batches):
         enc, part, seq = encoder(path), TaskContext.get().partitionId(), 0
-        end = np.array([end_id], "<u4").tobytes()
         at: dict[str, int] = {}
-        counts = np.zeros(enc.tokenizer.get_vocab_size(), np.int64)
-        counts = np.zeros(max(len(counts), end_id + 1), np.int64)
-        for batch in slices(batches, "text", 1 << 20):
-            ids = [x + end for x in enc.ids(batch.column(2).to_pylist())]
-            counts += np.bincount(np.frombuffer(b"".join(ids), "<u4"), minlength=len(counts))
+        counts = np.zeros(max(enc.tokenizer.get_vocab_size(), end_id + 1), np.int64)
+        for batch in slices(batches, "text", SLICE):
+            k = batch.num_rows
+            ids, edge = enc.encode(batch.column(2))
+            ids, edge = np.insert(ids, edge[1:], end_id), edge + np.arange(k + 1)
+            counts += np.bincount(ids, minlength=len(counts))
             places = []
-            for q, x in zip(batch.column(1).to_pylist(), ids):
+            for q, n in zip(batch.column(1).to_pylist(), np.diff(edge).tolist()):
                 places.append(at.get(q, 0))
-                at[q] = places[-1] + len(x) // 4
-            k = batch.num_rows
+                at[q] = places[-1] + n
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(k, part, np.int32)), pa.array(np.arange(seq, seq + k)), batch.column(0), batch.column(1), pa.array(places, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()), pa.nulls(k, pa.binary())],
+                [pa.array(np.full(k, part, np.int32)), pa.array(np.arange(seq, seq + k)), batch.column(0), batch.column(1), pa.array(places, pa.int64()), pa.array(np.diff(edge)), binaries(ids, edge), pa.nulls(k, pa.binary())],
                 schema=_ROWS,
             )
             seq += k
         if at:
             names = list(at)
             k = len(names)
-            held = [counts.tobytes(), *[None] * (k - 1)]
+            held = [_packed(counts), *[None] * (k - 1)]
             yield pa.RecordBatch.from_arrays([pa.array([part] * k, pa.int32()), pa.array([-1] * k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(names), pa.nulls(k, pa.int64()), pa.array([at[q] for q in names], pa.int64()), pa.nulls(k, pa.binary()), pa.array(held, pa.binary())], schema=_ROWS)
 
     return materialize(rows.mapInArrow(run, _DDL), "ids")
@@ -72,19 +77,39 @@ def placed(ids: DataFrame) -> DataFrame:
     return ids.where("seq >= 0").join(sized(base, 64), ["part", "queue"]).withColumn("start", F.col("base") + F.col("at"))
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """The ids that occur and their counts, compressed."""
+    some = np.flatnonzero(counts)
+    return zstandard.compress(np.r_[some, counts[some]].astype("<i8").tobytes())
+
+
+def _unpacked(raw: bytes) -> np.ndarray:
+    return np.frombuffer(zstandard.decompress(raw), "<i8").reshape(2, -1)
+
+
 def id_counts(ids: DataFrame) -> np.ndarray:
-    """Global count per id: partial sums in tasks, one row per id of the vocabulary to the driver."""
-
-    def spread(batches):
-        for batch in batches:
-            for raw in batch.column(0).to_pylist():
-                n = np.frombuffer(raw, np.int64)
-                some = np.flatnonzero(n)
-                yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n[some])], ["id", "n"])
-
-    held = ids.where("counts is not null").select("counts").mapInArrow(spread, "id long, n long")
-    rows = held.groupBy("id").agg(F.sum("n").alias("n")).collect()
-    out = np.zeros(max((r["id"] for r in rows), default=-1) + 1, np.int64)
-    for r in rows:
-        out[r["id"]] = r["n"]
+    """Global count per id.  A task adds up the tables of its partitions, GROUP_TASKS groups of tasks
+    add up theirs, and the driver gets one table of the vocabulary's size from each."""
+
+    def total(raws) -> bytes:
+        out = np.zeros(0, np.int64)
+        for some, n in map(_unpacked, raws):
+            if len(some):
+                if some[-1] >= len(out):
+                    out = np.r_[out, np.zeros(int(some[-1]) + 1 - len(out), np.int64)]
+                out[some] += n
+        return _packed(out)
+
+    def in_task(batches):
+        done = total(x for batch in batches for x in batch.column(0).to_pylist())
+        yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % GROUP_TASKS], pa.int32()), pa.array([done])], ["g", "counts"])
+
+    def in_group(table):
+        return pa.table({"counts": pa.array([total(table.column("counts").to_pylist())])})
+
+    held = ids.where("counts is not null").select("counts").mapInArrow(in_task, "g int, counts binary")
+    rows = held.groupBy("g").applyInArrow(in_group, "counts binary").collect()
+    some, n = _unpacked(total(r["counts"] for r in rows))
+    out = np.zeros(int(some[-1]) + 1 if len(some) else 0, np.int64)
+    out[some] = n
     return out

@@ -1,7 +1,11 @@
+import json
 import random
+import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from brute import crc
 
@@ -23,14 +27,57 @@ def texts():
     return out + ["".join(r.choice([" ", "\n", "a", "B", "1", "'s", ".", ",", "\t", "é", " ", "日", "\r", "\0"]) for _ in range(r.randrange(14))) for _ in range(4000)]
 
 
+def same_as_library(enc, some, step):
+    for i in range(0, len(some), step):
+        ids, edge = enc.encode(pa.array(some[i : i + step]))
+        want = [e.ids for e in enc.tokenizer.encode_batch_fast([x or "" for x in some[i : i + step]], add_special_tokens=False)]
+        for x, lo, hi, own in zip(some[i : i + step], edge[:-1], edge[1:], want, strict=True):
+            assert ids[lo:hi].tolist() == own, repr(x)
+
+
+@pytest.mark.parametrize("name", [BYTE, WORD])
+@pytest.mark.parametrize("memo", [24 << 20, 4000])
+def test_pieces_equal_the_library(name, memo):
+    enc = Encoder(tokenizer_path(name), memo)
+    assert enc._cuts and enc._plain("a")
+    same_as_library(enc, texts() + [None], 97)
+
+
 @pytest.mark.parametrize("name", [BYTE, WORD])
-@pytest.mark.parametrize("memo", [400_000, 50])
-def test_memo_equals_the_library(name, memo, monkeypatch):
-    monkeypatch.setattr("sparkmill.llm.tokens.MEMO_PIECES", memo)
-    enc, some = Encoder(tokenizer_path(name)), texts()
-    for i in range(0, len(some), 97):
-        for x, ids in zip(some[i : i + 97], enc.ids(some[i : i + 97])):
-            assert np.frombuffer(ids, "<u4").tolist() == enc.tokenizer.encode(x, add_special_tokens=False).ids, x
+def test_every_letter_before_punctuation(name):
+    enc = Encoder(tokenizer_path(name))
+    some = [f"b{chr(c)}{mark} x{mark}{chr(c)}, {chr(c)}" for c in range(1, 0x110000) if not 0xD800 <= c < 0xE000 for mark in (".&" if c < 0x3000 else ")")]
+    same_as_library(enc, some if len(some) < 1 << 20 else [x for x in some if unicodedata.category(x[1])[0] in "LMZN" or ord(x[1]) < 0x3000], 20_000)
+
+
+def test_scripts(spark):
+    words = "হয়, বাড়ি হয়? बड़! क़&ख़ ਸ਼. ଡ଼; གྷ) שׁ, יִ! אַ) مرحبا، Привет, мир! Ελλάς. 日本語。 한국어! ไทย."
+    for name in (BYTE, WORD):
+        same_as_library(Encoder(tokenizer_path(name)), [words, *words.split(), words.replace(" ", "\u00a0"), words.replace(" ", " \u3000\n")], 4)
+
+
+def test_white_space_of_all_kinds():
+    r = random.Random(5)
+    some = ["".join(r.choice([" ", "\n", "\t", "\r", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u2028", "\u180e", "\u200b", "a", "é,", "1"]) for _ in range(r.randrange(9))) for _ in range(20_000)]
+    for name in (BYTE, WORD):
+        same_as_library(Encoder(tokenizer_path(name)), some, 500)
+
+
+def test_other_settings_get_whole_texts(tmp_path):
+    made = json.loads(Encoder(tokenizer_path(BYTE)).tokenizer.to_str())
+    made["normalizer"] = {"type": "NFKC"}
+    (tmp_path / "other.json").write_text(json.dumps(made))
+    enc = Encoder(str(tmp_path / "other.json"))
+    assert enc._cuts is None
+    same_as_library(enc, texts()[:500] + [None], 50)
+
+
+def test_rare_pieces_leave_the_memory():
+    enc = Encoder(tokenizer_path(WORD), 10_000)
+    for i in range(300):
+        enc.encode(pa.array([f"often {'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzabcd'[i // 100]}"]))
+        assert len(enc._young) + len(enc._old) < 100
+    assert "often" in enc._young or "often" in enc._old
 
 
 def whole(rows, name, end):
@@ -63,6 +110,31 @@ def test_files_read_back(spark, given):
     assert sorted(got, key=lambda x: x[1]) == want
 
 
+def test_files_hold_ascending_ids(spark, monkeypatch):
+    held = []
+    monkeypatch.setattr(huffman, "write_blocks", lambda *x, w=huffman.write_blocks: held.append(w(*x)) or held[0])
+    docs = table(spark, f"{DATA}/sf0.01", "documents").repartition(5)
+    huffman.round_trip(docs, tokenizer_path(BYTE), 2).count()
+    names = sorted(f.removeprefix("file:") for f in held[0].inputFiles())
+    ids = [i for f in names for b in pq.read_table(f).column("doc_ids").to_pylist() for i in np.frombuffer(b, np.int64).tolist()]
+    assert len(names) > 2 and len(ids) == docs.count() and ids == sorted(ids)
+
+
+def test_small_blocks_and_broken_runs(spark):
+    from sparkmill.llm.tokens import binaries
+
+    r = np.random.default_rng(4)
+    lens = r.integers(0, 9, 300)
+    flat = r.integers(0, 50, lens.sum()).astype(np.uint32)
+    edge = np.r_[0, np.cumsum(lens)]
+    rows = [(i // 100, i, int(edge[i] - edge[i // 100 * 100]), None if i % 50 == 0 else i, bytes(x)) for i, x in enumerate(binaries(flat, edge).to_pylist())]
+    ids = spark.createDataFrame(rows, "part int, seq long, at long, doc_id long, ids binary").coalesce(1)
+    lengths = huffman.code_lengths(np.bincount(flat, minlength=50))
+    files, book = huffman.write_blocks(ids, lengths, 20), huffman.write_code_book(spark, lengths)
+    got = sorted((x["part"], x["at"], len(x["ids"]), x["doc_id"] or -1, bytes(x["ids"])) for x in huffman.read_blocks(files, book).collect())
+    assert got == sorted((p, at, len(x), i or -1, x) for p, _, at, i, x in rows)
+
+
 def test_starts_come_from_the_files(spark, monkeypatch):
     held = []
     monkeypatch.setattr(huffman, "write_blocks", lambda *x, w=huffman.write_blocks: held.append(w(*x)) or held[0].where(f"part <> {first(held[0])}"))
@@ -132,3 +204,22 @@ def test_attribution(spark):
     docs = table(spark, f"{DATA}/sf0.001", "documents")
     sums = attribution.attribute(docs, tokenizer_path(BYTE)).groupBy("doc_id").agg({"n_first": "sum", "n_most": "sum", "doc_tokens": "max"}).collect()
     assert sums and all(r[1] == r[2] == r[3] for r in sums)
+
+
+def test_attribution_of_the_query_and_its_edges(spark):
+    from sparkmill.llm.queries import op1_sections
+
+    long = "wörd, " * 40_000
+    rows = [(1, long, "x"), (2, "a" * 1000, "x"), (2, "a" * 1000, "x"), (3, "b" * 1001, None), (4, "", "y"), (None, None, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, sections string")
+    got = op1_sections(docs).collect()
+    t = Encoder(tokenizer_path(BYTE)).tokenizer
+    for i, text, _ in rows:
+        text = text or ""
+        own = sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["section"])
+        n = max(1, -(-len(text) // 1000))
+        twins = sum(r[0] == i for r in rows)
+        assert [(r["lo"], r["hi"]) for r in own] == sorted([(k * 1000, min((k + 1) * 1000, len(text))) for k in range(n)] * twins)
+        total = len(t.encode(text, add_special_tokens=False).ids)
+        assert {r["doc_tokens"] for r in own} == {total} and sum(r["n_first"] for r in own) == total * twins
+    assert op1_sections(docs.limit(0)).collect() == []
