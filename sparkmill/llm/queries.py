@@ -32,7 +32,7 @@ def op3_drr_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = repeats.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return done.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+    return done.select("doc.doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 def op5_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,6 +12,9 @@ smaller id.  Texts are shuffled once, into parts, and read three times from ther
    bytes are the same string, and the least id of each run goes back to the parts.
 3. Cuts.  A part marks the strings whose least id is below the document's own.
 
+Contexts are named by the place of one holder in their part; wherever hashes group contexts or
+strings, bytes are compared, and those that only share a hash are told apart (``_exact``).
+
 Skew: what a part sends is distinct (copies in a part collapse), so a bucket gets at most a
 few entries per part for an anchor.  Anchors met in HOT or more contexts inside one part
 (the edges of a very common passage) are sent string by string under the string's own hash
@@ -19,7 +22,7 @@ instead, which spreads them over the buckets.  Nothing is dropped or sampled.
 
 Edge cases: a null text has no bytes; a null id neither loses nor lends bytes; rows that
 repeat an id do not affect each other; texts below WIDTH bytes stay whole; an empty table
-gives no rows.
+gives no rows.  Own columns come back in the struct ``doc``, so none clashes with a result's name.
 """
 
 from __future__ import annotations
@@ -31,8 +34,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import text_bytes
+from .common import release, text_bytes
 from .hashing import grams, mix, prefixes, ragged, sliding, spans
 from .suffixes import sort_suffixes
 
@@ -40,12 +44,15 @@ WIDTH = 50
 GRAM = 19
 HOT = 8
 #: Text bytes of a part, which is in memory at once with its anchors; parts per bucket.
-PART_BYTES, PARTS_A_BUCKET = 1 << 20, 4
+PART_BYTES, PARTS_A_BUCKET = 1 << 20, 16
 CACHE = 1 << 16
 
 _U = np.uint64
-_SEND = "bucket int, part int, least binary, pre binary, len binary, ctx binary"
+_SEND = "bucket int, part int, least binary, pre binary, len binary, place binary, ctx binary"
+_REPLY = "part int, place binary, frm binary, to binary, low binary, hot binary"
 ALONE, SEVERAL = 255, 128
+#: In a place: of a string sent alone.
+_BY_ITSELF = 1 << 62
 CHUNK = 1 << 14
 
 
@@ -129,6 +136,27 @@ def _unique_min(key, ids):
     return order[new], ids[order[new]], place
 
 
+def _exact(raw, key, lo, lens, pre, ids):
+    """_unique_min of the contexts raw[lo : lo + lens] by their bytes; key: a hash of them."""
+    first, least, place = _unique_min(key, ids)
+    holder = first[place]
+    differs = (lens != lens[holder]) | (pre != pre[holder])
+    same = np.flatnonzero(~differs & (holder != np.arange(len(key))))
+    for some in np.array_split(same, len(same) // CHUNK + 1):
+        if len(some):
+            own = lens[some]
+            unlike = raw[ragged(lo[some], own)] != raw[ragged(lo[holder[some]], own)]
+            differs[some] = np.logical_or.reduceat(unlike, np.cumsum(own) - own)
+    if not differs.any():
+        return first, least, place
+    # Hashes collided: the classes concerned are told apart by their bytes.
+    names: dict[tuple[int, bytes], int] = {}
+    label = place.copy()
+    for i in np.flatnonzero(np.isin(place, place[differs])):
+        label[i] = len(first) + names.setdefault((int(pre[i]), raw[lo[i] : lo[i] + lens[i]].tobytes()), len(names))
+    return _unique_min(label, ids)
+
+
 def _bucket(h, buckets):
     h = mix(h + _U(1))  # anchors are least hashes, so small ones: spread them anew
     return ((h >> _U(32)) * _U(buckets) >> _U(32)).astype(np.int32)
@@ -195,19 +223,21 @@ def _contexts(part: _Part, number: int, kept, hot, buckets: int, width: int):
         doc = np.searchsorted(part.at, start, "right") - 1
         zero = np.zeros(len(start), np.int64)
         h, c, lo, hi, pre, ids = (np.r_[a, b] for a, b in ((h, own), (c, zero.astype(np.uint64)), (lo, start), (hi, start + width), (pre, zero + ALONE), (ids, part.ids[doc])))
-    at, least, place = _unique_min(_key(h, c), ids)
+    lens, by_itself = hi - lo, pre == ALONE
+    at, least, place = _exact(part.raw, _key(h, c), lo, lens, pre, ids)
     several = np.zeros(len(at), bool)
     several[place[ids != least[place]]] = True
     b = _bucket(h[at], buckets)
     order = np.lexsort((h[at], b))
     b, at, least, several = b[order], at[order], least[order], several[order]
-    lens = hi[at] - lo[at]
+    lens = lens[at]
+    where = lo[at] + _BY_ITSELF * by_itself[at]
     text = part.raw[ragged(lo[at], lens)]
     edge = np.r_[0, np.cumsum(lens)]
     squeeze = zstandard.ZstdCompressor().compress
     for number_b, i, j in _cut(b):
         marked = (lens[i:j] + SEVERAL * several[i:j]).astype(np.uint8)
-        yield number_b, number, least[i:j].tobytes(), pre[at[i:j]].astype(np.uint8).tobytes(), marked.tobytes(), squeeze(text[edge[i] : edge[j]].tobytes())
+        yield number_b, number, least[i:j].tobytes(), pre[at[i:j]].astype(np.uint8).tobytes(), marked.tobytes(), where[i:j].tobytes(), squeeze(text[edge[i] : edge[j]].tobytes())
 
 
 def _strings(part: _Part, anchors, width):
@@ -216,43 +246,49 @@ def _strings(part: _Part, anchors, width):
     return np.unique(ragged(lo, n))
 
 
+def _hashed(text, lo, hi, pre, alone, gram):
+    """(anchor hash, context hash) of each context, some at a time."""
+    h, c = np.empty(len(lo), np.uint64), np.empty(len(lo), np.uint64)
+    block = hi // CACHE
+    cut = np.r_[0, np.flatnonzero(block[1:] != block[:-1]) + 1, len(block)]
+    for i, j in zip(cut, cut[1:]):
+        s = prefixes(text[lo[i] : hi[j - 1]])
+        a, b = lo[i:j] - lo[i], hi[i:j] - lo[i]
+        h[i:j] = mix(spans(s, a + pre[i:j], np.where(alone[i:j], b, a + pre[i:j] + gram)))
+        c[i:j] = np.where(alone[i:j], _U(0), mix(spans(s, a, b) + pre[i:j].astype(np.uint64)))
+    return h, c
+
+
 def _least_ids(table: pa.Table, width: int, gram: int, reach: int):
-    """Rows (part, key, from, to, least): per distinct context, runs of string starts (relative to
+    """Rows (part, place, from, to, least): per context of a part, runs of string starts (relative to
     the context) and the least id that has those strings.  A bucket is taken CHUNK contexts at
     a time, never parting those of one anchor."""
-    cols = {k: table.column(k).to_pylist() for k in ("least", "pre", "len", "ctx")}
-    ids = np.concatenate([np.frombuffer(x, np.int64) for x in cols["least"]])
+    cols = {k: table.column(k).to_pylist() for k in ("least", "pre", "len", "place", "ctx")}
+    ids, where = (np.concatenate([np.frombuffer(x, np.int64) for x in cols[k]]) for k in ("least", "place"))
     pre, lens = (np.concatenate([np.frombuffer(x, np.uint8) for x in cols[k]]).astype(np.int64) for k in ("pre", "len"))
     several, lens = lens >= SEVERAL, lens % SEVERAL
     loose = zstandard.ZstdDecompressor().decompress
     text = np.frombuffer(b"".join(loose(x) for x in cols["ctx"]), np.uint8)
     part = np.repeat(table.column("part").to_numpy(), [len(x) for x in cols["pre"]])
     del cols
-    s, hi = prefixes(text), np.cumsum(lens)
+    hi = np.cumsum(lens)
     lo, alone = hi - lens, pre == ALONE
     pre[alone] = 0
-    h = mix(spans(s, lo + pre, np.where(alone, hi, lo + pre + gram)))
-    c = np.where(alone, _U(0), mix(spans(s, lo, hi) + pre.astype(np.uint64)))
-    del s
+    h, c = _hashed(text, lo, hi, pre, alone, gram)
     order = np.argsort(h, kind="stable")
     edge = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
-    cut = np.unique(np.r_[edge[np.searchsorted(edge, np.arange(0, len(h), CHUNK))[np.searchsorted(edge, np.arange(0, len(h), CHUNK)) < len(edge)]], len(h)])
+    at = np.searchsorted(edge, np.arange(0, len(h), CHUNK))
+    cut = np.unique(np.r_[edge[at[at < len(edge)]], len(h)])
     for a, b in zip(cut, cut[1:]):
         some = np.sort(order[a:b])
         own = text[ragged(lo[some], lens[some])]
-        yield from _least_of(part[some], h[some], c[some], ids[some], pre[some], lens[some], several[some], own, width, reach)
+        yield from _least_of(part[some], where[some], h[some], c[some], ids[some], pre[some], lens[some], several[some], own, width, reach)
 
 
-def _least_of(part, h, c, ids, pre, lens, several, text, width, reach):
+def _least_of(part, where, h, c, ids, pre, lens, several, text, width, reach):
+    first, least, place = _exact(text, _key(h, c), np.cumsum(lens) - lens, lens, pre, ids)
     rows = np.zeros((len(h), reach), np.uint8)
     rows[np.repeat(np.arange(len(h)), lens), ragged(np.zeros(len(h), np.int64), lens)] = text
-    key = _key(h, c)
-    first, least, place = _unique_min(key, ids)
-    holder = first[place]
-    if (rows != rows[holder]).any() or (lens != lens[holder]).any() or (pre != pre[holder]).any():
-        # A hash collided: tell the contexts apart by their bytes, in the key as well.
-        whole = np.ascontiguousarray(np.c_[rows, lens.astype(np.uint8), pre.astype(np.uint8)]).view(f"V{reach + 2}").ravel()
-        raise ValueError(f"context hash collision among {len(np.unique(whole))} contexts")
     ch, cpre, clen, crow = h[first], pre[first], lens[first], rows[first]
     order = np.argsort(ch, kind="stable")
     size = np.unique(ch[order], return_counts=True)[1]
@@ -284,7 +320,7 @@ def _least_of(part, h, c, ids, pre, lens, several, text, width, reach):
     for number, i, j in _cut(part[by]):
         own = by[i:j]
         n = per[place[own] + 1] - per[place[own]]
-        r, k = ragged(per[place[own]], n), np.repeat(key[first[place[own]]], n)
+        r, k = ragged(per[place[own]], n), np.repeat(where[own], n)
         # Of use only to a document above the least id.
         of_use = (low[r] < np.repeat(ids[own], n)) | np.repeat(several[own], n)
         r, k = r[of_use], k[of_use]
@@ -294,53 +330,73 @@ def _least_of(part, h, c, ids, pre, lens, several, text, width, reach):
 
 def _cuts(part: _Part, replies: pa.Table, width: int):
     """A removal mask over the part's bytes."""
-    key, frm, to, low = (np.concatenate([np.frombuffer(x, t) for x in replies.column(k).to_pylist()] or [np.zeros(0, t)]) for k, t in (("key", np.uint64), ("frm", np.uint8), ("to", np.uint8), ("low", np.int64)))
-    order = np.argsort(key, kind="stable")
-    key, frm, to, low = key[order], frm[order].astype(np.int64), to[order].astype(np.int64), low[order]
+    place, frm, to, low = (np.concatenate([np.frombuffer(x, t) for x in replies.column(k).to_pylist()] or [np.zeros(0, t)]) for k, t in (("place", np.int64), ("frm", np.uint8), ("to", np.uint8), ("low", np.int64)))
+    frm, to = frm.astype(np.int64), to.astype(np.int64)
     depth = np.zeros(len(part.raw) + 1, np.int32)
 
-    def mark(lo, k, ids):
-        a, b = np.searchsorted(key, k, "left"), np.searchsorted(key, k, "right")
-        r, who = ragged(a, b - a), np.repeat(np.arange(len(k)), b - a)
+    def mark(chosen, lo, lens, pre, key, ids):
+        """The replies chosen, to all that are equal to the holders they name; lo is ascending."""
+        if not chosen.any():
+            return
+        holder = np.searchsorted(lo, place[chosen] % _BY_ITSELF)
+        some = np.flatnonzero(_isin(key, np.unique(key[holder])))
+        of = _exact(part.raw, key[some], lo[some], lens[some], pre[some], ids[some])[2]
+        asked = of[np.searchsorted(some, holder)]
+        order = np.argsort(asked, kind="stable")
+        a, b = np.searchsorted(asked[order], of, "left"), np.searchsorted(asked[order], of, "right")
+        r, who = np.flatnonzero(chosen)[order][ragged(a, b - a)], np.repeat(some, b - a)
         cut = low[r] < ids[who]
         np.add.at(depth, (lo[who] + frm[r])[cut], 1)
         np.add.at(depth, (lo[who] + to[r] + width)[cut], -1)
 
-    if len(key):
-        mark(part.lo, _key(part.h, part.c), part.ids[part.doc])
+    mark(place < _BY_ITSELF, part.lo, part.hi - part.lo, part.q - part.lo, _key(part.h, part.c), part.ids[part.doc])
+    if (place >= _BY_ITSELF).any():
         # Strings over hot anchors were sent alone; where none was, none is found.
         hot = np.unique(_unpack(b"".join(replies.column("hot").to_pylist())))
         start = _strings(part, np.flatnonzero(_isin(_short(part.h), hot)), width)
-        if len(start):
-            own = mix(spans(part.s, start, start + width))
-            mark(start, _key(own, np.zeros(len(own), np.uint64)), part.ids[np.searchsorted(part.at, start, "right") - 1])
+        zero = np.zeros(len(start), np.int64)
+        mark(place >= _BY_ITSELF, start, zero + width, zero, mix(spans(part.s, start, start + width)), part.ids[np.searchsorted(part.at, start, "right") - 1])
     return np.cumsum(depth[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT) -> DataFrame:
-    """The other columns of docs, and kept (binary), n_bytes, n_removed, spans (removed byte runs)."""
+def _whole_characters(raw, gone):
+    """The mask widened to every character that loses a byte."""
+    of = np.cumsum((raw & 0xC0) != 0x80)
+    lost = np.zeros(int(of[-1]) + 1 if len(of) else 0, bool)
+    lost[of[gone]] = True
+    return lost[of]
+
+
+def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: int = HOT, characters: bool = False) -> DataFrame:
+    """doc (a struct of the other columns of docs), kept (binary), n_bytes, n_removed, spans (removed byte runs).
+
+    characters: one that lost some of its bytes goes as a whole, so kept is text.
+    """
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = size // PART_BYTES + 1
     buckets = parts // PARTS_A_BUCKET + 1
     reach = width - gram + width
-    others = [c for c in docs.columns if c != "text"]
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     number = F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).cast("int").alias("__part")
     texts = docs.select(number, F.col("doc_id").cast("long").alias("__id"), F.col("text").cast("string").alias("__text"), F.struct(*others).alias("__row"))
 
     def anchors(key, table):
         rows = list(_anchors(_Part(table, width, gram), key[0].as_py(), buckets, hot))
+        release(2)
         return _table(rows, "bucket int, part int, one binary, two binary, three binary")
 
     def survivors(key, table):
-        rows = _survivors(*(table.column(c).to_pylist() for c in ("part", "one", "two", "three")))
-        return _table(list(rows), "part int, kept binary, hot binary")
+        rows = list(_survivors(*(table.column(c).to_pylist() for c in ("part", "one", "two", "three"))))
+        release(2)
+        return _table(rows, "part int, kept binary, hot binary")
 
     def contexts(key, table, known):
         part = _Part(table, width, gram)
         kept, heated = (np.sort(_unpack(b"".join(known.column(c).to_pylist()))) for c in ("kept", "hot"))
         rows = list(_contexts(part, key[0].as_py(), kept, heated, buckets, width)) if table.num_rows else []
         if len(heated) and rows:  # echoed by the bucket: the part's own list of hot anchors
-            rows.append((rows[0][0], key[0].as_py(), *[b""] * 3, _pack(heated)))
+            rows.append((rows[0][0], key[0].as_py(), *[b""] * 4, _pack(heated)))
+        release(2)
         return _table(rows, _SEND)
 
     def least_ids(key, table):
@@ -348,11 +404,14 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
         echoed = [(p, b"", b"", b"", b"", x) for p, x, e in zip(table.column("part").to_pylist(), table.column("ctx").to_pylist(), bare) if e]
         table = table.filter(pa.array([not e for e in bare]))
         rows = [(*r, b"") for r in _least_ids(table, width, gram, reach)] if table.num_rows else []
-        return _table(rows + echoed, "part int, key binary, frm binary, to binary, low binary, hot binary")
+        release(2)
+        return _table(rows + echoed, _REPLY)
 
     def cuts(key, table, replies):
         part = _Part(table, width, gram)
         gone = _cuts(part, replies, width)
+        if characters:
+            gone = _whole_characters(part.raw, gone)
         n, at = table.num_rows, part.at
         before = np.r_[0, np.cumsum(gone)]
         kept_at = at - before[at]
@@ -369,16 +428,17 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
         edge = np.searchsorted(lo, at).astype(np.int32)
         held = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(kept_at.astype(np.int64)), pa.py_buffer(kept)]).cast(pa.binary())
         arrays = [table.column("__row").combine_chunks(), held, pa.array(np.diff(at)), pa.array(before[at[1:]] - before[at[:-1]]), pa.ListArray.from_arrays(pa.array(edge), runs)]
-        return pa.Table.from_arrays(arrays, ["row", "kept", "n_bytes", "n_removed", "spans"])
+        release(2)
+        return pa.Table.from_arrays(arrays, ["doc", "kept", "n_bytes", "n_removed", "spans"])
 
     by_part = texts.groupBy("__part")
     sent = by_part.applyInArrow(anchors, "bucket int, part int, one binary, two binary, three binary")
     known = sent.groupBy("bucket").applyInArrow(survivors, "part int, kept binary, hot binary")
     spread = by_part.cogroup(known.groupBy("part")).applyInArrow(contexts, _SEND)
-    replies = spread.groupBy("bucket").applyInArrow(least_ids, "part int, key binary, frm binary, to binary, low binary, hot binary")
-    row = texts.schema["__row"].dataType.simpleString()
-    done = by_part.cogroup(replies.groupBy("part")).applyInArrow(cuts, f"row {row}, kept binary, n_bytes bigint, n_removed bigint, spans array<struct<lo:bigint,hi:bigint>>")
-    return done.select("row.*", "kept", "n_bytes", "n_removed", "spans")
+    replies = spread.groupBy("bucket").applyInArrow(least_ids, _REPLY)
+    schema = T.StructType().add("doc", texts.schema["__row"].dataType).add("kept", "binary").add("n_bytes", "long").add("n_removed", "long")
+    schema = schema.add("spans", T.ArrayType(T.StructType().add("lo", "long").add("hi", "long")))
+    return by_part.cogroup(replies.groupBy("part")).applyInArrow(cuts, schema)
 
 
 def _table(rows, ddl) -> pa.Table:
@@ -388,20 +448,13 @@ def _table(rows, ddl) -> pa.Table:
 
 
 def cleaned(docs: DataFrame) -> DataFrame:
-    """docs with the repeats cut from text (and n_chars counted again); columns unchanged.
+    """docs with the repeats cut from text, whole characters at a time (and n_chars counted again); columns unchanged.
 
-    A character that lost some of its bytes goes as a whole.
+    A null text stays null where docs has one.
     """
-    done = remove_repeats(docs)
-
-    def whole(batches):
-        for batch in batches:
-            texts = [b.decode(errors="ignore") for b in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["row", "text"])
-
-    rest = [c for c in docs.columns if c != "text"]
-    rows = done.select(F.struct(*rest).alias("row"), "kept")
-    out = rows.mapInArrow(whole, f"row {rows.schema['row'].dataType.simpleString()}, text string").select("row.*", "text")
-    if "n_chars" in rest:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+    done = remove_repeats(docs.withColumn("__null", F.col("text").isNull()), characters=True)
+    null, text = F.col("doc")["__null"], F.col("kept").cast("string")
+    made = {"text": F.when(~null, text)}
+    if "n_chars" in docs.columns:
+        made["n_chars"] = F.when(null, F.col("doc")["n_chars"]).otherwise(F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return done.select(*((made[c] if c in made else F.col("doc")[c]).alias(c) for c in docs.columns))

@@ -4,8 +4,8 @@ Two suffixes are compared in a logarithmic number of steps: their common extensi
 by binary search over prefix polynomial hashes, then one byte decides.  The sort is a bottom-up
 mergesort, all pairs of runs of a round at once: an element's place in the merged run is
 its place in its own run plus its rank in the other, found by binary search with that
-comparison.  Neighbours that the hashes call equal are verified byte by byte; should a hash
-have collided, the bytes themselves are sorted.
+comparison.  The order is verified byte by byte, neighbour by neighbour; should a hash have
+collided, the bytes themselves are sorted.
 """
 
 from __future__ import annotations
@@ -68,7 +68,7 @@ def sort_suffixes(raw: np.ndarray, s: np.ndarray, starts: np.ndarray, segment: n
     a, b = starts[order[:-1]], starts[order[1:]]
     shared = np.r_[-1, common(s, a, b, limit)]
     shared[first] = -1
-    if not _verified(raw, a, b, shared[1:], limit):
+    if not _sorted(raw, a, b, shared[1:], limit):
         rows = raw[starts[:, None] + np.arange(limit)]
         order = np.lexsort((*rows.T[::-1], segment))
         rows = rows[order]
@@ -78,11 +78,19 @@ def sort_suffixes(raw: np.ndarray, s: np.ndarray, starts: np.ndarray, segment: n
     return order, shared
 
 
-def _verified(raw, a, b, shared, limit) -> bool:
-    same = np.flatnonzero(shared == limit)
-    for i in range(0, len(same), 1 << 16):
-        some = same[i : i + (1 << 16)]
-        step = np.arange(limit)
-        if (raw[a[some][:, None] + step] != raw[b[some][:, None] + step]).any():
+def _sorted(raw, a, b, shared, limit) -> bool:
+    """Whether the neighbours of each segment share the bytes they are said to share, and no more, and ascend.
+
+    If all do, the order is right and equal strings stand together, whatever hashes collided on the way.
+    """
+    pairs, step = np.flatnonzero(shared >= 0), np.arange(limit)
+    for i in range(0, len(pairs), 1 << 14):
+        some = pairs[i : i + (1 << 14)]
+        x, y = raw[a[some][:, None] + step], raw[b[some][:, None] + step]
+        differs = x != y
+        at = differs.argmax(1)
+        row = np.arange(len(some))
+        n = np.where(differs[row, at], at, limit)
+        if (n != shared[some]).any() or ((x[row, at] > y[row, at]) & (n < limit)).any():
             return False
     return True
