@@ -9,7 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, sized
+
+
+def _minima(df: DataFrame) -> DataFrame:
+    """One row per node, written, so that its join is a broadcast if its size allows or else one whose skewed keys Spark can split."""
+    return sized(materialize(df, "least"), 64)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -20,12 +25,13 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         # Large star: a node's greater neighbours hang from its least neighbour.
         both = e.select("a", "b").unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        least = _minima(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = materialize(large, "edges")
         # Small star: a node and its lesser neighbours hang from the least of them.
-        low = large.groupBy("a").agg(F.min("b").alias("m"))
-        joined = large.join(low, "a")
-        small = joined.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b"))).distinct()
+        low = _minima(large.groupBy("a").agg(F.min("b").alias("m")))
+        joined = large.join(low, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        small = joined.unionByName(low.select("a", F.col("m").alias("b"))).distinct()
         e = materialize(small, "edges")
         now = e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == state:

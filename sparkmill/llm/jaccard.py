@@ -6,27 +6,31 @@
    classes that pairs of its size can share.  There are more pieces than differences by an
    eighth; a document with as many empty pieces as that also sends its prefix (its least
    hashes, of which two linked sets share one).  A signature that
-   several documents have joins them, by a star to the least id, into candidate groups;
-   no pair of linked documents lies across two groups.
+   several sets have joins them, by a star to one of them, into candidate groups;
+   no pair of linked sets lies across two groups.  Copies are one set before any edge is made.
 2. Search.  Only documents of candidate groups have their whole shingle sets shuffled, one
    per distinct set.  Inside a group each document asks which earlier ones reach the
    overlap T: its longest inverted lists are set aside (DivideSkip), the short ones are
-   heap-merged for documents that occur often enough to reach T with the long lists' help, and
-   those are probed in the long lists by binary search.
+   heap-merged, skipping ahead where too few agree, for documents that occur often enough to reach T with the
+   long lists' help, and those are probed in the long lists by binary search.
 3. Components of the links found.
 
 Skew: copies collapse to one set; signatures are made distinct in every task before the
-shuffle; a group above GROUP sets is cut into blocks and every two blocks meet in a task
+shuffle; a group of more than POSTINGS shingles is cut into blocks, by its work, and every two blocks meet in a task
 of their own.  Candidates that are in a document's own component already are
-not probed, so a large group of near copies costs a few probes per document; `all_links` probes them all.
+skipped by the merge, so a large group of near copies
+costs a few probes per document; `all_links` probes them all.
 
 Edge cases: null or empty texts have an empty set and no links; a null id takes part in no
-link and has a null component; rows that repeat an id are one node; an empty table gives no rows.
+link and has a null component; rows that repeat an id are one node, which joins the components of their texts;
+other columns take no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import heapq
+from array import array
+from bisect import bisect_left
 from itertools import groupby
 
 import numpy as np
@@ -34,19 +38,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, sized, slices, text_bytes
+from .common import materialize, release, sized, slices, text_bytes
 from .components import components
 from .hashing import mix, prefixes, ragged, spans
 
 #: Link where PERCENT * union <= 100 * intersection.
 PERCENT = 90
 WORDS = 3
-#: Distinct sets in one search task; a larger group meets block by block.
-GROUP = 1024
+#: Postings (shingles of all sets) in one search; a larger group meets block by block.
+POSTINGS = 1 << 18
 #: One more piece for so many: linked sets then share more pieces than are likely to be empty.
 SPARE = 8
 SPREAD = 4
-FLUSH = 1 << 20
+FLUSH = 1 << 19
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -121,6 +125,38 @@ def _linked(shared: int, a: int, b: int, percent: int) -> bool:
     return shared * (100 + percent) >= percent * (a + b)
 
 
+def _merged(posting, lo: list[int], hi: list[int], need: int, wanted):
+    """(document, lists that have it), ascending, of the documents that at least `need` of the sorted lists
+    posting[lo:hi] have: a heap of the lists' heads, whose lists skip ahead where too few agree.
+    wanted: the first document from a given one on that is of interest, or None."""
+    k = len(lo)
+    heap = [posting[p] * k + j for j, (p, end) in enumerate(zip(lo, hi)) if p < end]
+    heapq.heapify(heap)
+    while len(heap) >= need:
+        y = wanted(heap[0] // k)
+        if y is None:
+            return
+        popped, goal = [], y
+        while heap and heap[0] < y * k:  # behind
+            popped.append(heapq.heappop(heap) % k)
+        if not popped:
+            while heap and heap[0] < (y + 1) * k:
+                popped.append(heapq.heappop(heap) % k)
+            goal = y + 1
+            if len(popped) >= need:
+                yield y, len(popped)
+            else:
+                while heap and len(popped) < need - 1:
+                    popped.append(heapq.heappop(heap) % k)
+                if not heap:
+                    return  # the lists left are fewer than needed
+                goal = heap[0] // k
+        for j in popped:
+            lo[j] = bisect_left(posting, goal, lo[j], hi[j])
+            if lo[j] < hi[j]:
+                heapq.heappush(heap, posting[lo[j]] * k + j)
+
+
 def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False) -> list[tuple[int, int]]:
     """Links (i, j) among the sets: all of them, or as many as span every component of the link graph."""
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
@@ -130,19 +166,10 @@ def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False)
     doc = np.repeat(np.arange(len(order)), sizes)
     posts = np.argsort(where, kind="stable")  # postings by token, documents ascending inside
     lists = np.r_[0, np.cumsum(np.bincount(where, minlength=len(token)))]
-    posting, flat = doc[posts], where[posts] * len(order) + doc[posts]
-    root, links = list(range(len(order))), []
-
-    def find(x):
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    def join(x, y):
-        links.append((order[x], order[y]))
-        a, b = find(x), find(y)
-        root[max(a, b)] = min(a, b)
+    flat = where[posts] * len(order) + doc[posts]
+    posting = array("q", doc[posts].tobytes())
+    del token, posts, doc
+    of, links = np.arange(len(order)), []  # of: the component of each so far
 
     for x in range(1, len(order)):
         n = int(sizes[x])
@@ -153,57 +180,45 @@ def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False)
         # DivideSkip: long lists aside, so that T - aside occurrences in the short ones are needed.
         own = where[edge[x] : edge[x + 1]]
         lens = lists[own + 1] - lists[own]
-        most = int(lens.max())
-        aside = min(least - 1, int(least / (0.01 * max(most, 2).bit_length() + 1)))
+        aside = min(least - 1, int(least / (0.01 * max(int(lens.max()), 2).bit_length() + 1)))
         by = np.argsort(lens, kind="stable")
         short, long_ = own[by[: n - aside]], own[by[n - aside :]]
-        need = least - aside
-        runs = [posting[lists[t] : lists[t + 1]] for t in short]
-        if sum(map(len, runs)) <= 512:
-            met = [(y, sum(1 for _ in g)) for y, g in groupby(heapq.merge(*(r.tolist() for r in runs)))]
-            met = [(y, k) for y, k in met if first <= y < x and k >= need]
-        else:  # the same merge of sorted runs, by numpy's merging sort
-            y, k = np.unique(np.sort(np.concatenate(runs), kind="stable"), return_counts=True)
-            some = (y >= first) & (y < x) & (k >= need)
-            met = list(zip(y[some].tolist(), k[some].tolist()))
-        for y, k in sorted(met, key=lambda m: -m[1]):
-            if every or find(y) != find(x):  # else their component is known already
-                probe = long_ * len(order) + y
-                hit = flat[np.minimum(np.searchsorted(flat, probe), len(flat) - 1)] == probe
-                if _linked(k + int(hit.sum()), n, int(sizes[y]), percent):
-                    join(x, y)
+        lo = [bisect_left(posting, first, a, b) for a, b in zip(lists[short].tolist(), lists[short + 1].tolist())]
+        hi = [bisect_left(posting, x, a, b) for a, b in zip(lo, lists[short + 1].tolist())]
+        open_ = range(first, x)  # what x may still have to be linked with
+
+        def wanted(y, open_=lambda: open_):
+            i = bisect_left(open_(), y)
+            return open_()[i] if i < len(open_()) else None
+
+        for y, k in _merged(posting, lo, hi, least - aside, wanted):
+            probe = long_ * len(order) + y
+            hit = flat[np.minimum(np.searchsorted(flat, probe), len(flat) - 1)] == probe
+            if _linked(k + int(hit.sum()), n, int(sizes[y]), percent):
+                links.append((order[x], order[y]))
+                if not every:  # all others of y's component are known to be in x's now
+                    of[of == of[x]] = of[y]
+                    open_ = (np.flatnonzero(of[first:x] != of[x]) + first).tolist()
     return links
 
 
-def _flush(sigs, ids, buckets):
-    """Distinct signatures with their least id by bucket, and star edges among the rest."""
-    sig, doc = np.concatenate(sigs), np.concatenate(ids)
-    order = np.lexsort((doc, sig))
-    sig, doc = sig[order], doc[order]
+def _flush(sigs, nodes, buckets):
+    """Distinct signatures with their least set by bucket, and star edges among the rest."""
+    sig, node = np.concatenate(sigs), np.concatenate(nodes)
+    order = np.lexsort((node, sig))
+    sig, node = sig[order], node[order]
     new = np.r_[True, sig[1:] != sig[:-1]]
-    head = doc[new][np.cumsum(new) - 1]
-    stars = np.unique(np.stack([doc, head])[:, doc != head], axis=1)
-    sig, doc = sig[new], doc[new]
+    head = node[new][np.cumsum(new) - 1]
+    stars = np.unique(np.stack([node, head])[:, node != head], axis=1)
+    sig, node = sig[new], node[new]
     bucket = (sig >> _U(32)) * _U(buckets) >> _U(32)
     edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    rows = [(int(bucket[a]), 0, sig[a:b].tobytes(), _pack(doc[a:b])) for a, b in zip(edge, np.r_[edge[1:], len(sig)])]
+    rows = [(int(bucket[a]), 0, sig[a:b].tobytes(), node[a:b].tobytes()) for a, b in zip(edge, np.r_[edge[1:], len(sig)])]
     if stars.shape[1]:
         rows.append((int(stars[0, 0] % buckets), 1, stars[0].tobytes(), stars[1].tobytes()))
     return rows
 
 
-def _pack(ids: np.ndarray) -> bytes:
-    """The least id, then the differences to it in four bytes where they fit, else in eight."""
-    low = ids.min()
-    far = (ids - low).view(np.uint64)
-    return low.tobytes() + (far.astype(np.uint32) if far.max() >> _U(32) == 0 else far).tobytes() + (b"4" if far.max() >> _U(32) == 0 else b"8")
-
-
-def _unpack(raw: bytes) -> np.ndarray:
-    far = np.frombuffer(raw[8:-1], np.uint32 if raw[-1:] == b"4" else np.uint64)
-    return np.frombuffer(raw[:8], np.int64) + far.astype(np.int64)
-
-
 _MEETS = "array<struct<g1:bigint,c:int,i:int,d:int,j:int>>"
 #: A set's place: its block i of `own` in its size class, and the blocks of the classes above and below; null in small groups.
 _PLACED = ["rep", "label", "class", "i", "own", "above", "below"]
@@ -214,20 +229,22 @@ _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()),
 
 
 def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(kind, a, b, c, d): kind 1 edges (a, b); kind 2 documents (id, set size, 128-bit set hash).  Materialized."""
+    """(kind, a, b, c, d): kind 1 edges (a, b) between sets, by the first 64 bits of their hashes; kind 2
+    documents (id, set size, 128-bit set hash); kind 3 documents without an id (0, set size).  Materialized."""
     buckets = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def send(batches):
-        sigs, ids, held, turn = [], [], 0, 0
+        sigs, nodes, held, turn, seen = [], [], 0, 0, set()
         for batch in slices(batches, "text"):
             info = []
             for i, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), words)):
                 check = [np.add.reduce(mix(s + p)) if len(s) else _U(0) for p in _PLACE[:2]]
                 info.append((i, len(s), *(int(x.astype(np.int64)) for x in check)))
-                if i is not None and len(s):
+                if i is not None and len(s) and info[-1][1:] not in seen:
+                    seen.add(info[-1][1:])
                     found = signatures(s, percent)
                     sigs.append(found)
-                    ids.append(np.full(len(found), i, np.int64))
+                    nodes.append(np.full(len(found), info[-1][2], np.int64))
                     held += len(found)
             turn += 1
             known = [np.array([x[k] for x in info if x[0] is not None], np.int64) for k in range(4)]
@@ -236,11 +253,11 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
             if nulls:
                 rows.append((turn * 7919 % buckets, 3, np.array(nulls, np.int64).tobytes(), b""))
             if held >= FLUSH:
-                rows += _flush(sigs, ids, buckets)
-                sigs, ids, held = [], [], 0
+                rows += _flush(sigs, nodes, buckets)
+                sigs, nodes, held, seen = [], [], 0, set()
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)] if rows else [pa.array([], f.type) for f in _SENT], schema=_SENT)
         if sigs:
-            rows = _flush(sigs, ids, buckets)
+            rows = _flush(sigs, nodes, buckets)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
 
     def meet(table):
@@ -249,7 +266,7 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         out = []
         sent = [(a, b) for k, a, b in rows if k == 0]
         if sent:
-            sig, doc = np.frombuffer(b"".join(a for a, _ in sent), np.uint64), np.concatenate([_unpack(b) for _, b in sent])
+            sig, doc = np.frombuffer(b"".join(a for a, _ in sent), np.uint64), np.frombuffer(b"".join(b for _, b in sent), np.int64)
             order = np.lexsort((doc, sig))
             sig, doc = sig[order], doc[order]
             new = np.r_[True, sig[1:] != sig[:-1]]
@@ -260,6 +277,7 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         out += [(3, np.stack([np.zeros(len(a) // 8, np.int64), ints(a)])) for k, a, b in rows if k == 3]
         cols = [np.concatenate([np.full(x.shape[1], k, np.int32) for k, x in out])]
         cols += [np.concatenate([x[c] if c < len(x) else np.zeros(x.shape[1], np.int64) for _, x in out]) for c in range(4)]
+        release(2)
         return pa.Table.from_arrays([pa.array(c) for c in cols], schema=_FOUND)
 
     ddl = "bucket int, kind int, a binary, b binary"
@@ -283,7 +301,7 @@ def _documents(found: DataFrame) -> DataFrame:
     return found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d")
 
 
-def _linked_sets(docs: DataFrame, words: int, percent: int, group: int, every: bool):
+def _linked_sets(docs: DataFrame, words: int, percent: int, postings: int, every: bool):
     """Signatures and documents as candidates gives them, the distinct sets (n, c, d, rep), and links (a, b) between their reps."""
     spark = docs.sparkSession
     bins = SPREAD * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -292,17 +310,17 @@ def _linked_sets(docs: DataFrame, words: int, percent: int, group: int, every: b
     # One representative per distinct set, the least id: grouped with partial minima.
     classes = materialize(info.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep")), "classes")
     groups = components(found.where("kind = 1").select("a", "b"))
-    members = classes.join(groups, classes["rep"] == groups["node"]).select("rep", "n", F.col("component").alias("label")).distinct()
+    members = classes.join(groups, classes["c"] == groups["node"]).select("rep", "n", F.col("component").alias("label")).distinct()
     members = materialize(members, "members")
-    count = members.groupBy("label").agg(F.count("*").alias("g")).where("g > 1")
+    count = members.groupBy("label").agg(F.count("*").alias("g"), F.sum("n").alias("all")).where("g > 1")
     placed = members.join(count, "label")
     edges = F.array(*(F.lit(e) for e in _classes(percent, 1 << 40)))
-    large = placed.where(F.col("g") > group).withColumn("class", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
-    blocks = large.groupBy("label", "class").agg(F.ceil(F.count("*") / (group / 2)).cast("int").alias("m"))
+    large = placed.where(F.col("all") > postings).withColumn("class", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
+    blocks = large.groupBy("label", "class").agg(F.ceil(F.sum("n") / (postings / 2)).cast("int").alias("m"))
     near = lambda by, name: blocks.select("label", (F.col("class") - by).alias("class"), F.col("m").alias(name))
     large = large.join(near(0, "own"), ["label", "class"]).join(near(1, "above"), ["label", "class"], "left").join(near(-1, "below"), ["label", "class"], "left")
     large = large.withColumn("i", F.pmod(F.xxhash64("rep"), F.col("own")).cast("int")).select(*_PLACED)
-    small = placed.where(F.col("g") <= group).select("rep", "label", *(F.lit(None).cast("int").alias(c) for c in _PLACED[2:]))
+    small = placed.where(F.col("all") <= postings).select("rep", "label", *(F.lit(None).cast("int").alias(c) for c in _PLACED[2:]))
     placed = materialize(small.unionByName(large), "placed")
 
     def whole(batches):
@@ -325,15 +343,16 @@ def _linked_sets(docs: DataFrame, words: int, percent: int, group: int, every: b
             places = list(places)
             links = search([np.frombuffer(held[i], np.uint64) for i in places], percent, every)
             out += [(int(rep[places[i]]), int(rep[places[j]])) for i, j in links]
+        release(2)
         return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([y for _, y in out], pa.int64())})
 
     return found, classes, dealt.groupBy("g1", "c", "i", "d", "j").applyInArrow(look, "a long, b long")
 
 
-def all_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+def all_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, postings: int = POSTINGS) -> DataFrame:
     """a, b, a_copies, b_copies: every linked pair of different sets, as their least ids (a < b), each
     for a_copies * b_copies pairs of documents; copies of one set are linked as well and not listed."""
-    found, _, links = _linked_sets(docs, words, percent, group, True)
+    found, _, links = _linked_sets(docs, words, percent, postings, True)
     copies = _documents(found).where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep"), F.countDistinct("doc_id").alias("copies"))
     copies = materialize(copies, "copies")
     side = lambda k: copies.select(F.col("rep").alias(k), F.col("copies").alias(f"{k}_copies"))
@@ -341,15 +360,20 @@ def all_links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group
     return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_copies", "b_copies")
 
 
-def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, group: int = GROUP) -> DataFrame:
+def link_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, postings: int = POSTINGS) -> DataFrame:
     """doc_id, n_shingles, component_id for every row of docs; of the links only a spanning set is verified."""
-    found, classes, links = _linked_sets(docs, words, percent, group, False)
+    found, classes, links = _linked_sets(docs, words, percent, postings, False)
     info = _documents(found)
-    joined = materialize(components(links), "linked")
+    some = info.where("n > 0")
+    # An id that several texts have joins their sets.
+    several = some.groupBy("doc_id").agg(F.min(F.struct("n", "c", "d")).alias("lo"), F.max(F.struct("n", "c", "d")).alias("hi")).where("lo <> hi").select("doc_id")
+    same = some.join(several, "doc_id").join(classes, ["n", "c", "d"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    joined = materialize(components(links.unionByName(same)), "linked")
     best = classes.join(joined, classes["rep"] == joined["node"], "left").select("n", "c", "d", F.coalesce("component", "rep").alias("component"))
-    out = info.join(best, ["n", "c", "d"], "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id"))
+    out = some.join(best, ["n", "c", "d"]).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    empty = info.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     nulls = found.where("kind = 3").select(F.lit(None).cast("long").alias("doc_id"), F.col("b").alias("n_shingles"), F.lit(None).cast("long").alias("component_id"))
-    return out.unionByName(nulls)
+    return out.unionByName(empty).unionByName(nulls)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:

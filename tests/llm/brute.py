@@ -51,26 +51,26 @@ def shingles(text, k=3):
 
 
 def components(docs, k=3, percent=90):
-    """(doc_id, text) rows -> {doc_id: (n_shingles, component)}."""
-    sets = {i: shingles(t, k) for i, t in docs if i is not None}
+    """(doc_id, text) rows -> {doc_id: (n_shingles, component)}; an id is one node, whatever texts it has (n_shingles: of the last)."""
+    rows = [(i, shingles(t, k)) for i, t in docs if i is not None]
     lists = defaultdict(list)
-    for i in sorted(sets):
-        for s in sets[i]:
-            lists[s].append(i)
-    root = {i: i for i in sets}
+    for r, (_, s) in enumerate(rows):
+        for x in s:
+            lists[x].append(r)
+    root = {i: i for i, _ in rows}
 
     def find(x):
         while root[x] != x:
             x = root[x]
         return x
 
-    for i in sorted(sets):
-        shared = Counter(j for s in sets[i] for j in lists[s] if j < i)
-        for j, n in shared.items():
-            if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n):
-                a, b = find(i), find(j)
+    for r, (i, s) in enumerate(rows):
+        shared = Counter(q for x in s for q in lists[x] if q < r)
+        for q, n in shared.items():
+            if 100 * n >= percent * (len(s) + len(rows[q][1]) - n):
+                a, b = find(i), find(rows[q][0])
                 root[max(a, b)] = min(a, b)
-    return {i: (len(sets[i]), find(i)) for i in sets}
+    return {i: (len(s), find(i)) for i, s in rows}
 
 
 def crc(ids):

@@ -32,7 +32,7 @@ def test_removed_bytes(spark, hot):
 
     rows = odd_rows()
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = repeats.remove_repeats(docs, hot=hot).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256), "bucket", "n").collect()
+    got = repeats.remove_repeats(docs, hot=hot).select("doc.doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256), "doc.bucket", "doc.n").collect()
     want = removed([x[:2] for x in rows])
     key = lambda x: tuple((v is None, v) for v in x)
     assert sorted(map(key, (tuple(x)[:5] for x in got))) == sorted(map(key, want))
@@ -44,18 +44,87 @@ def test_removed_bytes_of_the_table(spark):
     from pyspark.sql import functions as F
 
     docs = table(spark, f"{DATA}/sf0.001", "documents").select("doc_id", "text")
-    got = repeats.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    got = repeats.remove_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
     assert sorted(map(tuple, got)) == sorted(removed([tuple(x) for x in docs.collect()]))
 
 
-@pytest.mark.parametrize("group", [1024, 7])
-def test_components(spark, group):
-    rows = [x for x in odd_rows()[:-4]] + [(None, "a b c d", None, 1), (None, None, None, 2)]
+@pytest.mark.parametrize("bits", [8, 3, 64])
+@pytest.mark.parametrize("hot", [8, 2])
+def test_collisions_remove_nothing_else(monkeypatch, bits, hot):
+    """The steps of remove_repeats on parts held here, with hashes of a few bits."""
+    import hashlib
+
+    import numpy as np
+    import pyarrow as pa
+
+    from sparkmill.llm import suffixes
+
+    mask = np.uint64((1 << bits) - 1)
+    for module, name in ((repeats, "mix"), (repeats, "spans"), (suffixes, "spans")):
+        monkeypatch.setattr(module, name, lambda *x, f=getattr(module, name): f(*x) & mask)
+    rows = [x[:2] for x in odd_rows()]
+    shown = lambda rows, ddl: repeats._table(rows, ddl)
+    parts = [repeats._Part(pa.table({"__text": pa.array([t for _, t in rows[k::5]], pa.string()), "__id": pa.array([i for i, _ in rows[k::5]], pa.int64())}), 50, 19) for k in range(5)]
+    sent = [r for k, p in enumerate(parts) for r in repeats._anchors(p, k, 3, hot)]
+    known = [r for b in range(3) if (own := [r for r in sent if r[0] == b]) for r in repeats._survivors(*zip(*(r[1:] for r in own)))]
+    of = lambda k: [np.sort(repeats._unpack(b"".join(r[c] for r in known if r[0] == k))) for c in (1, 2)]
+    spread = [r for k, p in enumerate(parts) for r in repeats._contexts(p, k, *of(k), 3, 50)]
+    replies = [(*r, b"") for b in range(3) if (own := [r for r in spread if r[0] == b]) for r in repeats._least_ids(shown(own, repeats._SEND), 50, 19, 81)]
+    replies += [(k, b"", b"", b"", b"", repeats._pack(of(k)[1])) for k in range(5)]
+    got = []
+    for k, p in enumerate(parts):
+        gone = repeats._cuts(p, shown([r for r in replies if r[0] == k], repeats._REPLY), 50)
+        for (i, _), lo, hi in zip(rows[k::5], p.at, p.at[1:]):
+            got.append((i, int(hi - lo), int(gone[lo:hi].sum()), hashlib.sha256(p.raw[lo:hi][~gone[lo:hi]].tobytes()).hexdigest()))
+    key = lambda x: tuple((v is None, v) for v in x)
+    assert sorted(map(key, got)) == sorted(key((i, n, m, h)) for i, n, m, _, h in removed(rows))
+
+
+def test_suffixes_are_sorted_whatever_collides(monkeypatch):
+    import numpy as np
+
+    from sparkmill.llm import hashing, suffixes
+
+    r = np.random.default_rng(1)
+    raw = np.tile(r.integers(97, 99, 300).astype(np.uint8), 3)
+    starts, segment = np.arange(800), np.repeat(np.arange(4), 200).astype(np.uint64)
+    for bits in (64, 8, 2):
+        monkeypatch.setattr(suffixes, "spans", lambda *x: hashing.spans(*x) & np.uint64((1 << bits) - 1))
+        order, shared = suffixes.sort_suffixes(raw, hashing.prefixes(raw), starts, segment, 60)
+        texts = [raw[i : i + 60].tobytes() for i in starts[order]]
+        for k in range(4):
+            assert texts[200 * k : 200 * k + 200] == sorted(raw[i : i + 60].tobytes() for i in range(200 * k, 200 * k + 200))
+        for i in range(1, 800):
+            n = next((j for j in range(60) if texts[i][j] != texts[i - 1][j]), 60)
+            assert shared[i] == (-1 if i % 200 == 0 else n)
+
+
+def test_cleaned_texts_and_clashing_names(spark):
+    rows = odd_rows()
+    docs = spark.createDataFrame([(*x, b"own", 7, -1, "s", "p") for x in rows], SCHEMA + ", kept binary, n_bytes int, n_chars int, spans string, `doc` string")
+    got = repeats.cleaned(docs)
+    assert got.schema["n_bytes"].dataType == docs.schema["n_bytes"].dataType and got.columns == docs.columns
+    assert repeats.remove_repeats(docs).select("doc.kept").distinct().collect() == [(b"own",)]
+    texts = {x["n"]: x for x in got.where("doc_id is not null").collect()}
+    assert all(bytes(x["kept"]) == b"own" and x["n_bytes"] == 7 and x["spans"] == "s" and x["doc"] == "p" for x in texts.values())
+    assert all((x["text"] is None) == (rows[n][1] is None) and x["n_chars"] == (len(x["text"]) if x["text"] is not None else -1) for n, x in texts.items())
+    accents = spark.createDataFrame([(1, "ab" * 24 + "é"), (2, "cc" + "ab" * 24 + "è" + "dd"), (3, "ab" * 24 + "é" + "ff")], "doc_id long, text string")
+    # The first byte of both letters is one, so 50 bytes are shared with the letter cut in two.
+    assert {x["doc_id"]: x["text"] for x in repeats.cleaned(accents).collect()} == {1: "ab" * 24 + "é", 2: "cc" + "ab" * 24 + "è" + "dd", 3: "ff"}
+    odd = spark.createDataFrame([(1, "ab" * 25 + "xé"), (2, "ab" * 25 + "yé")], "doc_id long, text string")
+    assert {x["doc_id"]: x["text"] for x in repeats.cleaned(odd).collect()} == {1: "ab" * 25 + "xé", 2: "yé"}
+    half = spark.createDataFrame([(1, "a" * 49 + "é"), (2, "a" * 49 + "è")], "doc_id long, text string")
+    assert {x["doc_id"]: x["text"] for x in repeats.cleaned(half).collect()} == {1: "a" * 49 + "é", 2: ""}
+
+
+@pytest.mark.parametrize("postings", [1 << 18, 700])
+def test_components(spark, postings):
+    rows = odd_rows()[:-2] + [(1, "another text of the first id", None, 1), (None, "a b c d", None, 1), (None, None, None, 2)]
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = {x[0]: tuple(x)[1:] for x in jaccard.link_components(docs, group=group).collect()}
+    got = [tuple(x) for x in jaccard.link_components(docs, postings=postings).collect()]
     want = components([x[:2] for x in rows])
-    assert {k: v for k, v in got.items() if k is not None} == want
-    assert got[None][1] is None
+    assert sorted(x for x in got if x[0] is not None) == sorted((i, len(shingles(text)), want[i][1]) for i, text, *_ in rows if i is not None)
+    assert sorted(x[1:] for x in got if x[0] is None) == [(0, None), (2, None)]
     assert len({c for _, c in want.values()}) < len(want) - 20
 
 
@@ -66,6 +135,41 @@ def test_components_of_the_table(spark, words, percent):
     assert got == components([tuple(x) for x in docs.collect()], words, percent)
 
 
+@pytest.mark.parametrize("percent", [90, 80])
+def test_search_finds_all_links_and_spans_components(percent):
+    import numpy as np
+
+    r = random.Random(11)
+
+    def rooted(n, links):
+        root = list(range(n))
+
+        def find(x):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a, b in links:
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+        return [find(i) for i in range(n)]
+
+    for _ in range(60):
+        size = r.choice([12, 40, 300])
+        base, sets = [r.getrandbits(60) for _ in range(size)], []
+        for _ in range(r.randrange(2, 40)):
+            s = set(base[: r.randrange(1, size + 1) if r.random() < 0.3 else size])
+            for _ in range(r.randrange(0, size // 8 + 2)):
+                s.discard(r.choice(base))
+                s.add(r.getrandbits(60))
+            sets.append(np.array(sorted(s), np.uint64))
+        same = {(j, i): len(np.intersect1d(sets[i], sets[j])) for i in range(len(sets)) for j in range(i)}
+        want = {(j, i) for (j, i), n in same.items() if 100 * n >= percent * (len(sets[i]) + len(sets[j]) - n)}
+        every, some = jaccard.search(sets, percent, True), jaccard.search(sets, percent)
+        assert {tuple(sorted(x)) for x in every} == want and len(every) == len(want)
+        assert {tuple(sorted(x)) for x in some} <= want and rooted(len(sets), some) == rooted(len(sets), want)
+
+
 def test_signatures_of_linked_sets_meet():
     import numpy as np
 
@@ -85,10 +189,10 @@ def test_signatures_of_linked_sets_meet():
             assert len(np.intersect1d(sa, sb)), (len(a), len(b), shared)
 
 
-@pytest.mark.parametrize("group", [1024, 7])
-def test_all_links(spark, group):
+@pytest.mark.parametrize("postings", [1 << 18, 700])
+def test_all_links(spark, postings):
     rows = [x for x in odd_rows()[:-4]]
-    got = [tuple(x) for x in jaccard.all_links(spark.createDataFrame(rows, SCHEMA), group=group).collect()]
+    got = [tuple(x) for x in jaccard.all_links(spark.createDataFrame(rows, SCHEMA), postings=postings).collect()]
     ids = {}
     for i, text, *_ in rows:
         if shingles(text):
@@ -112,7 +216,7 @@ def test_rows_counted_for_a_broadcast_are_as_small_as_counted(spark, monkeypatch
         return df
 
     monkeypatch.setattr(jaccard, "sized", sized)
-    got = {x[0]: tuple(x)[1:] for x in jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string"), group=4).collect()}
+    got = {x[0]: tuple(x)[1:] for x in jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string"), postings=600).collect()}
     assert got == components(rows) and len({c for _, c in got.values()}) == 1
     assert counted and all(largest <= row_bytes for row_bytes, largest in counted), counted
 
