@@ -4,16 +4,17 @@ Size is words.  Sources in code-point order (null last) weigh 5, 2, 1, repeating
 all sizes; a target stops at ``MAX_REPEATS`` times its source's size and the excess is
 shared again by weight.  Slot j is the golden-ratio point frac(j * phi), mapped through the
 cumulative targets to a source; slots are ranked per source, and the r-th slot of a source
-takes the r-th block of ``block`` words of that source's hash-shuffled documents laid end to
-end, over and over.  A closing block brings each source to its target exactly, so rounding
-of the schedule stays out of the totals.
+takes the r-th block of ``BLOCK`` words of that source's hash-shuffled documents laid end to
+end, over and over.  What a source gives is what its slots draw, no more and no less (but for words past
+MAX_REPEATS turns), so it is within a few blocks of its target, and any stretch of slots is mixed as the whole.
 
-Scale: a schedule has about ``SLOTS`` slots at any input size.  Sizes, never texts, are
-shuffled.  Running sums and ranks are made in (source, bin) and (source, chunk) groups
-with prefix sums over the groups, so a hot source is spread over many tasks.
+Scale: there is a slot per BLOCK words.  Sizes, never texts, are shuffled for the schedule.  Running
+sums and ranks are made in (source, bin) and (source, chunk) groups with prefix sums over
+the groups, so a hot source is spread over many tasks; the table of sources (one row each) is the
+only thing that one task sees whole.
 
 Edge cases: a null or empty text has size 0 and is never taken; a null source is a source of
-its own; repeated rows are separate documents; an empty table gives no rows.
+its own; repeated rows are separate documents; other columns take no part in the schedule; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,17 +26,27 @@ from .common import materialize, sized
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
-SLOTS = 1 << 18
+#: Words that a slot takes.  Larger blocks make fewer slots and coarser shares.
+BLOCK = 64
 BINS = 1 << 10
+#: Slots of a chunk, chunks of a group of chunks.
 CHUNK = 1 << 11
-#: floor(2**32 / golden ratio), odd: the fixed-point step of the schedule.
-STEP = 2654435769
+#: Points are multiples of 2**-48; STEP is 2**48 / golden ratio, made odd.
+BITS = 48
+STEP = 173961102589771
+#: Points are looked up in so many cells of the unit interval.
+CELLS = 12
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_SIZE = f"coalesce(regexp_count(text, '{WORD}'), 0)".replace("\\", "\\\\")
 
 
-def targets(sizes: DataFrame) -> DataFrame:
-    """sizes (source, size) -> skey, source_size, target, stop, lo, hi (its part of [0, 2**32)).
+def source_key() -> Column:
+    """Sources in code-point order, null last."""
+    return F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))
+
+
+def targets(sizes: DataFrame, block: int = BLOCK) -> DataFrame:
+    """sizes (skey, size) -> skey, source_size, target, lo, hi (its part of [0, 2**BITS)), slots (of all sources).
 
     Target is min(3 * size, level * weight) at the level where the targets sum to the total;
     the level is found over one row per source.
@@ -54,27 +65,40 @@ def targets(sizes: DataFrame) -> DataFrame:
     # The first source whose cap lies above the level reached there fixes the level for all after it.
     by = by.withColumn("final", F.min(F.when(F.col("ratio") >= F.col("level"), F.struct("ratio", "skey", "level"))).over(all_rows)["level"])
     by = by.withColumn("target", F.when(F.col("final").isNull(), F.col("cap")).otherwise(F.least("cap", F.col("final") * F.col("weight"))))
-    by = by.withColumn("stop", F.least(F.floor(F.col("target") + 0.5), F.col("source_size") * MAX_REPEATS))
     upto = order.rowsBetween(Window.unboundedPreceding, 0)
-    edge = lambda c: F.floor(F.lit(float(1 << 32)) * F.coalesce(c / F.col("total"), F.lit(0.0)))
+    edge = lambda c: F.floor(F.lit(float(1 << BITS)) * F.coalesce(c / F.col("total"), F.lit(0.0)))
     by = by.withColumn("hi", edge(F.sum("target").over(upto))).withColumn("lo", F.coalesce(F.lag("hi").over(order), F.lit(0).cast("long")))
-    by = by.withColumn("block", F.greatest(F.lit(1).cast("long"), F.ceil(F.col("total") / SLOTS)))
-    by = by.withColumn("slots", F.ceil(F.col("total") / F.col("block")))
-    return by.select("skey", "source_size", "target", "stop", "lo", "hi", "block", "slots")
+    # Rounding may leave the last edge short of the whole, or past it.
+    last = F.row_number().over(Window.orderBy(F.col("skey").desc())) == 1
+    by = by.withColumn("hi", F.when(last & (F.col("total") > 0), F.lit(1 << BITS)).otherwise(F.least("hi", F.lit(1 << BITS))))
+    return by.select("skey", "source_size", "target", "lo", "hi", F.ceil(F.col("total") / block).alias("slots"))
+
+
+def _point(slot: str) -> str:
+    """(slot * STEP) mod 2**BITS, in limbs of 14 bits, so that no product leaves 64 bits."""
+    limbs = (f"(((({slot} >> {k}) & 16383) * {STEP}L & {(1 << (BITS - k)) - 1}L) << {k})" for k in range(0, BITS, 14))
+    return f"(({' + '.join(limbs)}) & {(1 << BITS) - 1}L)"
+
+
+def _earlier(counts: DataFrame) -> DataFrame:
+    """counts (skey, chunk, n) -> skey, chunk, first: the sum of n over earlier chunks, by groups of chunks."""
+    counts = counts.withColumn("group", F.expr(f"chunk div {CHUNK}"))
+    before = lambda keys, by: Window.partitionBy(*keys).orderBy(by).rowsBetween(Window.unboundedPreceding, -1)
+    groups = counts.groupBy("skey", "group").agg(F.sum("n").alias("n"))
+    groups = groups.select("skey", "group", F.coalesce(F.sum("n").over(before(["skey"], "group")), F.lit(0)).alias("base"))
+    inside = counts.withColumn("at", F.coalesce(F.sum("n").over(before(["skey", "group"], "chunk")), F.lit(0)))
+    return inside.join(groups, ["skey", "group"]).select("skey", "chunk", (F.col("base") + F.col("at")).alias("first"))
 
 
 def schedule(spark, plan: DataFrame) -> DataFrame:
     """slot, skey, rank (of the slot in its source): which source each slot draws from."""
-    head = plan.agg(F.max("slots").alias("n")).first()
-    n = int(head["n"] or 0)
-    slots = spark.range(n).select(F.col("id").alias("slot"), F.expr(f"(id * {STEP}L) & {(1 << 32) - 1}L").alias("u"))
-    # Sources and points meet in the 4096 cells of [0, 2**32), so no pair outside a cell is made.
-    cells = plan.where("hi > lo").select("skey", "lo", "hi", F.explode(F.sequence(F.expr("lo >> 20"), F.expr("(hi - 1) >> 20"))).alias("cell"))
-    drawn = slots.withColumn("cell", F.expr("u >> 20")).join(sized(cells, 64), "cell").where("u >= lo and u < hi")
+    n = int(plan.agg(F.max("slots").alias("n")).first()["n"] or 0)
+    slots = spark.range(n).select(F.col("id").alias("slot"), F.expr(_point("id")).alias("u"))
+    # Sources and points meet in cells of the interval, so no pair outside a cell is made.
+    cells = plan.where("hi > lo").select("skey", "lo", "hi", F.explode(F.sequence(F.expr(f"lo >> {BITS - CELLS}"), F.expr(f"(hi - 1) >> {BITS - CELLS}"))).alias("cell"))
+    drawn = slots.withColumn("cell", F.expr(f"u >> {BITS - CELLS}")).join(sized(materialize(cells, "mix-cells"), 64), "cell").where("u >= lo and u < hi")
     drawn = drawn.select("slot", "skey", F.expr(f"slot div {CHUNK}").alias("chunk"))
-    counts = drawn.groupBy("skey", "chunk").agg(F.count("*").alias("n"))
-    before = Window.partitionBy("skey").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.select("skey", "chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    first = _earlier(drawn.groupBy("skey", "chunk").agg(F.count("*").alias("n")))
     own = Window.partitionBy("skey", "chunk").orderBy("slot")
     drawn = drawn.withColumn("at", F.row_number().over(own))
     return drawn.join(first, ["skey", "chunk"]).select("slot", "skey", (F.col("first") + F.col("at") - 1).alias("rank"))
@@ -88,7 +112,7 @@ def hash_order(key: Column) -> Column:
 def laid_out(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     """doc_id, skey, size, start: where each document begins in its source's shuffled row of words."""
     key = F.concat(F.lit(seed + "|"), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    rows = docs.select("doc_id", F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t")).alias("skey"), F.expr(WORD_SIZE).cast("long").alias("size"), hash_order(key).alias("h"))
+    rows = docs.select("doc_id", source_key().alias("skey"), F.expr(WORD_SIZE).cast("long").alias("size"), hash_order(key).alias("h"))
     rows = rows.withColumn("bin", F.expr(f"h div {(1 << 52) // BINS}L"))
     rows = materialize(rows, "mix-sizes")
     sums = rows.groupBy("skey", "bin").agg(F.sum("size").alias("n"))
@@ -99,66 +123,66 @@ def laid_out(docs: DataFrame, seed: str = "mix-1") -> DataFrame:
     return rows.join(first, ["skey", "bin"]).select("doc_id", "skey", "size", (F.col("first") + F.col("start")).alias("start"))
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """One row per document and block that takes words of it (slot null where none does):
-    doc_id, skey, size, start, source_size, target, stop, slot, epoch, word_lo, word_hi."""
-    spark = docs.sparkSession
+def mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """One row per document and slot that takes words of it (slot null where none does):
+    doc_id, skey, size, start, source_size, target, slots, slot, epoch, word_lo, word_hi."""
     laid = materialize(laid_out(docs), "mix-laid")
-    plan = materialize(targets(laid), "mix-plan")
-    slots = schedule(spark, plan)
-    # A source's blocks are equal; the last is cut at its target, and a closing block fills what is left.
-    took = slots.groupBy("skey").agg(F.max("rank").alias("last"))
-    p = plan.join(took, "skey", "left").withColumn("used", F.least("stop", (F.coalesce(F.col("last"), F.lit(-1)) + 1) * F.col("block")))
-    closing = p.where("used < stop").select(
-        F.lit(None).cast("long").alias("slot"), "skey", F.explode(F.expr("sequence(used div block, (stop - 1) div block)")).alias("rank"), F.col("used").alias("from"), F.col("stop").alias("to"), "block",
-    )
-    cut = slots.join(sized(plan.select("skey", "block", "stop"), 64), "skey").select("slot", "skey", "rank", (F.col("rank") * F.col("block")).alias("from"), F.least("stop", (F.col("rank") + 1) * F.col("block")).alias("to"), "block").where("from < to")
-    blocks = cut.unionByName(closing.select("slot", "skey", "rank", F.greatest("from", F.col("rank") * F.col("block")).alias("from"), F.least("to", (F.col("rank") + 1) * F.col("block")).alias("to"), "block")).drop("block")
-    rows = laid.join(sized(plan.select("skey", "source_size", "target", "stop", "block"), 64), "skey")
+    plan = materialize(targets(laid, block), "mix-plan")
+    slots = materialize(schedule(docs.sparkSession, plan), "mix-slots")
+    drawn = materialize(slots.groupBy("skey").agg(F.count("*").alias("drawn")), "mix-drawn")
+    # A source's words end where its slots do.
+    ends = plan.join(drawn, "skey", "left").withColumn("stop", F.least(F.coalesce("drawn", F.lit(0)) * block, F.col("source_size") * MAX_REPEATS)).drop("drawn", "lo", "hi")
+    rows = laid.join(sized(materialize(ends, "mix-ends"), 64), "skey")
     turns = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(MAX_REPEATS - 1))).alias("epoch")).withColumn("lo", F.col("start") + F.col("epoch") * F.col("source_size"))
     turns = turns.where("lo < stop and size > 0")
-    parts = turns.select("*", F.explode(F.expr("sequence(lo div block, (least(lo + size, stop) - 1) div block)")).alias("rank"))
-    taken = parts.join(blocks, ["skey", "rank"]).select(
-        "doc_id", "skey", "size", "start", "source_size", "target", "stop", "slot", "epoch",
-        F.greatest(F.col("from") - F.col("lo"), F.lit(0)).alias("word_lo"), F.least(F.col("to") - F.col("lo"), F.col("size")).alias("word_hi"),
-    ).where("word_lo < word_hi")
-    none = rows.where("size = 0 or start >= stop").select(
-        "doc_id", "skey", "size", "start", "source_size", "target", "stop",
-        F.lit(None).cast("long").alias("slot"), F.lit(None).cast("int").alias("epoch"), F.lit(0).cast("long").alias("word_lo"), F.lit(0).cast("long").alias("word_hi"),
+    parts = turns.select("*", F.explode(F.expr(f"sequence(lo div {block}, (least(lo + size, stop) - 1) div {block})")).alias("rank"))
+    cols = ["doc_id", "skey", "size", "start", "source_size", "target", "slots"]
+    taken = parts.join(slots, ["skey", "rank"]).select(
+        *cols, "slot", "epoch", F.greatest(F.col("rank") * block - F.col("lo"), F.lit(0)).alias("word_lo"),
+        (F.least((F.col("rank") + 1) * block, "stop", F.col("lo") + F.col("size")) - F.col("lo")).alias("word_hi"),
     )
+    none = rows.where("size = 0 or start >= stop").select(*cols, F.lit(None).cast("long").alias("slot"), F.lit(None).cast("int").alias("epoch"), F.lit(0).cast("long").alias("word_lo"), F.lit(0).cast("long").alias("word_hi"))
     return taken.unionByName(none)
 
 
-def taken_words(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source_size, target, taken: the mix summed per document.
+def taken_words(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """doc_id, size, source_size, target, taken, first_slot, n_pieces: the mix summed per document.
 
-    Documents of no size share a start, so their rows are counted, not merged.
+    Documents of no size share a start, so their rows are kept as they are, not merged.
     """
-    m = mix(docs)
-    some = m.where("size > 0").groupBy("doc_id", "skey", "start", "size", "source_size", "target").agg(F.sum(F.col("word_hi") - F.col("word_lo")).alias("taken"))
-    none = m.where("size = 0").withColumn("taken", F.lit(0).cast("long"))
-    cols = ["doc_id", "size", "source_size", "target", "taken"]
+    m = mix(docs, block)
+    some = m.where("size > 0").groupBy("doc_id", "skey", "start", "size", "source_size", "target").agg(F.sum(F.col("word_hi") - F.col("word_lo")).alias("taken"), F.min("slot").alias("first_slot"), F.count("slot").alias("n_pieces"))
+    zero = F.lit(0).cast("long")
+    none = m.where("size = 0").select("*", zero.alias("taken"), F.lit(None).cast("long").alias("first_slot"), zero.alias("n_pieces"))
+    cols = ["doc_id", "size", "source_size", "target", "taken", "first_slot", "n_pieces"]
     return some.select(*cols).unionByName(none.select(*cols))
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents as the mix takes them: one row per document and turn, columns unchanged.
+def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+    """The documents as the mix takes them, in the order of their first slots: one row per document and turn, columns unchanged.
 
-    A turn that a target cuts short (one document per source at most) keeps the words taken,
+    A turn that its source's end cuts short (one document per source at most) keeps the words taken,
     up to the white space before the next one.
     """
-    spans = mix(docs).where("word_lo < word_hi").groupBy("doc_id", "skey", "start", "size", "epoch").agg(F.max("word_hi").alias("__words"), F.min("word_lo").alias("__from"))
-    spans = spans.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id", "skey", "size", "epoch").orderBy("start")))
-    key = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("t"))
-    rows = docs.withColumn("__skey", key).withColumn("__size", F.expr(WORD_SIZE).cast("long"))
-    twins = Window.partitionBy("doc_id", "__skey", "__size").orderBy(F.xxhash64("text"))
-    rows = rows.withColumn("__row0", F.row_number().over(twins))
-    s = spans.select(F.col("doc_id").alias("__id"), F.col("skey").alias("__sk"), F.col("size").alias("__n"), "__row", "__words")
-    out = rows.join(s, rows["doc_id"].eqNullSafe(s["__id"]) & (rows["__skey"] == s["__sk"]) & (rows["__size"] == s["__n"]) & (rows["__row0"] == s["__row"]))
+    spans = mix(docs, block).where("slot is not null").groupBy("doc_id", "skey", "start", "size", "epoch", "slots").agg(F.max("word_hi").alias("__words"), F.min("slot").alias("__slot"))
+    key = lambda skey, size: F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size.cast("string"), skey)
+    spans = spans.withColumn("__key", key(F.col("skey"), F.col("size")))
+    # Rows that nothing tells apart but their texts are dealt the turns of one another's places.
+    spans = spans.withColumn("__turn", F.row_number().over(Window.partitionBy("__key", "epoch").orderBy("start")))
+    s = spans.select("__key", "__turn", "__words", "__slot", F.col("start").alias("__start"), F.col("slots").alias("__slots"))
+    size = F.expr(WORD_SIZE).cast("long")
+    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), key(source_key(), size).alias("__key"), size.alias("__size"))
+    rows = rows.withColumn("__row", F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text"))))
+    # Equal numbers as a difference of 0: the join then needs no other partitioning than the window's.
+    out = rows.join(s, "__key").where("__row - __turn = 0")
     pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     some = F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), "")
-    text = F.when(F.col("__words") == F.col("__size"), F.col("text")).otherwise(some)
-    out = out.withColumn("text", text)
+    whole = F.col("__words") == F.col("__size")
+    made = {"text": F.when(whole, F.col("text")).otherwise(some)}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        made["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(F.char_length(some)).cast(docs.schema["n_chars"].dataType)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = out.select(*((made[c] if c in made else F.col(f"`{c}`")).alias(c) for c in docs.columns), "__slot", "__start", "__slots")
+    # Slots are of one size, so equal stretches of them make even partitions.
+    out = out.repartitionById(parts, F.expr(f"cast(floor(__slot / __slots * {parts}) as int)")).sortWithinPartitions("__slot", "__start")
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -57,4 +57,26 @@ c AS (SELECT doc_id AS v, doc_id AS r FROM d UNION SELECT e.y, c.r FROM c JOIN e
 SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, min(c.r) AS component_id FROM d LEFT JOIN n USING (doc_id) JOIN c ON c.v = d.doc_id GROUP BY 1, 2
 """
 
-ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "op10_toccurrence_join": OP10}
+_STEP, _POINTS = 173961102589771, 1 << 48
+OP7 = rf"""
+WITH d AS (SELECT doc_id, coalesce('s' || source, 't') AS skey, len({_WORDS})::BIGINT AS size,
+  ('0x' || substr(md5('mix-1|' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT AS h FROM documents),
+l AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY skey ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM d),
+w AS (SELECT skey, sum(size)::BIGINT AS source_size, ([5.0, 2.0, 1.0])[((row_number() OVER (ORDER BY skey) - 1) % 3 + 1)::INT]::DOUBLE AS weight FROM d GROUP BY skey),
+r AS (SELECT *, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / weight AS ratio, (sum(source_size) OVER ())::DOUBLE AS total FROM w),
+v AS (SELECT *, (total - (sum(cap) OVER q - cap)) / (sum(weight) OVER () - (sum(weight) OVER q - weight)) AS level FROM r WINDOW q AS (ORDER BY ratio, skey ROWS UNBOUNDED PRECEDING)),
+f AS (SELECT arg_min(level, (ratio, skey)) AS final FROM v WHERE ratio >= level),
+t AS (SELECT skey, source_size, total, CASE WHEN final IS NULL THEN cap ELSE least(cap, final * weight) END AS target FROM v, f),
+e AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY skey DESC) = 1 THEN {_POINTS} ELSE floor({_POINTS}::DOUBLE * sum(target) OVER (ORDER BY skey ROWS UNBOUNDED PRECEDING) / total)::BIGINT END AS hi FROM t),
+b AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY skey), 0) AS lo FROM e),
+p AS (SELECT slot, ((slot::HUGEINT * {_STEP}) % {_POINTS})::BIGINT AS u FROM (SELECT unnest(range(0, (SELECT ceil(sum(size) / 64)::BIGINT FROM d))) AS slot)),
+s AS (SELECT slot, skey, row_number() OVER (PARTITION BY skey ORDER BY slot) - 1 AS rank FROM p JOIN b ON u >= lo AND u < hi),
+n AS (SELECT skey, count(*) AS drawn FROM s GROUP BY skey),
+x AS (SELECT doc_id, l.skey, size, start, source_size, target, least(coalesce(drawn, 0) * 64, 3 * source_size) AS stop FROM l JOIN b USING (skey) LEFT JOIN n USING (skey)),
+y AS (SELECT *, start + epoch * source_size AS lo FROM x, (SELECT unnest([0, 1, 2]) AS epoch)),
+z AS (SELECT doc_id, size, source_size, target, skey, start, least(lo + size, stop) - lo AS got, CASE WHEN size > 0 AND lo < stop THEN lo // 64 END AS r0, (least(lo + size, stop) - 1) // 64 AS r1 FROM y)
+SELECT doc_id, z.size, source_size, target, coalesce(sum(got) FILTER (r0 IS NOT NULL), 0)::BIGINT AS taken, min(slot) AS first_slot, coalesce(sum(r1 - r0 + 1), 0)::BIGINT AS n_pieces
+FROM z LEFT JOIN s ON s.skey = z.skey AND s.rank = z.r0 GROUP BY doc_id, z.skey, start, z.size, source_size, target
+"""
+
+ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "op7_golden_mix": OP7, "op10_toccurrence_join": OP10}

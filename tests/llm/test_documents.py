@@ -60,9 +60,14 @@ def test_mix(spark, odd, none):
             open_ -= over
         assert sorted((r["size"] for r in got)) == sorted(rules(r["text"])[0] for r in rows)
         assert all(r["taken"] <= 3 * r["size"] for r in got)
-        assert math.isclose(sum(r["taken"] for r in got), total, abs_tol=len(names))
+        assert math.isclose(sum(r["taken"] for r in got), total, abs_tol=mix.BLOCK * len(names))
         for s, t in want.items():
             assert any(math.isclose(r["target"], t, rel_tol=1e-9, abs_tol=1e-6) and r["source_size"] == size[s] for r in got)
+        by_target = {}
+        for r in got:
+            by_target[r["source_size"], round(r["target"], 6)] = by_target.get((r["source_size"], round(r["target"], 6)), 0) + r["taken"]
+        if len(rows) > 100:
+            assert all(abs(n - t) <= 3 * mix.BLOCK for (_, t), n in by_target.items())
         assert sorted(map(tuple, mix.taken_words(docs).collect()), key=repr) == sorted(map(tuple, got), key=repr)
         out = mix.mixed_documents(docs)
         assert out.columns == docs.columns
@@ -70,6 +75,50 @@ def test_mix(spark, odd, none):
     assert mix.taken_words(none).count() == 0 and mix.mixed_documents(none).count() == 0
 
 
+def test_points_ranks_and_slots(spark):
+    """schedule() and mix() against plain Python."""
+    n, step = 5000, int((math.sqrt(5) - 1) / 2 * 2**48) | 1
+    assert abs(step - mix.STEP) < 2**10 and mix.STEP % 2 == 1
+    edges = [0, 2**48 // 3, 2**48 // 3, 2**48 // 3 + 10**11, 2**48]
+    plan = spark.createDataFrame([(k, lo, hi, n) for k, lo, hi in zip("abcd", edges, edges[1:])], "skey string, lo long, hi long, slots long")
+    got = sorted(tuple(r) for r in mix.schedule(spark, plan).collect())
+    want, seen = [], {}
+    for slot in range(n):
+        u = slot * mix.STEP % 2**48
+        k = next(k for k, lo, hi in zip("abcd", edges, edges[1:]) if lo <= u < hi)
+        want.append((slot, k, seen.get(k, 0)))
+        seen[k] = seen.get(k, 0) + 1
+    assert got == want and "b" not in seen
+    far = [(1 << 62) + 12345, (1 << 32) - 1, 7]
+    points = spark.createDataFrame([(x,) for x in far], "slot long").select(F.expr(mix._point("slot"))).collect()
+    assert [r[0] for r in points] == [x * mix.STEP % 2**48 for x in far]
+    docs = table(spark, f"{DATA}/sf0.001", "documents")
+    rows = mix.mix(docs).where("slot is not null").collect()
+    total = sum(x[0] for x in docs.select(F.expr(mix.WORD_SIZE)).collect())
+    by_slot, by_source = {}, {}
+    for r in rows:
+        at = r["start"] + r["epoch"] * r["source_size"]
+        by_slot.setdefault(r["slot"], []).append((r["skey"], at + r["word_lo"], at + r["word_hi"]))
+    for slot, parts in sorted(by_slot.items()):
+        (k,) = {p[0] for p in parts}
+        rank = by_source[k] = by_source.get(k, -1) + 1  # the next block of its source, in whole
+        assert min(p[1] for p in parts) == rank * mix.BLOCK and max(p[2] for p in parts) <= (rank + 1) * mix.BLOCK
+        assert sum(p[2] - p[1] for p in parts) == max(p[2] for p in parts) - rank * mix.BLOCK
+    assert len(by_slot) == -(-total // mix.BLOCK)
+
+
+def test_mixed_documents_come_in_slot_order(spark):
+    docs = table(spark, f"{DATA}/sf0.001", "documents").withColumn("slot", F.lit("own")).withColumn("__other", F.lit(1))
+    first = {}
+    for r in mix.mix(docs).where("slot is not null").collect():
+        first[r["doc_id"], r["epoch"]] = min((r["slot"], r["start"]), first.get((r["doc_id"], r["epoch"]), (1 << 60, 0)))
+    got = [r["doc_id"] for r in mix.mixed_documents(docs).collect()]
+    assert got == [i for i, _ in sorted(first, key=first.get)] and mix.mixed_documents(docs).columns == docs.columns
+    twins = spark.createDataFrame([(1, "a b", "x"), (1, "c d", "x"), (1, "a b", "x"), (1, "e", "x")], "doc_id long, text string, source string")
+    out = [r["text"] for r in mix.mixed_documents(twins, 1).collect()]
+    assert sorted(out) == ["a b", "a b", "c d", "e"]
+
+
 def test_shards(spark, odd, none):
     got = queries.op9_hash_tree(spark, f"{DATA}/sf0.001").collect()
     text = {r["doc_id"]: r["text"] for r in table(spark, f"{DATA}/sf0.001", "documents").collect()}
