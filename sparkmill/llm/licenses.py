@@ -5,6 +5,11 @@ the longest increasing subsequence of their places is kept, and the gaps between
 anchors are aligned the same way, where more words are unique; equal words at a gap's ends
 count as well.  Coverage is matched template words over template words.
 
+Licenses differ in a word or two, so a template also names its deciding words (a phrase of it: the
+license's name, version, terms), all of which have to be matched.  Of templates that match
+over half of the same words of a text, the one that matches more of its words is kept, then the better
+covered, then the one in fewer words of the text: a notice that adds a word to another's is told from it.
+
 A text is aligned in windows of 1.5 template lengths, half a length apart, so that every
 stretch of one length lies whole in one.  A window is aligned if it holds half the words of the
 template that the coverage asks (a notice spread over two lengths has them in some window: a
@@ -14,13 +19,15 @@ windows are taken by coverage, none over another; what lies between is scanned a
 notice that shared its windows with a copy is found as well.
 
 Edge cases: a null, empty or wordless text has no matches; of overlapping windows with equal
-coverage the earliest is kept; null ids and repeated rows are scanned row by row; an empty table gives no rows.
+coverage the earliest is kept; null ids and repeated rows are scanned row by row; other columns take
+no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
 from collections import Counter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -31,36 +38,97 @@ from .common import slices
 
 COVERAGE = 0.8
 
+
+class Template(NamedTuple):
+    name: str
+    license: str
+    text: str
+    deciding: str = ""
+
+
 # Public license notices.
-TEMPLATES = {
-    "apache-2.0": "Licensed under the Apache License, Version 2.0.",
-    "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0.",
-    "gpl-3.0": "This work is licensed under the GNU General Public License, version 3.",
-    "mit": "Released under the MIT License.",
-    "apache-2.0-header": (
-        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. '
-        "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
-        'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
-        "See the License for the specific language governing permissions and limitations under the License."
-    ),
-    "gpl-3.0-header": (
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
-        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is distributed in the hope "
-        "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
-        "See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program."
-    ),
-    "mit-text": (
-        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
-        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
-        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
-        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
-        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
-        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
-        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
-    ),
-}
+_APACHE = (
+    '(the "License"); you may not use this file except in compliance with the License. '
+    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, "
+    'software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. '
+    "See the License for the specific language governing permissions and limitations under the License."
+)
+_GPL = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the {0} as published by "
+    "the Free Software Foundation, either version {1} of the License, or (at your option) any later version. This program is distributed in the hope "
+    "that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. "
+    "See the {0} for more details. You should have received a copy of the {0} along with this program."
+)
+_MIT = (
+    'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+    "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+    "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+    "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+    "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+    "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+)
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+    "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
+    "and/or other materials provided with the distribution. {0}"
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, '
+    "THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE "
+    "FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; "
+    "LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT "
+    "(INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_THIRD = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission. "
+)
+_ISC = (
+    "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice "
+    'and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE '
+    "INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES "
+    "OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, "
+    "ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+)
+_MPL = (
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, "
+    "You can obtain one at https://mozilla.org/MPL/2.0/."
+)
+_GNU = [("gpl", "GNU General Public License", ("1", "2", "3")), ("lgpl", "GNU Lesser General Public License", ("2.1", "3")), ("lgpl", "GNU Library General Public License", ("2",)), ("agpl", "GNU Affero General Public License", ("3",))]
 # End of fixed values.
 
+
+def _numbered(version: str) -> str:
+    return version if "." in version else f"{version}.0"
+
+
+def _templates() -> list[Template]:
+    out = [
+        Template("apache-2.0-header", "apache-2.0", f"Licensed under the Apache License, Version 2.0 {_APACHE}", "Apache License, Version 2.0"),
+        Template("mit-text", "mit", _MIT),
+        Template("bsd-2-clause-text", "bsd-2-clause", _BSD.format("")),
+        Template("bsd-3-clause-text", "bsd-3-clause", _BSD.format(_BSD_THIRD), "Neither the name of"),
+        Template("isc-text", "isc", _ISC),
+        Template("mpl-2.0-header", "mpl-2.0", _MPL, "Mozilla Public License, v. 2.0"),
+    ]
+    for version in ("1.1", "2.0"):
+        out.append(Template(f"apache-{version}", f"apache-{version}", f"Licensed under the Apache License, Version {version}.", f"Apache License, Version {version}"))
+    for short, name in (("mit", "MIT"), ("isc", "ISC"), ("bsd", "BSD"), ("bsd-2-clause", "BSD 2-Clause"), ("bsd-3-clause", "BSD 3-Clause")):
+        out.append(Template(short, short, f"Released under the {name} License.", f"{name} License"))
+    for terms in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND"):
+        for version in ("3.0", "4.0"):
+            name = f"cc-{terms.lower()}-{version}"
+            out.append(Template(name, name, f"Licensed under CC {terms} {version}.", f"CC {terms} {version}"))
+    for short, name, versions in _GNU:
+        for version in versions:
+            own = f"{short}-{_numbered(version)}"
+            out.append(Template(own, own, f"This work is licensed under the {name}, version {version}.", f"{name}, version {version}"))
+            out.append(Template(f"{own}-header", own, _GPL.format(name, version), f"version {version} of the License"))
+    return out
+
+
+TEMPLATES = _templates()
+
 _EDGE = b".,;:!?\"'()[]{}<>*#/"
 
 
@@ -113,64 +181,85 @@ def align(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+class Found(NamedTuple):
+    matched: int
+    lo: int
+    hi: int
+    places: frozenset
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str], coverage: float):
-        self.templates = {k: words(t) for k, t in templates.items()}
+    def __init__(self, templates: list[Template], coverage: float):
         self.coverage = coverage
-        self.vocabulary = {w: i for i, w in enumerate(sorted({w for t in self.templates.values() for w in t}), 1)}
-        self.member = {}
-        for k, t in self.templates.items():
-            self.member[k] = np.zeros(len(self.vocabulary) + 1, bool)
-            self.member[k][[self.vocabulary[w] for w in t]] = True
-        self.count = {k: np.bincount([self.vocabulary[w] for w in t], minlength=len(self.vocabulary) + 1) for k, t in self.templates.items()}
+        self.templates = [(t, words(t.text)) for t in templates]
+        self.vocabulary = {w: i for i, w in enumerate(sorted({w for _, t in self.templates for w in t}), 1)}
+        self.member, self.count, self.decides, self.must = [], [], [], []
+        for given, t in self.templates:
+            ids = np.array([self.vocabulary[w] for w in t])
+            self.member.append(np.isin(np.arange(len(self.vocabulary) + 1), ids))
+            self.count.append(np.bincount(ids, minlength=len(self.vocabulary) + 1))
+            phrase = words(given.deciding)
+            at = next((i for i in range(len(t)) if t[i : i + len(phrase)] == phrase), None)
+            if at is None:
+                raise ValueError(f"template {given.name} lacks its deciding words")
+            self.decides.append(set(range(at, at + len(phrase))))
+            self.must.append(np.unique(ids[at : at + len(phrase)]))
 
     def scan(self, text: str | None):
-        """(template, matched words, template words, first word, end word) of every covered window, none over another of its template."""
+        """(template, matched words, template words, first word, end word) of every covered window, the best of those over the same words."""
         ws = words(text or "")
         if not ws:
-            return
-        ids = np.fromiter(map(lambda w: self.vocabulary.get(w, 0), ws), np.int32, len(ws))
-        if not ids.any():
-            return
-        for name, t in self.templates.items():
-            hits = np.r_[0, np.cumsum(self.member[name][ids])]
-            found, rest = [], [(0, len(ws))]
+            return []
+        ids = np.fromiter((self.vocabulary.get(w, 0) for w in ws), np.int32, len(ws))
+        present = np.zeros(len(self.vocabulary) + 1, bool)
+        present[ids] = True
+        every: list[tuple[int, Found]] = []
+        for k, (_, t) in enumerate(self.templates):
+            if not present[self.must[k]].all() or np.count_nonzero(present & self.member[k]) < self.coverage * np.count_nonzero(self.member[k]) / 2:
+                continue
+            hits = np.r_[0, np.cumsum(self.member[k][ids])]
+            rest = [(0, len(ws))]
             while rest:
                 lo, hi = rest.pop()
-                some = self._covered(name, ws, ids, hits, lo, hi)
+                some = self._covered(k, ws, ids, hits, lo, hi)
                 if some:
-                    found += some
-                    edges = [lo, *(x for _, a, b in some for x in (a, b)), hi]
+                    every += [(k, x) for x in some]
+                    edges = [lo, *(e for x in some for e in (x.lo, x.hi)), hi]
                     rest += zip(edges[::2], edges[1::2])
-            for n, a, b in sorted(found, key=lambda x: x[1]):
-                yield name, n, len(t), a, b
+        size = lambda k: len(self.templates[k][1])
+        kept: list[tuple[int, Found]] = []
+        for k, x in sorted(every, key=lambda y: (-y[1].matched, -y[1].matched / size(y[0]), y[1].hi - y[1].lo, y[1].lo, y[0])):
+            if all(2 * len(x.places & y.places) <= min(x.matched, y.matched) for _, y in kept if x.lo < y.hi and y.lo < x.hi):
+                kept.append((k, x))
+        return [(self.templates[k][0], x.matched, size(k), x.lo, x.hi) for k, x in sorted(kept, key=lambda y: (y[1].lo, y[0]))]
 
-    def _covered(self, name: str, ws: list[bytes], ids: np.ndarray, hits: np.ndarray, lo: int, hi: int) -> list[tuple[int, int, int]]:
-        """(matched, first word, end word), ascending and apart, of covered windows inside ws[lo:hi]."""
-        t, count = self.templates[name], self.count[name]
+    def _covered(self, k: int, ws: list[bytes], ids: np.ndarray, hits: np.ndarray, lo: int, hi: int) -> list[Found]:
+        """Covered windows inside ws[lo:hi], ascending and apart."""
+        t, count = self.templates[k][1], self.count[k]
         m, most = len(t), self.coverage * len(t)
         if hits[hi] - hits[lo] < most:
             return []
         size, step = m + (m + 1) // 2, max(1, m // 2)
         start = np.arange(lo, max(hi - m // 2, lo) + 1, step)
         inside = hits[np.minimum(start + size, hi)] - hits[start]
-        met = []
+        met = set()
         for s in start[inside >= np.ceil(most / 2)].tolist():
             e = min(s + size, hi)
             if np.minimum(np.bincount(ids[s:e], minlength=len(count)), count).sum() < most / 2:
                 continue
-            n, a, b = self._extended(t, ws, s, e, step, lo, hi)
-            if n >= most:
-                met.append((n, a, b))
-        out = []
-        for n, a, b in sorted(set(met), key=lambda x: (-x[0], x[1], x[2])):
-            k = bisect_left(out, (a,), key=lambda x: x[1:2])
-            if (k == 0 or out[k - 1][2] <= a) and (k == len(out) or b <= out[k][1]):
-                out.insert(k, (n, a, b))
+            found = self._extended(k, ws, s, e, step, lo, hi)
+            if found is not None and found.matched >= most:
+                met.add(found)
+        out: list[Found] = []
+        for x in sorted(met, key=lambda x: (-x.matched, x.lo, x.hi)):
+            i = bisect_left(out, x.lo, key=lambda y: y.lo)
+            if (i == 0 or out[i - 1].hi <= x.lo) and (i == len(out) or x.hi <= out[i].lo):
+                out.insert(i, x)
         return out
 
-    def _extended(self, t: list[bytes], ws: list[bytes], s: int, e: int, step: int, lo: int, hi: int) -> tuple[int, int, int]:
-        """(matched, first word, end word) of the window s:e, widened while it gains."""
+    def _extended(self, k: int, ws: list[bytes], s: int, e: int, step: int, lo: int, hi: int) -> Found | None:
+        """The alignment with the window s:e, widened while it gains; none if a deciding word is not matched."""
+        t = self.templates[k][1]
         pairs = align(t, ws[s:e])
         grown = True
         while grown and len(pairs) < len(t):
@@ -182,28 +271,34 @@ class Scanner:
                     if len(more) >= len(pairs) + gain:
                         pairs, s, e, grown = more, s1, e1, True
                         break
-        if not pairs:
-            return 0, s, s
-        n, a, b = len(pairs), s + pairs[0][1], s + pairs[-1][1] + 1
-        short = len(t) - n
-        if short and n >= self.coverage * len(t):  # without the neighbours' words more of its own are unique
+        found = [(i, s + j) for i, j in pairs]
+        short = len(t) - len(pairs)
+        if short and len(pairs) >= self.coverage * len(t):  # without the neighbours' words more of its own are unique
+            a, b = found[0][1], found[-1][1] + 1
             for s, e in ((a, min(b + short, hi)), (max(a - short, lo), b)):
                 more = align(t, ws[s:e])
-                if len(more) > n:
-                    n, a, b = len(more), s + more[0][1], s + more[-1][1] + 1
-        return n, a, b
+                if len(more) > len(found):
+                    found = [(i, s + j) for i, j in more]
+        if not found or not self.decides[k] <= {i for i, _ in found}:
+            return None
+        return Found(len(found), found[0][1], found[-1][1] + 1, frozenset(j for _, j in found))
+
+
+def templates_of(rows: DataFrame) -> list[Template]:
+    """Templates from a table (name, license, text, deciding); a few hundred rows, as each text is held against each."""
+    return [Template(r["name"], r["license"], r["text"], r["deciding"] or "") for r in rows.select("name", "license", "text", "deciding").collect()]
 
 
-def scan(docs: DataFrame, templates: dict[str, str] | None = None, coverage: float = COVERAGE) -> DataFrame:
-    """doc_id, license, coverage, matched_words, template_words, word_lo, word_hi: one row per document and covered stretch of a template."""
+def scan(docs: DataFrame, templates: list[Template] | None = None, coverage: float = COVERAGE) -> DataFrame:
+    """doc_id, license, template, coverage, matched_words, template_words, word_lo, word_hi: one row per document and covered stretch."""
     templates = TEMPLATES if templates is None else templates
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("coverage", pa.float64()), *((c, pa.int64()) for c in ("matched_words", "template_words", "word_lo", "word_hi"))])
+    schema = pa.schema([("doc_id", pa.int64()), ("license", pa.string()), ("template", pa.string()), ("coverage", pa.float64()), *((c, pa.int64()) for c in ("matched_words", "template_words", "word_lo", "word_hi"))])
 
     def run(batches):
-        scanner = Scanner(templates, coverage)
+        scanner = Scanner([Template(*t) for t in templates], coverage)
         for batch in slices(batches, "text"):
-            out = [(i, k, n / m, n, m, lo, hi) for i, t in zip(*(c.to_pylist() for c in batch.columns)) for k, n, m, lo, hi in scanner.scan(t)]
-            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 7, schema)], schema=schema)
+            out = [(i, t.license, t.name, n / m, n, m, lo, hi) for i, text in zip(*(c.to_pylist() for c in batch.columns)) for t, n, m, lo, hi in scanner.scan(text)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * len(schema), schema)], schema=schema)
 
-    return rows.mapInArrow(run, "doc_id long, license string, coverage double, matched_words long, template_words long, word_lo long, word_hi long")
+    return rows.mapInArrow(run, "doc_id long, license string, template string, coverage double, matched_words long, template_words long, word_lo long, word_hi long")

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import zlib
+from itertools import combinations
 
 import duckdb
 import pytest
@@ -170,27 +171,60 @@ def test_sketches(spark, odd, none):
     assert got[0] == 1 and abs(got[1] - 0.1) < 0.03 and abs(got[2] * sketch.SCALE - 3996) < 400 and got[3]
 
 
+NOTICES = {t.name: t.text for t in licenses.TEMPLATES}
+
+
 def test_licenses(spark, none):
-    t = licenses.TEMPLATES
-    worn = " ".join(w for i, w in enumerate(t["mit-text"].split()) if i % 11)
-    rows = [(1, "x y z " * 500 + t["apache-2.0"] + " a b"), (2, worn), (3, None), (4, ""), (5, t["mit"] + "\n" + t["mit"]), (6, "licensed under nothing"), (None, "# " + t["gpl-3.0"])]
-    got = {(r["doc_id"], r["license"]): r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert set(got) == {(1, "apache-2.0"), (2, "mit-text"), (5, "mit"), (None, "gpl-3.0")}
-    assert got[1, "apache-2.0"]["word_lo"] == 1500 and got[1, "apache-2.0"]["coverage"] == 1
+    worn = " ".join(w for i, w in enumerate(NOTICES["mit-text"].split()) if i % 11)
+    rows = [(1, "x y z " * 500 + NOTICES["apache-2.0"] + " a b", "own"), (2, worn, None), (3, None, "o"), (4, "", "o"), (5, NOTICES["mit"] + "\n" + NOTICES["mit"], "o"), (6, "licensed under nothing", "o"), (None, "# " + NOTICES["gpl-3.0"], "o")]
+    rows += [(7, "word, " * 200_000 + NOTICES["isc-text"], "o"), (8, NOTICES["gpl-2.0"], "o"), (8, NOTICES["gpl-2.0"], "o")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, license string")
+    all_ = licenses.scan(docs).collect()
+    got = {(r["doc_id"], r["template"]): r for r in all_}
+    assert sorted(map(repr, ((r["doc_id"], r["template"]) for r in all_))) == sorted(map(repr, [(1, "apache-2.0"), (2, "mit-text"), (5, "mit"), (5, "mit"), (None, "gpl-3.0"), (7, "isc-text"), (8, "gpl-2.0"), (8, "gpl-2.0")]))
+    assert got[1, "apache-2.0"]["word_lo"] == 1500 and got[1, "apache-2.0"]["coverage"] == 1 and got[7, "isc-text"]["word_lo"] == 200_000
     assert got[2, "mit-text"]["coverage"] > 0.85
     assert licenses.scan(none).count() == 0
+    own = licenses.templates_of(spark.createDataFrame([("house", "own-1", "Free for use within the house only", "house")], "name string, license string, text string, deciding string"))
+    assert [r["license"] for r in licenses.scan(spark.createDataFrame([(1, "It is free for use within the house, only"), (2, "Free for use within the barn only")], "doc_id long, text string"), own).collect()] == ["own-1"]
     docs = table(spark, f"{DATA}/sf0.01", "documents")
     lines = {r["doc_id"]: r["text"] for r in docs.collect()}
     found = {(r["doc_id"], r["license"]) for r in licenses.scan(docs).collect()}
     for k in ("apache-2.0", "cc-by-nc-4.0", "gpl-3.0", "mit"):
-        assert {i for i, x in lines.items() if t[k] in x} == {i for i, name in found if name == k}
+        assert {i for i, x in lines.items() if NOTICES[k] in x} == {i for i, name in found if name == k}
+    assert {name for _, name in found} == {"apache-2.0", "cc-by-nc-4.0", "gpl-3.0", "mit"}
+
+
+def test_siblings_are_told_apart():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    names = lambda text: [x[0].license for x in scanner.scan(text)]
+    near = "Some words of the author go before it. "
+    for t in licenses.TEMPLATES:
+        assert names(t.text) == names(near + t.text + " And some go after it.") == [t.license], t.name
+    wanted = {
+        "Licensed under CC BY 4.0.": ["cc-by-4.0"], "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"], "CC BY-SA 4.0.": [], "Licensed under CC BY-NC 4.0.": ["cc-by-nc-4.0"],
+        "Released under the BSD License.": ["bsd"], "Released under the Apache License.": [], "released under the terms of the license": [],
+        "Licensed under the Apache License, Version 1.1.": ["apache-1.1"], "Licensed under the Apache License, Version 1.1. See 2.0 too.": ["apache-1.1"],
+        "This work is licensed under the GNU General Public License, version 2.": ["gpl-2.0"],
+        "This work is licensed under the GNU General Public License, version 2. Chapter 3 begins.": ["gpl-2.0"],
+        "This work is licensed under the GNU Lesser General Public License, version 3.": ["lgpl-3.0"],
+        "This work is licensed under the GNU Affero General Public License, version 3.": ["agpl-3.0"],
+        "Released under the license of the house.": [], "This work is licensed under the General Public Transport Act, version 3.": [],
+        "Licensed under the MIT License or the Apache License, Version 2.0.": ["apache-2.0", "mit"],
+    }
+    for text, want in wanted.items():
+        assert names(text) == names(near + text) == want, text
+    from random import Random
+
+    r, plain = Random(8), "the license under licensed released version of this work is software by public general terms mit apache 2.0 3".split()
+    assert not [x for _ in range(400) for x in names(" ".join(r.choice(plain) for _ in range(12))) if x not in ("mit",)]
 
 
 def test_repeated_and_stretched_notices():
     scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
-    spans = lambda text, name: [x[1:] for x in scanner.scan(text) if x[0] == name]
+    spans = lambda text, name: [x[1:] for x in scanner.scan(text) if x[0].name == name]
     for name in ("mit", "apache-2.0", "gpl-3.0", "mit-text", "gpl-3.0-header"):
-        t, n = licenses.TEMPLATES[name], len(licenses.words(licenses.TEMPLATES[name]))
+        t, n = NOTICES[name], len(licenses.words(NOTICES[name]))
         for gap in (0, 1, 3, 400):
             text = (t + " " + "q " * gap) * 5
             assert spans(text, name) == [(n, n, k * (n + gap), k * (n + gap) + n) for k in range(5)], (name, gap)
@@ -212,4 +246,15 @@ def test_alignment_is_monotone_and_equal():
         pairs = licenses.align(a, b)
         assert all(a[i] == b[j] for i, j in pairs)
         assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(pairs, pairs[1:]))
-    assert len(licenses.increasing([3, 1, 2, 5, 4])) == 3
+    for _ in range(300):
+        ys = r.sample(range(40), r.randrange(9))
+        best = max((len(c) for n in range(len(ys) + 1) for c in combinations(ys, n) if list(c) == sorted(c)), default=0)
+        own = [ys[i] for i in licenses.increasing(ys)]
+        assert len(own) == best and own == sorted(own)
+    for _ in range(200):  # where every word is unique the alignment is a longest one
+        a, b = r.sample("abcdefghijklmnop", 12), r.sample("abcdefghijklmnop", 12)
+        longest = [[0] * 13 for _ in range(13)]
+        for i in range(12):
+            for j in range(12):
+                longest[i + 1][j + 1] = longest[i][j] + 1 if a[i] == b[j] else max(longest[i][j + 1], longest[i + 1][j])
+        assert len(licenses.align(a, b)) == longest[12][12]
