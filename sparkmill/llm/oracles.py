@@ -38,11 +38,16 @@ def _tree(extra: bool) -> str:
     return f"SELECT doc_id, {_draw('r::VARCHAR || ' + repr('/') + ' || k::VARCHAR', leaves)} AS s FROM ({step2})"
 
 
+#: The table of CRC-32 (reflected polynomial 0xEDB88320), and a text's CRC over it, byte by byte.
+_CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
+_CRC = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])))"
+
 OP9 = f"""
 WITH a AS ({_tree(False)}), b AS ({_tree(True)}),
+c AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b, (SELECT {_CRC_TABLE}) AS tab FROM documents),
 d AS (SELECT doc_id, strlen(coalesce(text, ''))::BIGINT + 8 AS size, floor(256 * ({_U.format(path="'slot'")}))::INT AS bin FROM documents)
-SELECT doc_id, size, 'key' AS law, a.s::INT AS shard, row_number() OVER (PARTITION BY a.s ORDER BY bin, doc_id) - 1 AS slot, b.s::INT AS grown_shard
-FROM d JOIN a USING (doc_id) JOIN b USING (doc_id)
+SELECT doc_id, size, ({_CRC})::BIGINT AS text_crc32, 'key' AS law, a.s::INT AS shard, row_number() OVER (PARTITION BY a.s ORDER BY bin, doc_id) - 1 AS slot, b.s::INT AS grown_shard
+FROM d JOIN a USING (doc_id) JOIN b USING (doc_id) JOIN c USING (doc_id)
 """
 
 OP10 = r"""
@@ -79,4 +84,4 @@ SELECT doc_id, z.size, source_size, target, coalesce(sum(got) FILTER (r0 IS NOT
 FROM z LEFT JOIN s ON s.skey = z.skey AND s.rank = z.r0 GROUP BY doc_id, z.skey, start, z.size, source_size, target
 """
 
-ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "op7_golden_mix": OP7, "op10_toccurrence_join": OP10}
+ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10}

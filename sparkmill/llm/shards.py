@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 #: (region, rack, shard, weight)
 Leaf = tuple[int, int, int, float]
 SLOT_BINS = 256
@@ -71,12 +73,14 @@ def assign(docs: DataFrame, leaves: list[Leaf], more: list[Leaf], bins: int = SL
     base = docs.select("doc_id", "text").withColumn("__bin", F.floor(unit(key, F.lit("slot")) * bins).cast("int"))
     base = descend(descend(base, key, leaves, "shard"), key, more, "grown_shard")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = base.withColumn("size", F.octet_length(text).cast("long") + 8).withColumn("text_crc32", F.crc32(text.cast("binary")))
-    counts = base.groupBy("shard", "__bin").agg(F.count("*").alias("n"))
+    rows = base.withColumn("size", F.octet_length(text).cast("long") + 8).withColumn("text_crc32", F.crc32(text.cast("binary"))).drop("text")
+    # Written once: the draws are not made again for the counts.
+    rows = materialize(rows, "shards")
+    counts = rows.groupBy("shard", "__bin").agg(F.count("*").alias("n"))
     before = Window.partitionBy("shard").orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)
     first = counts.select("shard", "__bin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__first"))
     own = Window.partitionBy("shard", "__bin").orderBy("doc_id", "text_crc32", "size")
-    rows = rows.drop("text").withColumn("__at", F.row_number().over(own))
+    rows = rows.withColumn("__at", F.row_number().over(own))
     # first has at most shards x bins rows, whatever the input.
     first = F.broadcast(first) if len(leaves) * bins * 24 <= 1 << 20 else first
     return rows.join(first, ["shard", "__bin"]).select(
@@ -84,6 +88,7 @@ def assign(docs: DataFrame, leaves: list[Leaf], more: list[Leaf], bins: int = SL
         (F.col("__first") + F.col("__at") - 1).alias("slot"), F.col("grown_shard").cast("int"),
     )
 
+
 def write_shards(docs: DataFrame, leaves: list[Leaf], path: str) -> None:
     """The documents as Parquet, one folder per shard; several tasks write a shard."""
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
