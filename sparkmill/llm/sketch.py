@@ -10,7 +10,7 @@ texts have equal fingerprints, unequal texts differ even where both sketches are
 
 Edge cases: null counts as empty; an empty text has an empty sketch; a document's likeness
 to an equal text is 1, to others the Jaccard estimate (0 where no hash is kept).  Repeated
-ids follow each other ordered by text.  An empty table gives no rows; a lone document is its own next.
+ids follow each other ordered by text.  Other columns take no part.  An empty table gives no rows; a lone document is its own next.
 """
 
 from __future__ import annotations
@@ -18,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import materialize, sized
+
 WIDTH = 5
 SCALE = 4
-#: Documents per bin of the id order; bins are what one window task holds.
-BIN_ROWS = 512
 
 
 def sketch(text: Column) -> Column:
@@ -58,50 +58,47 @@ def merged(a: Column, b: Column) -> Column:
     return F.array_sort(F.array_union(a, b))
 
 
-def with_next(docs: DataFrame, bin_rows: int = BIN_ROWS) -> DataFrame:
-    """doc_id, text, next_text: each document with the next in descending id order (the last with the first).
+def with_next(docs: DataFrame, sketched: bool = False) -> DataFrame:
+    """doc_id, text, next_text (and sketch, next_sketch): each document with the next in descending id order (the last with the first).
 
-    Ids are dealt to bins at quantiles of the id column (bins - 1 numbers); a window in each
-    bin pairs neighbours, and each bin also gets the first documents of the bin that follows
-    it.  Texts are shuffled once.
+    The ids alone are range-partitioned, which gives a bin to each of Spark's shuffle partitions;
+    a window in each bin pairs neighbours, and each bin also gets the first documents of the bin that follows
+    it.  Texts, sketched once, are shuffled once.
     """
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    ids = docs.select("doc_id")
-    n = ids.count()
-    bins = max(1, min(1 << 16, n // bin_rows))
-    least = F.lit(-(1 << 63))
-    spot = F.coalesce(F.col("doc_id"), least)  # null ids come last
-    cuts = []
-    if bins > 1:
-        cuts = sorted(set(ids.select(F.percentile_approx(spot, [i / bins for i in range(1, bins)], 20 * bins).alias("q")).first()["q"]))
-    steps = [1 << k for k in range(max(1, len(cuts).bit_length()))][::-1]
-    padded = F.array(*map(F.lit, cuts)) if cuts else F.array().cast("array<bigint>")
-    # Binary search: how many cuts lie below the id.
-    below = F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), lambda at, s: F.when((at + s <= len(cuts)) & (F.get(padded, at + s - 1) < spot), at + s).otherwise(at))
-    binned = ids.select("doc_id", below.alias("bin"))
-    # One row per bin: its first id goes to the bin before it in descending order, too.
-    heads = binned.groupBy("bin").agg(F.max(F.struct(F.col("doc_id").isNotNull(), "doc_id")).alias("top"))
-    ring = sorted((r["bin"], r["top"]["doc_id"]) for r in heads.collect())
-    guest = [(head, ring[(i + 1) % len(ring)][0]) for i, (_, head) in enumerate(ring)]
     spark = docs.sparkSession
-    guests = spark.createDataFrame(guest, "head long, to int") if guest else spark.createDataFrame([], "head long, to int")
-    placed = rows.withColumn("bin", below).join(F.broadcast(guests), F.col("doc_id").eqNullSafe(F.col("head")), "left")
+    spot = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))  # null ids come last
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = docs.select(spot.alias("spot")).repartitionByRange(most, "spot").groupBy(F.spark_partition_id().alias("at")).agg(F.max("spot").alias("hi"))
+    # One row per bin.
+    bins = materialize(ranges.select("hi", (F.row_number().over(Window.orderBy("hi")) - 1).alias("bin")), "bins")
+    n = bins.count()
+    # How many bins end below an id: a binary search in their ends, which a scalar subquery brings to the rows.
+    ends = bins.agg(F.sort_array(F.collect_list("hi")).alias("ends")).scalar()
+    steps = F.array(*(F.lit(1 << k) for k in reversed(range(max(1, n.bit_length())))))
+    below = lambda c: F.aggregate(steps, F.lit(0), lambda at, s: F.when((at + s <= n) & (F.get(c["ends"], at + s - 1) < c["spot"]), at + s).otherwise(at))
+    text = F.coalesce("text", F.lit(""))
+    rows = docs.select("doc_id", text.alias("text"), *([sketch(text).alias("sketch")] if sketched else []), F.struct(spot.alias("spot"), ends.alias("ends")).alias("__c"))
+    rows = rows.withColumn("bin", below(F.col("__c"))).withColumn("__spot", F.col("__c")["spot"]).drop("__c")
+    # In descending order a bin's last document is followed by the first of the bin below it.
+    guests = bins.select(F.col("hi").alias("__head"), F.pmod(F.col("bin") + 1, F.lit(max(n, 1))).alias("to"))
+    placed = rows.join(sized(guests, 64), F.col("__spot") == F.col("__head"), "left")
     here = F.struct(F.col("bin").cast("int").alias("bin"), F.lit(0).alias("guest"))
-    there = F.struct(F.col("to").alias("bin"), F.lit(1).alias("guest"))
-    placed = placed.select("doc_id", "text", F.explode(F.when(F.col("to").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("p")).select("doc_id", "text", "p.bin", "p.guest")
+    there = F.struct(F.col("to").cast("int").alias("bin"), F.lit(1).alias("guest"))
+    cols = [c for c in ("doc_id", "text", "sketch") if c in rows.columns]
+    placed = placed.select(*cols, F.explode(F.when(F.col("to").isNull(), F.array(here)).otherwise(F.array(here, there))).alias("p")).select(*cols, "p.bin", "p.guest")
     order = Window.partitionBy("bin").orderBy("guest", F.col("doc_id").desc_nulls_last(), "text")
-    return placed.withColumn("next_text", F.lead("text").over(order)).where("guest = 0").select("doc_id", "text", "next_text")
+    nexts = [F.lead(c).over(order).alias(f"next_{c}") for c in cols[1:]]
+    return placed.select(*cols, "guest", *nexts).where("guest = 0").drop("guest")
 
 
-def edited_pairs(docs: DataFrame, bin_rows: int = BIN_ROWS) -> DataFrame:
+def edited_pairs(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
     n, m = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
-    p = with_next(docs, bin_rows).withColumn("edited", F.concat(F.col("text").substr(F.lit(1), n - m), F.col("next_text").substr(F.lit(1), m)))
-    for c in ("text", "edited", "next_text"):
-        p = p.withColumn(f"s_{c}", sketch(F.col(c)))
+    p = with_next(docs, True).withColumn("edited", F.concat(F.col("text").substr(F.lit(1), n - m), F.col("next_text").substr(F.lit(1), m)))
+    p = p.withColumn("edited_sketch", sketch(F.col("edited")))
     return p.select(
         "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        fingerprint(F.col("text"), F.col("s_text")).alias("fingerprint"), fingerprint(F.col("edited"), F.col("s_edited")).alias("edited_fingerprint"),
-        likeness(F.col("text"), F.col("s_text"), F.col("edited"), F.col("s_edited")).alias("near_edited"),
-        likeness(F.col("text"), F.col("s_text"), F.col("next_text"), F.col("s_next_text")).alias("near_next"),
+        fingerprint(F.col("text"), F.col("sketch")).alias("fingerprint"), fingerprint(F.col("edited"), F.col("edited_sketch")).alias("edited_fingerprint"),
+        likeness(F.col("text"), F.col("sketch"), F.col("edited"), F.col("edited_sketch")).alias("near_edited"),
+        likeness(F.col("text"), F.col("sketch"), F.col("next_text"), F.col("next_sketch")).alias("near_next"),
     )

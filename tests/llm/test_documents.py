@@ -154,16 +154,48 @@ def test_a_weight_moves_keys_in_its_subtree_only(spark):
     assert abs(n / 4000 - 3 / 10) < 0.04
 
 
+def shingle_hashes(text):
+    """The kept hashes by brute force: XXH64 of each word seeded with the hash of those before it, as signed numbers."""
+    import re
+
+    import xxhash
+
+    ws = [w for w in re.split(r"[\x20\x09-\x0D]+", text) if w]
+    runs = [ws[i : i + 5] for i in range(len(ws) - 4)] if len(ws) >= 5 else [[" ".join(ws)]] if ws else []
+    out = set()
+    for run in runs:
+        h = 42
+        for w in run:
+            h = xxhash.xxh64_intdigest(w.encode(), seed=h)
+        out.add(h - (1 << 64) if h >> 63 else h)
+    return {h for h in out if h < (1 << 63) // sketch.SCALE * 2 - (1 << 63)}
+
+
 def test_sketches(spark, odd, none):
-    for docs, bin_rows in ((table(spark, f"{DATA}/sf0.001", "documents"), 16), (odd, 2), (odd, 100)):
+    more = odd.withColumns({c: F.lit(9) for c in ("guest", "edited", "sketch", "spot", "to")}).unionByName(odd.limit(1).selectExpr("*", *(f"8 AS {c}" for c in ("guest", "edited", "sketch", "spot", "to"))).withColumn("text", F.expr("repeat('long text of words ', 60000)")).withColumn("doc_id", F.lit(77).cast("long")))
+    sizes = spark.conf.get("spark.sql.shuffle.partitions")
+    for docs, parts in ((table(spark, f"{DATA}/sf0.001", "documents"), 16), (more, 5), (odd, 1)):
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
         rows = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+        like = lambda a, b: 1.0 if a == b else len(shingle_hashes(a) & shingle_hashes(b)) / len(x) if (x := shingle_hashes(a) | shingle_hashes(b)) else 0.0
         want = []
         for i, (doc, text) in enumerate(rows):
             n, nxt = len(text), rows[(i + 1) % len(rows)][1]
-            want.append((doc, n, hashlib.sha256((text[: n - n // 3] + nxt[: n // 3]).encode()).hexdigest()))
-        out = sketch.edited_pairs(docs, bin_rows).collect()
-        assert sorted((tuple(r)[:3] for r in out), key=repr) == sorted(want, key=repr)
-        assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in out)
+            edited = text[: n - n // 3] + nxt[: n // 3]
+            want.append((doc, n, hashlib.sha256(edited.encode()).hexdigest(), round(like(text, edited), 9), round(like(text, nxt), 9)))
+        out = sketch.edited_pairs(docs).collect()
+        assert sorted(((*tuple(r)[:3], round(r["near_edited"], 9), round(r["near_next"], 9)) for r in out), key=repr) == sorted(want, key=repr)
+        of = {}
+        for (doc, text), _ in zip(rows, rows):
+            of.setdefault(doc, set()).add(text)
+        prints = {}
+        for r in out:  # the hashes in a fingerprint are those kept, and one text has one fingerprint
+            kept = {int(h, 16) - (1 << 64 if int(h, 16) >> 63 else 0) for h in r["fingerprint"].split(":")[1].split(",") if h}
+            assert any(kept == shingle_hashes(x) for x in of[r["doc_id"]])
+            if len(of[r["doc_id"]]) == 1:
+                prints.setdefault(next(iter(of[r["doc_id"]])), set()).add(r["fingerprint"])
+        assert all(len(x) == 1 for x in prints.values()) and len({next(iter(x)) for x in prints.values()}) == len(prints)
+    spark.conf.set("spark.sql.shuffle.partitions", sizes)
     assert sketch.edited_pairs(none).count() == 0
     a, b = " ".join(f"w{i}" for i in range(4000)), " ".join(f"w{i}" for i in range(400))
     r = spark.createDataFrame([(a, b)], "a string, b string").select(sketch.sketch(F.col("a")).alias("a"), sketch.sketch(F.col("b")).alias("b"))
