@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import squared_distance
-
-#: Queries in a block; every block meets every row through an equi-join on its number.
-BLOCK = 64
+#: Rows and queries of a cell, which one task multiplies at a time.
+CELL_ROWS, CELL_QUERIES = 1 << 13, 1 << 11
 
 
 def _checked(vectors: DataFrame, dim: int) -> DataFrame:
@@ -30,18 +31,50 @@ def rejects(vectors: DataFrame, dim: int = 64) -> DataFrame:
     return _checked(vectors, dim).agg(F.count("*").alias("n_rows"), of("null"), of("length"), of("norm"))
 
 
-def nearest(rows: DataFrame, k: int = 2, every: int = 20) -> DataFrame:
-    """For each query (ids divisible by every) and each other label its k nearest rows: q, ql, c, cl, d2, r."""
-    queries = rows.where(F.col("vec_id") % every == 0).select(F.col("vec_id").alias("q"), F.col("label").alias("ql"), F.col("x").alias("qx"))
-    queries = queries.withColumn("block", F.expr(f"q div {every * BLOCK}"))
-    blocks = queries.select("block").distinct()
-    last = blocks.agg(F.max("block")).first()[0]
-    all_rows = rows.select(F.col("vec_id").alias("c"), F.col("label").alias("cl"), "x", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last or 0).cast("long"))).alias("block"))
-    pairs = all_rows.join(queries, "block").where("ql <> cl").select("q", "ql", "c", "cl", squared_distance(F.col("qx"), F.col("x")).alias("d2"))
+def nearest(rows: DataFrame, k: int = 2, every: int = 20, queries: DataFrame | None = None) -> DataFrame:
+    """For each query and each other label its k nearest rows: q, ql, c, cl, d2, r (equal distances by id).
+
+    queries: rows (vec_id, label, x); without them those of rows whose ids are divisible by every.
+    Rows and queries are dealt by hash to the cells of a grid of at most about CELL_ROWS x CELL_QUERIES; a cell is one
+    matrix product and keeps k rows per query and label, which a window merges.  A row is copied once for
+    CELL_QUERIES queries, a query once for CELL_ROWS rows.
+    """
+    asked = rows.where(F.col("vec_id") % every == 0) if queries is None else queries
+    down, across = (max(1, -(-df.count() // size)) for df, size in ((asked, CELL_QUERIES), (rows, CELL_ROWS)))
+    cell = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.select("vec_id", "label", "x", cell(down).alias("i"), each(across).alias("j"), F.lit(True).alias("asks"))
+    right = rows.select("vec_id", "label", "x", each(down).alias("i"), cell(across).alias("j"), F.lit(False).alias("asks"))
+
+    def look(table: pa.Table) -> pa.Table:
+        found = [[] for _ in range(5)]
+        table_q, table_c = table.filter(table.column("asks")), table.filter(pc.invert(table.column("asks")))
+        if table_q.num_rows and table_c.num_rows:
+            q, ql, qx = _vectors(table_q)
+            c, cl, cx = _vectors(table_c)
+            by = np.argsort(c, kind="stable")
+            c, cl, cx = c[by], cl[by], cx[by]
+            for label in np.unique(cl):
+                own, some = np.flatnonzero(cl == label), np.flatnonzero(ql != label)
+                d2 = np.round(2.0 - 2.0 * (qx[some] @ cx[own].T), 6)
+                best = np.argsort(d2, axis=1, kind="stable")[:, :k]  # ties in the order of ids
+                n = best.shape[1]
+                for out, v in zip(found, (np.repeat(q[some], n), np.repeat(ql[some], n), c[own][best].ravel(), np.full(best.size, label), np.take_along_axis(d2, best, 1).ravel())):
+                    out.append(v)
+        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
+        return pa.table({n: pa.array(np.concatenate(v) if v else [], t) for n, v, t in zip(("q", "ql", "c", "cl", "d2"), found, kinds)})
+
+    pairs = left.unionByName(right).groupBy("i", "j").applyInArrow(look, "q long, ql int, c long, cl int, d2 double")
     w = Window.partitionBy("q", "cl").orderBy("d2", "c")
     return pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
 
 
+def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(ids, labels, matrix) of a table of vectors of one length."""
+    x = table.column("x").combine_chunks()
+    return table.column("vec_id").to_numpy(), table.column("label").to_numpy(), x.flatten().to_numpy().reshape(len(x), -1)
+
+
 def ratio_matches(knn: DataFrame, tau: float = 0.95) -> DataFrame:
     """Nearest rows clearly nearer than the second (d2 < tau^2 * next d2); without a second, none."""
     w = Window.partitionBy("q", "cl").orderBy("r")
@@ -52,3 +85,41 @@ def view_graph(matches: DataFrame, min_matches: int = 1) -> DataFrame:
     """Matches per unordered label pair: la, lb, n, mean_d2."""
     pairs = matches.select(F.least("ql", "cl").alias("la"), F.greatest("ql", "cl").alias("lb"), "d2")
     return pairs.groupBy("la", "lb").agg(F.count("*").alias("n"), F.round(F.avg("d2"), 4).alias("mean_d2")).where(F.col("n") >= min_matches)
+
+
+def mutual(rows: DataFrame, matches: DataFrame) -> DataFrame:
+    """Of matches (q, ql, c, cl, d2) those whose c has q as its nearest row of label ql: a, b, la, lb, d2, each pair once with a < b."""
+    asked = rows.join(matches.select(F.col("c").alias("vec_id")).distinct(), "vec_id", "left_semi")
+    back = nearest(rows, 1, queries=asked).select(F.col("q").alias("c"), F.col("c").alias("q"), F.col("cl").alias("ql"))
+    both = matches.join(back, ["q", "c", "ql"])
+    swap = F.col("q") > F.col("c")
+    side = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
+    return both.select(side("q", "c").alias("a"), side("c", "q").alias("b"), side("ql", "cl").alias("la"), side("cl", "ql").alias("lb"), "d2").distinct()
+
+
+def tracks(pairs: DataFrame) -> DataFrame:
+    """vec_id, track_id: connected components of pairs (a, b), named by their least member.
+
+    Every node hangs from the least of its neighbours, and then from what that one hangs from, until
+    nothing moves; each round is checkpointed, and only a count of what moved reaches the driver.
+    """
+    edges = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
+    at = edges.groupBy(F.col("a").alias("vec_id")).agg(F.min("b").alias("m")).select("vec_id", F.least("vec_id", "m").alias("track_id")).checkpoint()
+    while True:
+        seen = edges.join(at.select(F.col("vec_id").alias("b"), "track_id"), "b").groupBy(F.col("a").alias("vec_id")).agg(F.min("track_id").alias("near"))
+        up = at.select(F.col("vec_id").alias("track_id"), F.col("track_id").alias("above"))
+        new = at.join(up, "track_id", "left").join(seen, "vec_id").select("vec_id", F.least("track_id", "above", "near").alias("track_id"), (F.least("above", "near") < F.col("track_id")).alias("moved")).checkpoint()
+        at = new.drop("moved")
+        if not new.where("moved").limit(1).count():
+            return at
+
+
+def consistent_tracks(members: DataFrame, rows: DataFrame, least: int = 2) -> DataFrame:
+    """track_id, n of the tracks of at least `least` members in which no label comes twice."""
+    of = members.join(rows.select("vec_id", "label"), "vec_id").groupBy("track_id")
+    return of.agg(F.count("*").alias("n"), F.countDistinct("label").alias("labels")).where((F.col("n") == F.col("labels")) & (F.col("n") >= least)).drop("labels")
+
+
+def write_matches(matches: DataFrame, path: str) -> None:
+    """Matches as Parquet, one folder per label of the query."""
+    matches.write.partitionBy("ql").parquet(path)

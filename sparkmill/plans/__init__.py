@@ -33,6 +33,19 @@ def view_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.view_graph(ratio_matches(spark, sf_dir))
 
 
+def mutual_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    return operators.mutual(rows, operators.nearest(rows, 1))
+
+
+def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.tracks(mutual_matches(spark, sf_dir))
+
+
+def consistent_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.consistent_tracks(tracks(spark, sf_dir), operators.descriptors(table(spark, sf_dir, "embeddings")))
+
+
 _ROWS = """rows_ AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
   WHERE len(embedding) = 64 AND abs(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) - 1) < 1e-3)"""
 _KNN = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c, b.label AS cl, round(2 - 2 * list_dot_product(a.x, b.x), 6) AS d2
@@ -40,13 +53,21 @@ _KNN = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c
  knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM pairs) WHERE r <= 2)"""
 _RATIO = f"""{_KNN}, matches AS (SELECT * EXCLUDE (r) FROM (SELECT *, lead(d2) OVER (PARTITION BY q, cl ORDER BY r) AS d2_next FROM knn) WHERE r = 1 AND d2 < 0.95 * 0.95 * d2_next)"""
 
+_MUTUAL = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c, b.label AS cl, round(2 - 2 * list_dot_product(a.x, b.x), 6) AS d2
+  FROM rows_ a JOIN rows_ b ON a.label <> b.label),
+ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM pairs) WHERE r = 1),
+ mutual AS (SELECT DISTINCT least(x.q, x.c) AS a, greatest(x.q, x.c) AS b, CASE WHEN x.q < x.c THEN x.ql ELSE x.cl END AS la, CASE WHEN x.q < x.c THEN x.cl ELSE x.ql END AS lb, x.d2
+  FROM best x JOIN best y ON x.q = y.c AND x.c = y.q WHERE x.q % 20 = 0)"""
+_TRACKS = f"""{_MUTUAL}, e AS (SELECT a, b FROM mutual UNION SELECT b, a FROM mutual), t AS (SELECT a AS v, a AS m FROM e UNION SELECT e.b, t.m FROM t JOIN e ON e.a = t.v),
+ tracks AS (SELECT v AS vec_id, min(m) AS track_id FROM t GROUP BY v)"""
+
 _REJECTS = """WITH v AS (SELECT embedding IS NULL OR len(embedding) <> list_count(embedding) AS gap, embedding::DOUBLE[] AS x FROM embeddings),
  w AS (SELECT CASE WHEN gap THEN 'null' WHEN len(x) <> 64 THEN 'length' WHEN NOT coalesce(abs(list_dot_product(x, x) - 1) < 1e-3, false) THEN 'norm' END AS why FROM v)
  SELECT count(*) AS n_rows, count(*) FILTER (why = 'null') AS n_null, count(*) FILTER (why = 'length') AS n_length, count(*) FILTER (why = 'norm') AS n_norm FROM w"""
 
 
 def queries() -> dict:
-    return {"descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph}
+    return {"descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph, "mutual_matches": mutual_matches, "tracks": tracks, "consistent_tracks": consistent_tracks}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -56,4 +77,7 @@ def oracle_sql() -> dict[str, str]:
         "nearest": f"WITH {_KNN} SELECT q, ql, c, cl, d2, r::INT AS r FROM knn",
         "ratio_matches": f"WITH {_RATIO} SELECT * FROM matches",
         "view_graph": f"WITH {_RATIO} SELECT least(ql, cl) AS la, greatest(ql, cl) AS lb, count(*) AS n, round(avg(d2), 4) AS mean_d2 FROM matches GROUP BY 1, 2",
+        "mutual_matches": f"WITH {_MUTUAL} SELECT * FROM mutual",
+        "tracks": f"WITH RECURSIVE {_TRACKS} SELECT * FROM tracks",
+        "consistent_tracks": f"WITH RECURSIVE {_TRACKS} SELECT track_id, count(*) AS n FROM tracks JOIN rows_ USING (vec_id) GROUP BY track_id HAVING count(*) = count(DISTINCT label)",
     }

@@ -65,3 +65,39 @@ def test_imports_without_the_optional_parts(tmp_path):
     shutil.copy(REPO / "__spark_entry__.py", tmp_path)
     out = subprocess.run([sys.executable, "-c", "import __spark_entry__ as e; print(sorted(e.queries()))"], cwd=tmp_path, capture_output=True, text=True, env={"PATH": "/usr/bin:/bin", "PYTHONPATH": ""})
     assert "view_graph" in out.stdout and "op5" not in out.stdout, out.stderr
+
+
+def test_nearest_of_any_ids_in_any_cells(spark, monkeypatch):
+    import random
+
+    from sparkmill import operators
+
+    r = random.Random(2)
+    ids = [*range(-3000, -2940), *range(40), 10**15, 10**15 + 20, -(10**17)]
+    unit = lambda v: [x / math.sqrt(sum(y * y for y in v)) for x in v]
+    rows = [(i, i % 3, unit([r.gauss(0, 1) for _ in range(8)])) for i in ids]
+    rows += [(7777, 1, rows[0][2]), (7778, 1, rows[0][2])]  # ties go by id
+    df = spark.createDataFrame(rows, "vec_id long, label int, x array<double>")
+    want = []
+    for q, ql, x in rows:
+        if q % 20 == 0:
+            for label in {0, 1, 2} - {ql}:
+                best = sorted((round(2 - 2 * sum(a * b for a, b in zip(x, y)), 6), c) for c, cl, y in rows if cl == label)[:2]
+                want += [(q, ql, c, label, d, k + 1) for k, (d, c) in enumerate(best)]
+    for cells in ((1 << 13, 1 << 11), (20, 2)):
+        monkeypatch.setattr(operators, "CELL_ROWS", cells[0])
+        monkeypatch.setattr(operators, "CELL_QUERIES", cells[1])
+        assert sorted(tuple(x) for x in operators.nearest(df).collect()) == sorted(want)
+    assert operators.nearest(df.limit(0)).count() == 0
+
+
+def test_tracks_of_chains_and_sinks(spark, tmp_path):
+    from sparkmill import operators
+
+    r = list(range(1, 60))
+    pairs = [(a, b) for a, b in zip(r, r[1:]) if b != 30] + [(100, 101), (102, 101), (5, 5)]
+    got = dict(tuple(x) for x in operators.tracks(spark.createDataFrame(pairs, "a long, b long")).collect())
+    assert got == {**{i: 1 if i < 30 else 30 for i in r}, 100: 100, 101: 100, 102: 100}
+    matches = spark.createDataFrame([(1, 0, 2, 1, 0.5), (3, 1, 2, 0, 0.25)], "q long, ql int, c long, cl int, d2 double")
+    operators.write_matches(matches, f"{tmp_path}/m")
+    assert sorted(map(tuple, spark.read.parquet(f"{tmp_path}/m").select(matches.columns).collect())) == sorted(map(tuple, matches.collect()))
