@@ -20,6 +20,12 @@ b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+_RULES = ("few_words", "repeated_words", "symbols", "word_length", "repeated_lines", "shouting")
+ABLATION = f"""
+WITH led AS ({OP5}), r AS (SELECT unnest({list(_RULES)}) AS rule, unnest([1, 2, 4, 8, 16, 32]) AS bit)
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits = bit) AS n_failed_alone, count(*) FILTER (fail_bits = 0) AS n_kept FROM led, r GROUP BY rule
+"""
+
 _U = "((('0x' || substr(md5(doc_id::VARCHAR || '|' || {path}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
 
 
@@ -84,4 +90,4 @@ SELECT doc_id, z.size, source_size, target, coalesce(sum(got) FILTER (r0 IS NOT
 FROM z LEFT JOIN s ON s.skey = z.skey AND s.rank = z.r0 GROUP BY doc_id, z.skey, start, z.size, source_size, target
 """
 
-ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10}
+ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10}

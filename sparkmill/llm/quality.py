@@ -5,7 +5,8 @@ failure bit per rule.  A policy is a named, versioned set of rule bits, applied
 ledger later without reading a text again, and ablations are bitwise aggregates of it.
 
 Edge cases: a null text has no words and fails ``few_words``; null ids, repeated rows and
-extra columns pass through row by row; an empty table gives an empty ledger.
+extra columns pass through row by row, but for own columns with a measurement's name or ``fail_bits``, which the
+ledger's replace (`keep_documents` keeps them); an empty table gives an empty ledger.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices
+from .common import materialize, slices
 
 #: Rule name -> failure condition on the measurements, in bit order.
 RULES = {
@@ -81,6 +82,11 @@ def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.withColumn("fail_bits", failed)
 
 
+def stored_ledger(docs: DataFrame) -> DataFrame:
+    """The ledger written to the shared folder and read back: policies and ablations need no text after that."""
+    return materialize(ledger(docs), "ledger")
+
+
 def passes(policy: str, fail_bits: str = "fail_bits") -> Column:
     return F.col(fail_bits).bitwiseAND(bits(POLICIES[policy])) == 0
 

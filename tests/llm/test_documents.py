@@ -41,6 +41,19 @@ def test_rules(spark, odd, none):
         assert r["n_failed_alone"] == led.where(F.col("fail_bits") == bit).count() and r["n_kept"] == kept
 
 
+def test_rules_agree_with_labels(spark):
+    docs, labels = table(spark, f"{DATA}/sf0.01", "documents"), table(spark, f"{DATA}/sf0.01", "labels")
+    rows = quality.stored_ledger(docs.select("doc_id", "text")).join(labels, "doc_id").select("quality", "n_words", quality.passes("strict-1").alias("kept")).collect()
+    assert any(r["quality"] == 0 for r in rows) and not any(r["kept"] for r in rows if r["quality"] == 0)
+    assert all(r["kept"] for r in rows if r["quality"] == 1 and r["n_words"] >= 50)
+    assert quality.ledger(docs.select("doc_id", "text").limit(0)).count() == 0
+
+
+def test_kept_documents_keep_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, " ".join(f"word{i}" for i in range(90)), "own", "mine"), (2, "few words", "own", "mine"), (3, None, None, None)], "doc_id long, text string, n_words string, fail_bits string")
+    assert [tuple(r) for r in quality.keep_documents(docs).collect()] == [tuple(docs.first())]
+
+
 def test_mix(spark, odd, none):
     for docs in (table(spark, f"{DATA}/sf0.001", "documents"), odd):
         got, rows = mix.taken_words(docs).collect(), docs.collect()
