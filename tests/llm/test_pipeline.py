@@ -1,7 +1,11 @@
+import duckdb
+import numpy as np
+import pyarrow as pa
 from brute import components, removed, rules
 
 import corpus_pipeline as cp
 from sparkmill.llm.common import materialize, table, tokenizer_path
+from sparkmill.llm.oracles import OP7
 from sparkmill.llm.tokens import Encoder
 
 DATA = "/root/testdata/sf0.001"
@@ -29,6 +33,43 @@ def test_stages(spark):
     source = {r["doc_id"]: r["text"] for r in seen[3][0]}
     assert sum(r["text"] == source[r["doc_id"]] for r in seen[3][1]) >= len(seen[3][1]) - 20
     assert all(source[r["doc_id"]].startswith(r["text"].rstrip()) for r in seen[3][1])
+    con, words = duckdb.connect(), {}
+    con.register("documents", pa.Table.from_pylist([r.asDict() for r in seen[3][0]]))
+    for r in seen[3][1]:
+        words[r["doc_id"]] = words.get(r["doc_id"], 0) + rules(r["text"])[0]
+    taken = {i: n for i, n in con.execute(f"SELECT doc_id, taken FROM ({OP7})").fetchall() if n}
+    assert words == taken
     pieces = cp.STAGES[-1][1](spark, docs, DATA).collect()
-    encode = Encoder(tokenizer_path("word_bpe_49k.json")).tokenizer.encode
-    assert sum(r["length"] for r in pieces) == sum(len(encode(r["text"], add_special_tokens=False).ids) + 1 for r in docs.collect())
+    tokenizer = Encoder(tokenizer_path("word_bpe_49k.json")).tokenizer
+    whole, by_doc, by_seq = {}, {}, {}
+    for r in docs.collect():
+        whole.setdefault(r["doc_id"], []).append(np.array([*tokenizer.encode(r["text"], add_special_tokens=False).ids, 1], "<u4").tobytes())
+    for r in pieces:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_seq.setdefault(r["sequence_id"], []).append(r)
+    assert set(by_doc) == set(whole)
+    for i, own in by_doc.items():
+        assert sum(r["length"] for r in own) == sum(len(x) // 4 for x in whole[i])
+        if len(whole[i]) == 1:
+            assert b"".join(bytes(r["ids"]) for r in sorted(own, key=lambda r: r["start"])) == whole[i][0]
+        else:  # every turn's every id is in one piece
+            assert sorted(k for r in own for k in range(r["start"], r["start"] + r["length"])) == sorted(k for x in whole[i] for k in range(len(x) // 4))
+    for own in by_seq.values():
+        own.sort(key=lambda r: r["offset"])
+        assert [r["offset"] for r in own] == [sum(x["length"] for x in own[:k]) for k in range(len(own))]
+        assert sum(r["length"] for r in own) == 2048 or own[0]["sequence_id"] == max(by_seq)
+
+
+def test_clashing_columns_and_odd_rows(spark):
+    text = lambda k: " ".join(f"{'abcdefgh'[k % 8]}word{k * i}" for i in range(1, 80))
+    rows = [(i, text(i), "s" if i % 2 else None, len(text(i)), "own", 1, "x", 2, 3, "y") for i in range(1, 12)]
+    rows += [(20, None, "s", None, "own", 1, "x", 2, 3, "y"), (21, "", "s", 0, "own", 1, "x", 2, 3, "y"), (22, text(3), None, 9, "own", 1, "x", 2, 3, "y"), (None, text(30), "s", 9, "own", 1, "x", 2, 3, "y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int, kept string, n_words int, `row` string, slot int, size int, component_id string")
+    for given, n in ((docs, 12), (docs.limit(0), 0)):
+        out = given
+        for name, stage in cp.STAGES[:-1]:
+            out = materialize(stage(spark, out, DATA), "t")
+            assert out.dtypes == docs.dtypes, name
+            if name == "suffix dedup":
+                assert out.count() == n and {r["kept"] for r in out.collect()} <= {"own"}
+        assert bool(cp.STAGES[-1][1](spark, out, DATA).count()) == bool(n)
