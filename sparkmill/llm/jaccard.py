@@ -10,16 +10,16 @@
    no pair of linked sets lies across two groups.  Copies are one set before any edge is made.
 2. Search.  Only documents of candidate groups have their whole shingle sets shuffled, one
    per distinct set.  Inside a group each document asks which earlier ones reach the
-   overlap T: its longest inverted lists are set aside (DivideSkip), the short ones are
-   heap-merged, skipping ahead where too few agree, for documents that occur often enough to reach T with the
-   long lists' help, and those are probed in the long lists by binary search.
+   overlap T: its longest inverted lists are set aside (DivideSkip), the heads of the short ones are
+   merged, least head first, skipping ahead where too few agree, for documents that occur often enough to
+   reach T with the long lists' help, and those are probed in the long lists by binary search.  The merges
+   of many documents run side by side, their heads in one array.
 3. Components of the links found.
 
 Skew: copies collapse to one set; signatures are made distinct in every task before the
 shuffle; a group of more than POSTINGS shingles is cut into blocks, by its work, and every two blocks meet in a task
 of their own.  Candidates that are in a document's own component already are
-skipped by the merge, so a large group of near copies
-costs a few probes per document; `all_links` probes them all.
+not probed, so a large group of near copies costs a few probes per document; `all_links` probes them all.
 
 Edge cases: null or empty texts have an empty set and no links; a null id takes part in no
 link and has a null component; rows that repeat an id are one node, which joins the components of their texts;
@@ -28,9 +28,6 @@ other columns take no part; an empty table gives no rows.
 
 from __future__ import annotations
 
-import heapq
-from array import array
-from bisect import bisect_left
 from itertools import groupby
 
 import numpy as np
@@ -47,6 +44,9 @@ PERCENT = 90
 WORDS = 3
 #: Postings (shingles of all sets) in one search; a larger group meets block by block.
 POSTINGS = 1 << 18
+#: Heads of lists that are merged side by side; DivideSkip's weight of a probe.
+CELLS = 1 << 18
+MU = 0.1
 #: One more piece for so many: linked sets then share more pieces than are likely to be empty.
 SPARE = 8
 SPREAD = 4
@@ -121,84 +121,132 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
-def _linked(shared: int, a: int, b: int, percent: int) -> bool:
-    return shared * (100 + percent) >= percent * (a + b)
-
-
-def _merged(posting, lo: list[int], hi: list[int], need: int, wanted):
-    """(document, lists that have it), ascending, of the documents that at least `need` of the sorted lists
-    posting[lo:hi] have: a heap of the lists' heads, whose lists skip ahead where too few agree.
-    wanted: the first document from a given one on that is of interest, or None."""
-    k = len(lo)
-    heap = [posting[p] * k + j for j, (p, end) in enumerate(zip(lo, hi)) if p < end]
-    heapq.heapify(heap)
-    while len(heap) >= need:
-        y = wanted(heap[0] // k)
-        if y is None:
-            return
-        popped, goal = [], y
-        while heap and heap[0] < y * k:  # behind
-            popped.append(heapq.heappop(heap) % k)
-        if not popped:
-            while heap and heap[0] < (y + 1) * k:
-                popped.append(heapq.heappop(heap) % k)
-            goal = y + 1
-            if len(popped) >= need:
-                yield y, len(popped)
-            else:
-                while heap and len(popped) < need - 1:
-                    popped.append(heapq.heappop(heap) % k)
-                if not heap:
-                    return  # the lists left are fewer than needed
-                goal = heap[0] // k
-        for j in popped:
-            lo[j] = bisect_left(posting, goal, lo[j], hi[j])
-            if lo[j] < hi[j]:
-                heapq.heappush(heap, posting[lo[j]] * k + j)
+class _Lists:
+    """Inverted lists over sets in ascending order of size: the documents that have a token, ascending."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.edge = np.r_[0, np.cumsum(self.sizes)]
+        token, self.own = np.unique(np.concatenate(sets), return_inverse=True)
+        doc = np.repeat(np.arange(self.n), self.sizes)
+        posts = np.argsort(self.own, kind="stable")
+        self.doc, self.length = doc[posts], np.bincount(self.own, minlength=len(token))
+        self.flat = self.own[posts] * self.n + self.doc  # ascending by list, then document
+
+    def at(self, lists, docs):
+        """The place in each list of its first document from docs on (global, to be compared with an end)."""
+        return np.searchsorted(self.flat, lists * self.n + docs)
+
+    def has(self, lists, docs):
+        """Binary probes: whether the list has the document."""
+        key = lists * self.n + docs
+        return self.flat[np.minimum(np.searchsorted(self.flat, key), len(self.flat) - 1)] == key
+
+
+def _required(a, b, percent: int):
+    """The overlap that links sets of these sizes."""
+    return -(-percent * (a + b) // (100 + percent))
+
+
+def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(matrix, which cells are filled)."""
+    lens = np.array([len(r) for r in rows])
+    filled = np.arange(max(int(lens.max()), 1)) < lens[:, None]
+    out = np.zeros(filled.shape, np.int64)
+    out[filled] = np.concatenate(rows)
+    return out, filled
+
+
+def _candidates_of(index: _Lists, xs: np.ndarray, first: np.ndarray, short: list[np.ndarray], need: np.ndarray, after):
+    """(places in xs, documents, lists that have them): T-occurrence in the short lists of many queries side by side.
+
+    A row holds the heads of a query's lists.  Its least head is the next document of the k-way merge: if
+    enough heads agree it is a candidate, else the lists skip ahead (MergeSkip) to the need-th
+    least head, as no document before that can be in enough lists.  after(places, documents): the
+    next document of interest to a query that has been told of this one.
+    """
+    lists, filled = _padded(short)
+    pos = index.at(lists, first[:, None])
+    end = np.where(filled, index.at(lists, xs[:, None]), pos)
+    of, none = np.arange(len(xs)), index.n
+    doc = np.r_[index.doc, none]
+    heads = np.where(pos < end, doc[pos], none)
+    while len(of):
+        least = heads.min(1)
+        agree = heads == least[:, None]
+        count = agree.sum(1)
+        enough = count >= need
+        some = np.flatnonzero(enough & (least < none))
+        if len(some):
+            yield of[some], least[some], count[some]
+        goal = least + 1
+        if len(some):
+            goal[some] = after(of[some], least[some])
+        behind = np.flatnonzero(~enough)
+        if len(behind):
+            for n in np.unique(need[behind]):
+                rows = behind[need[behind] == n]
+                goal[rows] = np.partition(heads[rows], n - 1, axis=1)[:, n - 1] if n <= heads.shape[1] else none
+        i, j = np.nonzero(heads < np.minimum(goal, none)[:, None])
+        step = goal[i] == least[i] + 1
+        pos[i[step], j[step]] += 1
+        i2, j2 = i[~step], j[~step]
+        pos[i2, j2] = np.where(goal[i2] < none, index.at(lists[i2, j2], np.minimum(goal[i2], none - 1)), end[i2, j2])
+        heads[i, j] = np.where(pos[i, j] < end[i, j], doc[pos[i, j]], none)
+        open_ = (heads < none).sum(1) >= need
+        if 4 * np.count_nonzero(open_) <= 3 * len(of):
+            lists, pos, end, heads, of, need = (x[open_] for x in (lists, pos, end, heads, of, need))
 
 
 def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False) -> list[tuple[int, int]]:
     """Links (i, j) among the sets: all of them, or as many as span every component of the link graph."""
     order = sorted(range(len(sets)), key=lambda i: len(sets[i]))
-    sizes = np.array([len(sets[i]) for i in order], np.int64)
-    edge = np.r_[0, np.cumsum(sizes)]
-    token, where = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
-    doc = np.repeat(np.arange(len(order)), sizes)
-    posts = np.argsort(where, kind="stable")  # postings by token, documents ascending inside
-    lists = np.r_[0, np.cumsum(np.bincount(where, minlength=len(token)))]
-    flat = where[posts] * len(order) + doc[posts]
-    posting = array("q", doc[posts].tobytes())
-    del token, posts, doc
-    of, links = np.arange(len(order)), []  # of: the component of each so far
-
-    for x in range(1, len(order)):
-        n = int(sizes[x])
-        least = -(-percent * n // 100)
-        first = int(np.searchsorted(sizes, least))
-        if first >= x:
+    index = _Lists([sets[i] for i in order])
+    least = -(-percent * index.sizes // 100)
+    first = np.searchsorted(index.sizes, least)
+    asking = np.flatnonzero(first < np.arange(index.n))
+    of, links = np.arange(index.n), []  # of: the component of each so far
+    cut, begin = [], 0
+    for i, size in enumerate(index.sizes[asking].tolist()):  # ascending: a query's row is as long as the last one's
+        if i > begin and (i + 1 - begin) * size > CELLS:
+            cut.append(i)
+            begin = i
+    for xs in np.split(asking, cut):
+        short, long_ = [], []
+        for x in xs:
+            # DivideSkip: long lists aside, so that T - aside occurrences in the short ones are needed.
+            own = index.own[index.edge[x] : index.edge[x + 1]]
+            lens = index.length[own]
+            aside = min(int(least[x]) - 1, int(least[x] / (MU * int(lens.max()).bit_length() + 1)))
+            by = np.argsort(lens, kind="stable")
+            short.append(own[by[: len(own) - aside]])
+            long_.append(own[by[len(own) - aside :]])
+        if not len(xs):
             continue
-        # DivideSkip: long lists aside, so that T - aside occurrences in the short ones are needed.
-        own = where[edge[x] : edge[x + 1]]
-        lens = lists[own + 1] - lists[own]
-        aside = min(least - 1, int(least / (0.01 * max(int(lens.max()), 2).bit_length() + 1)))
-        by = np.argsort(lens, kind="stable")
-        short, long_ = own[by[: n - aside]], own[by[n - aside :]]
-        lo = [bisect_left(posting, first, a, b) for a, b in zip(lists[short].tolist(), lists[short + 1].tolist())]
-        hi = [bisect_left(posting, x, a, b) for a, b in zip(lo, lists[short + 1].tolist())]
-        open_ = range(first, x)  # what x may still have to be linked with
-
-        def wanted(y, open_=lambda: open_):
-            i = bisect_left(open_(), y)
-            return open_()[i] if i < len(open_()) else None
-
-        for y, k in _merged(posting, lo, hi, least - aside, wanted):
-            probe = long_ * len(order) + y
-            hit = flat[np.minimum(np.searchsorted(flat, probe), len(flat) - 1)] == probe
-            if _linked(k + int(hit.sum()), n, int(sizes[y]), percent):
-                links.append((order[x], order[y]))
-                if not every:  # all others of y's component are known to be in x's now
+        aside = np.array([len(x) for x in long_])
+        probes, filled = _padded(long_)
+
+        def after(rows, ys, xs=xs):
+            """The next document that is not in the query's component."""
+            out = ys + 1
+            for r in np.flatnonzero(of[xs[rows]] == of[ys]):
+                x = xs[rows[r]]
+                rest = of[out[r] : x] != of[x]
+                out[r] = out[r] + rest.argmax() if rest.any() else index.n
+            return out
+
+        for rows, ys, k in _candidates_of(index, xs, first[xs], short, least[xs] - aside, (lambda rows, ys: ys + 1) if every else after):
+            wanted = _required(index.sizes[xs[rows]], index.sizes[ys], percent)
+            some = (k + aside[rows] >= wanted) & (every | (of[xs[rows]] != of[ys]))  # else their component is known already
+            rows, ys, k, wanted = rows[some], ys[some], k[some], wanted[some]
+            if len(rows):
+                k = k + (index.has(probes[rows], ys[:, None]) & filled[rows]).sum(1)
+            for r in np.flatnonzero(k >= wanted):
+                x, y = xs[rows[r]], ys[r]
+                if every or of[x] != of[y]:
+                    links.append((order[x], order[y]))
                     of[of == of[x]] = of[y]
-                    open_ = (np.flatnonzero(of[first:x] != of[x]) + first).tolist()
     return links
 
 
