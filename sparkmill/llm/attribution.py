@@ -1,6 +1,6 @@
 """Token counts per section by offset-mapped attribution.
 
-A document is encoded once, whole.  Byte-level ids spell their bytes, so the running sum of
+A document is encoded once, its sections together.  Byte-level ids spell their bytes, so the running sum of
 the ids' byte lengths gives every token's span in the text, which is joined to the
 sections' spans by binary search (a document's tokens never leave its row: no shuffle).
 A token that crosses a section's edge is allocated by one of three rules:
@@ -11,8 +11,11 @@ A token that crosses a section's edge is allocated by one of three rules:
 
 Over sections that tile the text each rule's counts add up to the document's tokens.
 
-Edge cases: a null or empty text has no lines; empty sections count nothing; sections past
-the text are cut to it; null ids and repeated rows are counted row by row; an empty table gives no rows.
+Sections are given as character spans; without any they are the text's lines.
+
+Edge cases: a null or empty text has no lines, and given sections of it are empty; empty sections count nothing;
+sections past the text are cut to it; a null list of sections gives no rows; null ids and repeated rows are counted row by
+row; other columns take no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
