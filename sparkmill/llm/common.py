@@ -7,12 +7,15 @@ import ctypes
 import tempfile
 import time
 import uuid
+import weakref
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .hashing import forget
+
 #: A side is broadcast up to this many bytes, counted before the join; beyond it is shuffled.
 BROADCAST_BYTES = 32 << 20
 
@@ -38,7 +41,20 @@ def materialize(df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(schema).parquet(path)
+    out = spark.read.schema(schema).parquet(path)
+    _written[id(out)] = (weakref.ref(out, lambda _, k=id(out): _written.pop(k, None)), path)
+    return out
+
+
+#: Where DataFrames that materialize returned are kept.
+_written: dict[int, tuple] = {}
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes what materialize has written for df, once nothing reads it any more."""
+    _, path = _written[id(df)]
+    where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def sized(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
@@ -55,6 +71,7 @@ def release(after: float = 0.0) -> None:
     Workers live on between tasks and stages; what a task has freed would stay with them.
     """
     if time.monotonic() - _released[0] >= after:
+        forget()
         pa.default_memory_pool().release_unused()
         with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
             ctypes.CDLL(None).malloc_trim(0)

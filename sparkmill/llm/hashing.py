@@ -7,7 +7,7 @@ import numpy as np
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
-#: Powers that a worker keeps; longer arrays are made for each call.
+#: Powers that a worker keeps between its work; longer arrays go with `forget`.
 KEPT = 1 << 18
 _powers: dict[int, np.ndarray] = {}
 
@@ -28,15 +28,17 @@ BYTE = mix(np.arange(1, 257, dtype=np.uint64) * _U(0xD1342543DE82EF95))
 
 def _power(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
-    if have is None:
-        have = _powers[base] = _made(base, KEPT)
-    return have[:n] if n <= KEPT else _made(base, n)
+    if have is None or len(have) < n:
+        steps = np.full(max(n + n // 4, KEPT), base, np.uint64)
+        steps[0] = 1
+        have = _powers[base] = np.multiply.accumulate(steps, out=steps)
+    return have[:n]
 
 
-def _made(base: int, n: int) -> np.ndarray:
-    steps = np.full(n, base, np.uint64)
-    steps[:1] = 1
-    return np.multiply.accumulate(steps, out=steps)
+def forget() -> None:
+    for base, have in list(_powers.items()):
+        if len(have) > KEPT:
+            del _powers[base]
 
 
 def prefixes(raw: np.ndarray) -> np.ndarray:
