@@ -5,9 +5,9 @@
    shingles in both.  A document sends a hash of each piece that is not empty, for both size
    classes that pairs of its size can share.  There are more pieces than differences by an
    eighth; a document with as many empty pieces as that also sends its prefix (its least
-   hashes, of which two linked sets share one).  A signature that
-   several sets have joins them, by a star to one of them, into candidate groups;
-   no pair of linked sets lies across two groups.  Copies are one set before any edge is made.
+   hashes, of which two linked sets share one).  Sets that have a signature in common make up the group of its
+   head, the least of them; a set is in the groups of all its heads, so every pair of linked sets is in a group
+   together, and sets that only share a passage with one of a group stay out of it.  Copies are one set before that.
 2. Search.  Only documents of candidate groups have their whole shingle sets shuffled, one
    per distinct set.  Inside a group each document asks which earlier ones reach the
    overlap T: its longest inverted lists are set aside (DivideSkip), the heads of the short ones are
@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, release, sized, slices, text_bytes
+from .common import BROADCAST_BYTES, materialize, release, sized, slices, text_bytes
 from .components import components
 from .hashing import mix, prefixes, ragged, spans
 
@@ -51,6 +51,10 @@ MU = 0.1
 SPARE = 8
 SPREAD = 4
 FLUSH = 1 << 19
+#: Sets with one signature among FLUSH signatures, above which one of them stands for all.
+HOT = 64
+#: Sets go by so many bits of their hashes when they are grouped; two sets of one name are only compared more often.
+_NODE = (1 << 48) - 1
 
 _U = np.uint64
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -250,36 +254,51 @@ def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False)
     return links
 
 
-def _flush(sigs, nodes, buckets):
-    """Distinct signatures with their least set by bucket, and star edges among the rest."""
+def _flush(sigs, nodes, buckets, most):
+    """Rows (bucket, kind, a, b) of the distinct signatures and the sets that have them: kind 0, all of them; kind 4, where more
+    than `most` sets have one, the least of them, which stands for the others by edges of kind 5."""
     sig, node = np.concatenate(sigs), np.concatenate(nodes)
     order = np.lexsort((node, sig))
     sig, node = sig[order], node[order]
-    new = np.r_[True, sig[1:] != sig[:-1]]
-    head = node[new][np.cumsum(new) - 1]
-    stars = np.unique(np.stack([node, head])[:, node != head], axis=1)
-    sig, node = sig[new], node[new]
-    bucket = (sig >> _U(32)) * _U(buckets) >> _U(32)
-    edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-    rows = [(int(bucket[a]), 0, sig[a:b].tobytes(), node[a:b].tobytes()) for a, b in zip(edge, np.r_[edge[1:], len(sig)])]
-    if stars.shape[1]:
-        rows.append((int(stars[0, 0] % buckets), 1, stars[0].tobytes(), stars[1].tobytes()))
+    first = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
+    size = np.diff(np.r_[first, len(sig)])
+    hot = np.repeat(size > most, size)
+    rows = []
+    for kind, some in ((0, np.flatnonzero(~hot)), (4, first[size > most])):
+        bucket = (sig[some] >> _U(32)) * _U(buckets) >> _U(32)
+        edge = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]) if len(some) else []
+        rows += [(int(bucket[a]), kind, _low(sig[some[a:b]], 4), _low(node[some[a:b]], 6)) for a, b in zip(edge, np.r_[edge[1:], len(some)])]
+    if hot.any():
+        stars = np.unique(np.stack([node[hot], np.repeat(node[first], size)[hot]]), axis=1)
+        rows.append((int(stars[0, 0] % buckets), 5, stars[0].tobytes(), stars[1].tobytes()))
     return rows
 
 
+def _low(x: np.ndarray, width: int) -> bytes:
+    """The low bytes of 64-bit numbers."""
+    return np.ascontiguousarray(x).astype("<i8", copy=False).view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _raised(raw: bytes, width: int) -> np.ndarray:
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(-1, width)
+    return out.view("<i8").ravel()
+
+
 _MEETS = "array<struct<g1:bigint,c:int,i:int,d:int,j:int>>"
-#: A set's place: its block i of `own` in its size class, and the blocks of the classes above and below; null in small groups.
+#: A set's place in a group: its block i of `own` in its size class, and the blocks of the classes above and below; null in small groups.
 _PLACED = ["rep", "label", "class", "i", "own", "above", "below"]
-#: A row of these in a broadcast: 64 bytes, and as many for its share of the hash table.
+#: A place in a broadcast: 64 bytes, and as many for its share of the hash table.
 PLACED_BYTES = 128
 _SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
 
 
 def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(kind, a, b, c, d): kind 1 edges (a, b) between sets, by the first 64 bits of their hashes; kind 2
-    documents (id, set size, 128-bit set hash); kind 3 documents without an id (0, set size).  Materialized."""
-    buckets = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    """(kind, a, b, c, d): kind 1 sets and the head of a signature they have (a, b), by 48 bits of their
+    hashes; kind 5 pairs (a, b) of which either stands for all that the other does; kind 2 documents (id, set
+    size, 128-bit set hash); kind 3 documents without an id (0, set size).  Materialized."""
+    buckets, most = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), HOT
 
     def send(batches):
         sigs, nodes, held, turn, seen = [], [], 0, 0, set()
@@ -292,7 +311,7 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                     seen.add(info[-1][1:])
                     found = signatures(s, percent)
                     sigs.append(found)
-                    nodes.append(np.full(len(found), info[-1][2], np.int64))
+                    nodes.append(np.full(len(found), info[-1][2] & _NODE, np.int64))
                     held += len(found)
             turn += 1
             known = [np.array([x[k] for x in info if x[0] is not None], np.int64) for k in range(4)]
@@ -301,26 +320,28 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
             if nulls:
                 rows.append((turn * 7919 % buckets, 3, np.array(nulls, np.int64).tobytes(), b""))
             if held >= FLUSH:
-                rows += _flush(sigs, nodes, buckets)
+                rows += _flush(sigs, nodes, buckets, most)
                 sigs, nodes, held, seen = [], [], 0, set()
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)] if rows else [pa.array([], f.type) for f in _SENT], schema=_SENT)
         if sigs:
-            rows = _flush(sigs, nodes, buckets)
+            rows = _flush(sigs, nodes, buckets, most)
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
 
     def meet(table):
         rows = list(zip(*(table.column(c).to_pylist() for c in ("kind", "a", "b"))))
         ints = lambda x: np.frombuffer(x, np.int64)
         out = []
-        sent = [(a, b) for k, a, b in rows if k == 0]
+        sent = [(k, a, b) for k, a, b in rows if k in (0, 4)]
         if sent:
-            sig, doc = np.frombuffer(b"".join(a for a, _ in sent), np.uint64), np.frombuffer(b"".join(b for _, b in sent), np.int64)
-            order = np.lexsort((doc, sig))
-            sig, doc = sig[order], doc[order]
+            sig, node = _raised(b"".join(a for _, a, _ in sent), 4), _raised(b"".join(b for _, _, b in sent), 6)
+            stands = np.repeat([k == 4 for k, _, _ in sent], [len(a) // 4 for _, a, _ in sent])
+            order = np.lexsort((node, sig))
+            sig, node, stands = sig[order], node[order], stands[order]
             new = np.r_[True, sig[1:] != sig[:-1]]
-            head = doc[new][np.cumsum(new) - 1]
-            out.append((1, np.unique(np.stack([doc, head])[:, doc != head], axis=1)))
-        out += [(1, np.stack([ints(a), ints(b)])) for k, a, b in rows if k == 1]
+            head = node[new][np.cumsum(new) - 1]
+            for kind, some in ((1, ~stands), (5, stands)):
+                out.append((kind, np.unique(np.stack([node, head])[:, (node != head) & some], axis=1)))
+        out += [(5, np.stack([ints(a), ints(b)])) for k, a, b in rows if k == 5]
         out += [(2, ints(a).reshape(4, -1)) for k, a, b in rows if k == 2]
         out += [(3, np.stack([np.zeros(len(a) // 8, np.int64), ints(a)])) for k, a, b in rows if k == 3]
         cols = [np.concatenate([np.full(x.shape[1], k, np.int32) for k, x in out])]
@@ -345,6 +366,11 @@ def _meets(bins: int):
     return F.when(of.isNull(), F.array(bin_).cast(_MEETS)).otherwise(large)
 
 
+def _fits(placed: DataFrame) -> bool:
+    """Whether all places are small enough for a broadcast."""
+    return placed.count() * PLACED_BYTES <= BROADCAST_BYTES
+
+
 def _documents(found: DataFrame) -> DataFrame:
     return found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d")
 
@@ -357,8 +383,13 @@ def _linked_sets(docs: DataFrame, words: int, percent: int, postings: int, every
     info = _documents(found)
     # One representative per distinct set, the least id: grouped with partial minima.
     classes = materialize(info.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep")), "classes")
-    groups = components(found.where("kind = 1").select("a", "b"))
-    members = classes.join(groups, classes["c"] == groups["node"]).select("rep", "n", F.col("component").alias("label")).distinct()
+    # A group per head; those of sets that stand for one another are one.
+    same = components(found.where("kind = 5").select("a", "b"))
+    heads = found.where("kind = 1").select(F.col("a").alias("node"), F.col("b").alias("head")).distinct()
+    heads = heads.unionByName(heads.select(F.col("head").alias("node"), "head").distinct()).unionByName(same.select("node", F.col("node").alias("head")))
+    of = same.select(F.col("node").alias("head"), "component")
+    groups = heads.join(of, "head", "left").select("node", F.coalesce("component", "head").alias("label")).distinct()
+    members = classes.withColumn("node", F.col("c").bitwiseAND(F.lit(_NODE))).join(groups, "node").select("rep", "n", "label").distinct()
     members = materialize(members, "members")
     count = members.groupBy("label").agg(F.count("*").alias("g"), F.sum("n").alias("all")).where("g > 1")
     placed = members.join(count, "label")
@@ -373,14 +404,16 @@ def _linked_sets(docs: DataFrame, words: int, percent: int, postings: int, every
 
     def whole(batches):
         for batch in slices(batches, "text"):
-            sets = [s.tobytes() for s in shingle_sets(batch.column(len(_PLACED)), words)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(sets, pa.binary())], [*_PLACED, "s"])
+            sets = [s.tobytes() for s in shingle_sets(batch.column(2), words)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(sets, pa.binary())], ["rep", "places", "s"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    small = sized(placed, PLACED_BYTES)
-    sets = texts.join(small, texts["doc_id"] == small["rep"]).select(*_PLACED, "text")
-    sets = sets.mapInArrow(whole, ", ".join(f"{c} {t}" for c, t in placed.dtypes) + ", s binary")
-    dealt = sets.select("rep", "label", "s", F.explode(_meets(bins)).alias("m")).select("rep", "label", "s", "m.*")
+    places = placed.groupBy("rep").agg(F.collect_list(F.struct(*_PLACED[1:])).alias("places"))
+    places = F.broadcast(places) if _fits(placed) else places
+    sets = texts.join(places, texts["doc_id"] == places["rep"]).select("rep", "places", "text")
+    # An id that several texts have is one node, so each of them may find its links.
+    sets = sets.mapInArrow(whole, f"rep long, places {places.schema['places'].dataType.simpleString()}, s binary")
+    dealt = sets.select("rep", "s", F.explode("places").alias("p")).select("rep", "s", "p.*").select("rep", "label", "s", F.explode(_meets(bins)).alias("m")).select("rep", "label", "s", "m.*")
 
     def look(table):
         label, rep = table.column("label").to_numpy(), table.column("rep").to_numpy()

@@ -64,7 +64,8 @@ def test_collisions_remove_nothing_else(monkeypatch, bits, hot):
         monkeypatch.setattr(module, name, lambda *x, f=getattr(module, name): f(*x) & mask)
     rows = [x[:2] for x in odd_rows()]
     shown = lambda rows, ddl: repeats._table(rows, ddl)
-    parts = [repeats._Part(pa.table({"__text": pa.array([t for _, t in rows[k::5]], pa.string()), "__id": pa.array([i for i, _ in rows[k::5]], pa.int64())}), 50, 19) for k in range(5)]
+    part = lambda rows: repeats._Part(pa.table({"__text": pa.array([t for _, t in rows], pa.string()), "__id": pa.array([i for i, _ in rows], pa.int64())}), 50, 19)
+    parts = [part(rows[k::5]) for k in range(5)]
     sent = [r for k, p in enumerate(parts) for r in repeats._anchors(p, k, 3, hot)]
     known = [r for b in range(3) if (own := [r for r in sent if r[0] == b]) for r in repeats._survivors(*zip(*(r[1:] for r in own)))]
     of = lambda k: [np.sort(repeats._unpack(b"".join(r[c] for r in known if r[0] == k))) for c in (1, 2)]
@@ -72,9 +73,10 @@ def test_collisions_remove_nothing_else(monkeypatch, bits, hot):
     replies = [(*r, b"") for b in range(3) if (own := [r for r in spread if r[0] == b]) for r in repeats._least_ids(shown(own, repeats._SEND), 50, 19, 81)]
     replies += [(k, b"", b"", b"", b"", repeats._pack(of(k)[1])) for k in range(5)]
     got = []
-    for k, p in enumerate(parts):
+    for k in range(5):
+        p = part(rows[k::5][::-1])  # the rows of a part may come in another order
         gone = repeats._cuts(p, shown([r for r in replies if r[0] == k], repeats._REPLY), 50)
-        for (i, _), lo, hi in zip(rows[k::5], p.at, p.at[1:]):
+        for i, lo, hi in zip(p.table.column("__id").to_pylist(), p.at, p.at[1:]):
             got.append((i, int(hi - lo), int(gone[lo:hi].sum()), hashlib.sha256(p.raw[lo:hi][~gone[lo:hi]].tobytes()).hexdigest()))
     key = lambda x: tuple((v is None, v) for v in x)
     assert sorted(map(key, got)) == sorted(key((i, n, m, h)) for i, n, m, _, h in removed(rows))
@@ -117,8 +119,9 @@ def test_cleaned_texts_and_clashing_names(spark):
     assert {x["doc_id"]: x["text"] for x in repeats.cleaned(half).collect()} == {1: "a" * 49 + "é", 2: ""}
 
 
-@pytest.mark.parametrize("postings", [1 << 18, 700])
-def test_components(spark, postings):
+@pytest.mark.parametrize("postings,hot", [(1 << 18, 64), (700, 64), (700, 1), (1 << 18, 3)])
+def test_components(spark, monkeypatch, postings, hot):
+    monkeypatch.setattr(jaccard, "HOT", hot)
     rows = odd_rows()[:-2] + [(1, "another text of the first id", None, 1), (None, "a b c d", None, 1), (None, None, None, 2)]
     docs = spark.createDataFrame(rows, SCHEMA)
     got = [tuple(x) for x in jaccard.link_components(docs, postings=postings).collect()]
@@ -170,6 +173,17 @@ def test_search_finds_all_links_and_spans_components(percent):
         assert {tuple(sorted(x)) for x in some} <= want and rooted(len(sets), some) == rooted(len(sets), want)
 
 
+@pytest.mark.parametrize("most", [1 << 25, 0])
+def test_components_of_edges(spark, monkeypatch, most):
+    from sparkmill.llm import components as c
+
+    monkeypatch.setattr(c, "BROADCAST_BYTES", most)
+    pairs = [(a, a + 1) for a in range(-20, 20)] + [(100, b) for b in range(101, 150)] + [(7000, -7000), (5, 5), (149, 150), (149, 150)]
+    got = {r["node"]: r["component"] for r in c.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert got == {**{i: -20 for i in range(-20, 21)}, **{i: 100 for i in range(100, 151)}, 7000: -7000, -7000: -7000}
+    assert c.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
 def test_signatures_of_linked_sets_meet():
     import numpy as np
 
@@ -210,15 +224,15 @@ def test_rows_counted_for_a_broadcast_are_as_small_as_counted(spark, monkeypatch
     rows = [(i, " ".join("x%d" % i if k == i else w for k, w in enumerate(base))) for i in range(90)]
     counted = []
 
-    def sized(df, row_bytes):
-        cell = lambda v: 8 + (56 * len(v) if isinstance(v, list) else 0)
-        counted.append((row_bytes, max((8 + sum(map(cell, x)) for x in df.collect()), default=0)))
-        return df
+    def fits(placed):
+        counted.extend(8 + sum(8 for _ in x) for x in placed.collect())
+        assert {t for _, t in placed.dtypes} <= {"bigint", "int"}
+        return True
 
-    monkeypatch.setattr(jaccard, "sized", sized)
+    monkeypatch.setattr(jaccard, "_fits", fits)
     got = {x[0]: tuple(x)[1:] for x in jaccard.link_components(spark.createDataFrame(rows, "doc_id long, text string"), postings=600).collect()}
     assert got == components(rows) and len({c for _, c in got.values()}) == 1
-    assert counted and all(largest <= row_bytes for row_bytes, largest in counted), counted
+    assert counted and max(counted) <= jaccard.PLACED_BYTES // 2
 
 
 def test_empty_tables(spark):
