@@ -31,6 +31,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ WIDTH = 50
 GRAM = 19
 HOT = 8
 #: Text bytes of a part, which is in memory at once with its anchors; parts per bucket.
-PART_BYTES, PARTS_A_BUCKET = 1 << 20, 16
+PART_BYTES, PARTS_A_BUCKET = 1 << 20, 8
 CACHE = 1 << 16
 
 _U = np.uint64
@@ -60,7 +61,10 @@ class _Part:
     """The documents of one part end to end, with their anchors."""
 
     def __init__(self, table: pa.Table, width: int, gram: int):
-        self.table = table = table.combine_chunks()
+        # Shuffled rows come in any order; places hold in this one.
+        table = table.combine_chunks()
+        by = pc.sort_indices(table.select(["__id", "__text"]), sort_keys=[("__id", "ascending"), ("__text", "ascending")])
+        self.table = table = table.take(by).combine_chunks()
         text = table.column("__text").combine_chunks() if table.num_rows else pa.array([], pa.string())
         self.raw, self.at = text_bytes(text)
         ids = table.column("__id").to_numpy()
@@ -427,7 +431,7 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM, hot: i
         runs = pa.StructArray.from_arrays([pa.array(lo - at[doc], pa.int64()), pa.array(hi - at[doc], pa.int64())], ["lo", "hi"])
         edge = np.searchsorted(lo, at).astype(np.int32)
         held = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(kept_at.astype(np.int64)), pa.py_buffer(kept)]).cast(pa.binary())
-        arrays = [table.column("__row").combine_chunks(), held, pa.array(np.diff(at)), pa.array(before[at[1:]] - before[at[:-1]]), pa.ListArray.from_arrays(pa.array(edge), runs)]
+        arrays = [part.table.column("__row").combine_chunks(), held, pa.array(np.diff(at)), pa.array(before[at[1:]] - before[at[:-1]]), pa.ListArray.from_arrays(pa.array(edge), runs)]
         release(2)
         return pa.Table.from_arrays(arrays, ["doc", "kept", "n_bytes", "n_removed", "spans"])
 
