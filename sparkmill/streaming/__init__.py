@@ -19,5 +19,15 @@ def tumbling_counts(events: DataFrame, window: str = "1 day", late: str = "1 hou
     return by.agg(F.count("*").alias("n"), F.sum("value").alias("value")).select(F.col("w.start").alias("start"), "event_type", "n", "value")
 
 
+def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day, event type, n and value (to two places) of all events."""
+    days = tumbling_counts(table(spark, sf_dir, "events"))
+    return days.select(F.to_date("start").alias("day"), "event_type", "n", F.round("value", 2).alias("value"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"tumbling_counts": lambda spark, sf_dir: tumbling_counts(table(spark, sf_dir, "events"))}
+    return {"tumbling_counts": daily_counts}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {"tumbling_counts": "SELECT ts::DATE AS day, event_type, count(*) AS n, round(sum(value), 2) AS value FROM events GROUP BY 1, 2"}
