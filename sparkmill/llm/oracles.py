@@ -48,6 +48,11 @@ def _tree(extra: bool) -> str:
 _CRC_TABLE = "list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"
 _CRC = "xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, b), lambda c, x: xor(c >> 8, tab[(xor(c, x) & 255) + 1])))"
 
+def _id_crc(doc_id: str) -> str:
+    """The unsigned CRC-32 of a decimal id; tab: a column with the table."""
+    return _CRC.replace("b)", f"list_transform(string_split({doc_id}::VARCHAR, ''), lambda v: ascii(v)::BIGINT))")
+
+
 OP9 = f"""
 WITH a AS ({_tree(False)}), b AS ({_tree(True)}),
 c AS (SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT) AS b, (SELECT {_CRC_TABLE}) AS tab FROM documents),
@@ -90,4 +95,23 @@ SELECT doc_id, z.size, source_size, target, coalesce(sum(got) FILTER (r0 IS NOT
 FROM z LEFT JOIN s ON s.skey = z.skey AND s.rank = z.r0 GROUP BY doc_id, z.skey, start, z.size, source_size, target
 """
 
-ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10}
+#: Runs as islands of equal words p apart, for every period p of a quarter of the document at most.
+OP11 = rf"""
+WITH t AS (SELECT doc_id, text, {_WORDS} AS w, (SELECT {_CRC_TABLE}) AS tab FROM documents),
+h AS (SELECT doc_id, w, len(w) AS n, ({_id_crc("doc_id")})::BIGINT AS h FROM t),
+a AS (SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a FROM h),
+e AS (SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(range(n), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + (h // 10) % 8)) + 1] END) END AS w FROM a),
+u AS (SELECT doc_id, n, unnest(range(n)) AS i, unnest(w) AS x FROM e),
+m AS (SELECT a.doc_id, b.i - a.i AS p, a.i FROM u a JOIN u b ON a.doc_id = b.doc_id AND a.x = b.x AND b.i > a.i AND b.i - a.i <= a.n // 4),
+g AS (SELECT doc_id, p, i, i - row_number() OVER (PARTITION BY doc_id, p ORDER BY i) AS island FROM m),
+s AS (SELECT doc_id, p, min(i) AS start, count(*) + p AS length FROM g GROUP BY doc_id, p, island HAVING count(*) + p >= greatest(6, 4 * p)),
+r AS (SELECT doc_id, start, length, min(p) AS period FROM s GROUP BY doc_id, start, length),
+k AS (SELECT doc_id, count(*) AS n_runs, string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS lines FROM r GROUP BY doc_id),
+b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY length::DOUBLE / period DESC, start, period) AS rank FROM r) WHERE rank = 1),
+c AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS kept FROM u WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.doc_id = u.doc_id AND u.i >= r.start + r.period AND u.i < r.start + r.length) GROUP BY doc_id)
+SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start, length::BIGINT AS length, period::BIGINT AS period, (1000 * length // period)::BIGINT AS exponent_milli,
+ sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept, '')) AS collapsed_sha256, n AS n_words
+FROM e LEFT JOIN k USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11}

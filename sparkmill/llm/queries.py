@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, huffman, jaccard, licenses, mix, packing, quality, repeats, shards, sketch
+from . import attribution, huffman, jaccard, licenses, mix, packing, periodic, quality, repeats, shards, sketch
 from .common import table, tokenizer_path
 from .oracles import ORACLES
 
@@ -66,8 +66,31 @@ def op10_toccurrence_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.link_components(table(spark, sf_dir, "documents"))
 
 
+def op11_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text: one document in ten (by the checksum of its id) repeats the words from some place on; the others as they are."""
+    rows = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    rows = rows.withColumn("words", F.when(F.expr("h % 10 = 0"), F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))))
+    rows = rows.withColumn("n", F.size("words")).withColumn("g", F.expr("h div 10"))
+    rows = rows.withColumn("a", F.expr("if(n > 0, g % n, null)").cast("int")).withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)").cast("int"))
+    turns = "flatten(array_repeat(slice(words, a + 1, p), cast(ceil((n - a) / p) as int)))"
+    return rows.select("doc_id", F.expr(f"if(n > 0, array_join(slice(concat(slice(words, 1, a), {turns}), 1, n), ' '), text)").alias("text"))
+
+
+def op11_of(docs: DataFrame) -> DataFrame:
+    found = periodic.runs(op11_texts(docs))
+    lines = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select(
+        "doc.doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"), "n_words",
+    )
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_of(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name != "op1_sections"}
+    named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of")}
     return named | {"ledger_ablation": ledger_ablation}
 
 

@@ -77,3 +77,18 @@ def crc(ids):
     import struct
 
     return zlib.crc32(struct.pack(f"<{len(ids)}I", *ids))
+
+
+def runs(words):
+    """(start, length, period) of all runs, by start and period: every stretch of matches for every period, named by its least."""
+    n, found = len(words), {}
+    for p in range(1, n // 4 + 1):
+        i = 0
+        while i + p < n:
+            j = i
+            while j + p < n and words[j] == words[j + p]:
+                j += 1
+            if j - i + p >= max(6, 4 * p):
+                found.setdefault((i, j - i + p), p)
+            i = max(j, i) + 1
+    return sorted(((s, length, p) for (s, length), p in found.items()), key=lambda r: (r[0], r[2]))
