@@ -114,4 +114,25 @@ SELECT e.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, start::BIGINT AS start,
 FROM e LEFT JOIN k USING (doc_id) LEFT JOIN b USING (doc_id) LEFT JOIN c USING (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11}
+_LEAF = "sha256({})".format(" || ".join(f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "{n_chars}", "text")))
+#: Level by level: g names the tree (a language, or the tree over them), size the nodes of a level.
+OP13 = f"""
+WITH RECURSIVE t AS (SELECT *, (SELECT {_CRC_TABLE}) AS tab FROM documents),
+d AS (SELECT doc_id, coalesce('s' || lang, '') AS g, {_LEAF.format(n_chars="n_chars")} AS leaf, {_LEAF.format(n_chars="(n_chars::HUGEINT + 1)")} AS changed, ({_id_crc("doc_id")}) % 7 = 0 AS picked FROM t),
+l AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY g) AS size FROM d),
+up AS (SELECT g, 0 AS level, i, size, leaf AS node FROM l
+ UNION ALL SELECT g, level + 1, i // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM up WHERE size > 1 GROUP BY g, level, i // 2, size),
+s AS (SELECT g, node, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS size FROM up WHERE size = 1),
+top AS (SELECT 0 AS level, i, size, node FROM s
+ UNION ALL SELECT level + 1, i // 2, (size + 1) // 2, sha256(string_agg(node, '' ORDER BY i)) FROM top WHERE size > 1 GROUP BY level, i // 2, size),
+n AS (SELECT g, level, i, node FROM up UNION ALL SELECT 'top', level, i, node FROM top),
+walk AS (SELECT doc_id, g AS own, g, leaf, 0 AS level, i, size, '' AS siblings, CASE WHEN picked THEN changed ELSE leaf END AS folded FROM l
+ UNION ALL SELECT doc_id, own, CASE WHEN w.size > 1 THEN w.g ELSE 'top' END, leaf, CASE WHEN w.size > 1 THEN w.level + 1 ELSE 0 END, CASE WHEN w.size > 1 THEN w.i // 2 ELSE s.i END, CASE WHEN w.size > 1 THEN (w.size + 1) // 2 ELSE s.size END,
+  CASE WHEN w.size > 1 THEN siblings || coalesce(n.node, '') ELSE siblings END,
+  CASE WHEN w.size = 1 THEN folded WHEN w.i % 2 = 1 THEN sha256(n.node || folded) ELSE sha256(folded || coalesce(n.node, '')) END
+ FROM walk w LEFT JOIN n ON n.g = w.g AND n.level = w.level AND n.i = xor(w.i, 1) LEFT JOIN s ON s.g = w.g WHERE w.size > 1 OR w.g <> 'top')
+SELECT doc_id, leaf, s.node AS subroot, r.node AS root, sha256(siblings) AS proof_sha256, folded AS folded_root, folded = r.node AS verified
+FROM walk w JOIN s ON s.g = w.own, (SELECT node FROM top WHERE size = 1) r WHERE w.g = 'top' AND w.size = 1
+"""
+
+ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}

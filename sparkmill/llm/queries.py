@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, huffman, jaccard, licenses, mix, packing, periodic, quality, repeats, shards, sketch
+from . import attribution, huffman, jaccard, licenses, manifest, mix, packing, periodic, quality, repeats, shards, sketch
 from .common import table, tokenizer_path
 from .oracles import ORACLES
 
@@ -89,8 +89,22 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_of(table(spark, sf_dir, "documents"))
 
 
+def op13_of(docs: DataFrame) -> DataFrame:
+    """The manifest, and what comes of it where one document in seven (by the checksum of its id) has one more in n_chars."""
+    more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
+    changed = manifest.leaf([more.get(f, F.col(f)) for f in manifest.FIELDS])
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    proofs = manifest.manifest(docs, carry={"tampered": F.when(picked, changed)})
+    proofs = proofs.withColumn("folded_root", manifest.folded(F.coalesce("tampered", "leaf")))
+    return proofs.select("doc_id", "leaf", "subroot", "root", F.sha2(manifest.siblings(), 256).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_of(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of")}
+    named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of", "op13_of")}
     return named | {"ledger_ablation": ledger_ablation}
 
 
