@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import attribution, huffman, jaccard, licenses, manifest, mix, packing, periodic, quality, repeats, shards, sketch
+from . import attribution, compression, huffman, jaccard, licenses, manifest, mix, packing, periodic, quality, repeats, shards, sketch
 from .common import table, tokenizer_path
 from .oracles import ORACLES
 
@@ -89,6 +89,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_of(table(spark, sf_dir, "documents"))
 
 
+def op12_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    model = compression.fit(docs, labels.where(~compression.held_out()))
+    rows = compression.scored(docs.select("doc_id", "text"), model).select("doc.doc_id", "score")
+    return rows.select("doc_id", compression.held_out().alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op12_compression_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_of(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_of(docs: DataFrame) -> DataFrame:
     """The manifest, and what comes of it where one document in seven (by the checksum of its id) has one more in n_chars."""
     more = {"n_chars": F.col("n_chars").cast("decimal(20,0)") + 1}
@@ -104,7 +114,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of", "op13_of")}
+    named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of", "op12_of", "op13_of")}
     return named | {"ledger_ablation": ledger_ablation}
 
 
