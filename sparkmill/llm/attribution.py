@@ -62,13 +62,15 @@ def attribute(docs: DataFrame, path: str, sections: str | None = None) -> DataFr
     """doc_id and, per section: section, lo, hi (characters), doc_tokens, n_first, n_most, n_split.
 
     sections: an array<struct<lo, hi>> column of character spans; without one, the lines.
-    path: a byte-level tokenizer file.
+    path: a byte-level tokenizer file; one whose ids do not spell the text's bytes raises ValueError.
     """
     given = F.col(sections) if sections else F.lit(None)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), given.cast("array<struct<lo:bigint,hi:bigint>>").alias("sections"))
 
     def run(batches):
         enc = encoder(path)
+        if not enc.spells_bytes:
+            raise ValueError(f"{path}: attribution needs a byte-level tokenizer without a normalizer, whose ids spell the text")
         size = np.zeros(enc.tokenizer.get_vocab_size(), np.int64)
         for token, i in enc.tokenizer.get_vocab().items():
             size[i] = len(token)  # byte-level: a character of a token's name is a byte

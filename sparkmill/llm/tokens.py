@@ -6,7 +6,8 @@ end to end, are the ids of the text.  Equal pieces of a batch are encoded once,
 of frequent ones are remembered by the worker.
 
 The cuts hold for two settings of a file's normalizer and pre-tokenizer, named below; any
-other file gets whole texts.  White space below is ASCII white space, a run of it being cut
+other file gets whole texts, and so does a text that holds the string of an added token, which
+the library takes for that token.  White space below is ASCII white space, a run of it being cut
 
 * ``byte`` files: before the run, and before its last character if a word follows; that
   one goes with the word if it is a space and is a piece of its own if not.  A text where other
@@ -136,10 +137,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = t = Tokenizer.from_file(path)
-        t.encode_special_tokens = True  # their strings in a text are ordinary text
         made = json.loads(t.to_str())
         settings = made["normalizer"], made["pre_tokenizer"]
         known = all(x["special"] for x in made["added_tokens"]) and not made["truncation"] and not made["padding"]
+        # Texts that hold an added token's string are left to the library as a whole.
+        self._added = "|".join(re.escape(x["content"]) for x in made["added_tokens"] if x["content"]), any(x["normalized"] for x in made["added_tokens"])
         self._words = known and settings == _WORD_SETTINGS
         self._cuts = word_cuts if self._words else byte_cuts if known and settings == _BYTE_SETTINGS else None
         self._young: dict[str, bytes] = {}
@@ -199,11 +201,31 @@ class Encoder:
             self._young, self._old, self._size = {}, young, 0
         return out
 
+    @property
+    def spells_bytes(self) -> bool:
+        """Whether the ids of a text spell its bytes, one after another."""
+        return self._cuts is byte_cuts
+
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids as uint32 end to end, int64 offsets of n + 1) of a text column; null counts as empty."""
         if self._cuts is None:
-            found = self._library([x or "" for x in column.to_pylist()])
-            return np.frombuffer(b"".join(found), "<u4"), np.r_[0, np.cumsum([len(x) // 4 for x in found], dtype=np.int64)]
+            return self._whole(column)
+        pattern, any_case = self._added
+        held = pc.fill_null(pc.match_substring_regex(column, pattern, ignore_case=any_case), False) if pattern else None
+        if not pattern or not pc.any(held).as_py():
+            return self._by_pieces(column)
+        ids, edge = self._by_pieces(pc.if_else(held, pa.scalar("", column.type), column))
+        own, at = self._whole(column.filter(held))
+        which = np.flatnonzero(held.to_numpy(zero_copy_only=False))
+        size = np.zeros(len(column), np.int64)
+        size[which] = np.diff(at)
+        return np.insert(ids, np.repeat(edge[which], np.diff(at)), own), edge + np.r_[0, np.cumsum(size)]
+
+    def _whole(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        found = self._library([x or "" for x in column.to_pylist()])
+        return np.frombuffer(b"".join(found), "<u4"), np.r_[0, np.cumsum([len(x) // 4 for x in found], dtype=np.int64)]
+
+    def _by_pieces(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         raw, at = text_bytes(column)
         if not len(raw):
             return np.zeros(0, np.uint32), np.zeros(len(at), np.int64)

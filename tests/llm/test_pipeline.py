@@ -2,11 +2,11 @@ import duckdb
 import numpy as np
 import pyarrow as pa
 from brute import components, removed, rules
+from tokenizers import Tokenizer
 
 import corpus_pipeline as cp
 from sparkmill.llm.common import materialize, table, tokenizer_path
 from sparkmill.llm.oracles import OP7
-from sparkmill.llm.tokens import Encoder
 
 DATA = "/root/testdata/sf0.001"
 
@@ -40,7 +40,7 @@ def test_stages(spark):
     taken = {i: n for i, n in con.execute(f"SELECT doc_id, taken FROM ({OP7})").fetchall() if n}
     assert words == taken
     pieces = cp.STAGES[-1][1](spark, docs, DATA).collect()
-    tokenizer = Encoder(tokenizer_path("word_bpe_49k.json")).tokenizer
+    tokenizer = Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
     whole, by_doc, by_seq = {}, {}, {}
     for r in docs.collect():
         whole.setdefault(r["doc_id"], []).append(np.array([*tokenizer.encode(r["text"], add_special_tokens=False).ids, 1], "<u4").tobytes())

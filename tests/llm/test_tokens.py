@@ -9,6 +9,8 @@ import pyarrow.parquet as pq
 import pytest
 from brute import crc
 
+from tokenizers import Tokenizer
+
 from sparkmill.llm import attribution, huffman, packing
 from sparkmill.llm.common import table, tokenizer_path
 from sparkmill.llm.tokens import Encoder
@@ -27,6 +29,11 @@ def texts():
     return out + ["".join(r.choice([" ", "\n", "a", "B", "1", "'s", ".", ",", "\t", "é", " ", "日", "\r", "\0"]) for _ in range(r.randrange(14))) for _ in range(4000)]
 
 
+def plain(name):
+    """The library's own tokenizer, nothing set."""
+    return Tokenizer.from_file(tokenizer_path(name))
+
+
 def same_as_library(enc, some, step):
     for i in range(0, len(some), step):
         ids, edge = enc.encode(pa.array(some[i : i + step]))
@@ -72,6 +79,23 @@ def test_other_settings_get_whole_texts(tmp_path):
     same_as_library(enc, texts()[:500] + [None], 50)
 
 
+@pytest.mark.parametrize("name", [BYTE, WORD])
+def test_added_tokens_in_texts_are_what_the_library_makes_of_them(name):
+    enc, t, r = Encoder(tokenizer_path(name)), plain(name), random.Random(7)
+    held = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|", " ", "\n", "a", " b,", "é.", "x<"]
+    some = ["".join(r.choice(held) for _ in range(r.randrange(12))) for _ in range(5000)] + [None, "", "<|endoftext|>"]
+    for i in range(0, len(some), 61):
+        ids, edge = enc.encode(pa.array(some[i : i + 61]))
+        for x, lo, hi in zip(some[i : i + 61], edge[:-1], edge[1:], strict=True):
+            assert ids[lo:hi].tolist() == t.encode(x or "", add_special_tokens=False).ids, repr(x)
+
+
+def test_attribution_refuses_other_files(spark):
+    docs = spark.createDataFrame([(1, "Hello big world, hello")], "doc_id long, text string")
+    with pytest.raises(Exception, match="needs a byte-level tokenizer"):
+        attribution.attribute(docs, tokenizer_path(WORD)).collect()
+
+
 def test_rare_pieces_leave_the_memory():
     enc = Encoder(tokenizer_path(WORD), 10_000)
     for i in range(300):
@@ -81,7 +105,7 @@ def test_rare_pieces_leave_the_memory():
 
 
 def whole(rows, name, end):
-    t = Encoder(tokenizer_path(name)).tokenizer
+    t = plain(name)
     return [(i, [*t.encode(x or "", add_special_tokens=False).ids, end]) for i, x in rows]
 
 
@@ -185,7 +209,7 @@ def test_attribution(spark):
     rows = [(1, "abc def\n\nghi", [(0, 5), (5, 12), (3, 3), (4, 400)]), (2, None, [(0, 4)]), (3, "日本語 text", [(0, 1), (1, 2), (2, 9)]), (None, "x", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, s array<struct<lo:long,hi:long>>")
     got = {(r["doc_id"], r["section"]): r for r in attribution.attribute(docs, tokenizer_path(BYTE), "s").collect()}
-    t = Encoder(tokenizer_path(BYTE)).tokenizer
+    t = plain(BYTE)
     for i, text, sections in rows:
         text = text or ""
         e = t.encode(text, add_special_tokens=False)
@@ -213,7 +237,7 @@ def test_attribution_of_the_query_and_its_edges(spark):
     rows = [(1, long, "x"), (2, "a" * 1000, "x"), (2, "a" * 1000, "x"), (3, "b" * 1001, None), (4, "", "y"), (None, None, "y")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, sections string")
     got = op1_sections(docs).collect()
-    t = Encoder(tokenizer_path(BYTE)).tokenizer
+    t = plain(BYTE)
     for i, text, _ in rows:
         text = text or ""
         own = sorted((r for r in got if r["doc_id"] == i), key=lambda r: r["section"])
