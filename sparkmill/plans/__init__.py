@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators
+from ..operators import ann
 from ..sources import table
 
 
@@ -46,6 +47,26 @@ def consistent_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return operators.consistent_tracks(tracks(spark, sf_dir), operators.descriptors(table(spark, sf_dir, "embeddings")))
 
 
+def approx_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest query through the index of codes."""
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    return ann.approx_nearest(ann.index(rows), rows.where("vec_id % 20 = 0"))
+
+
+def approx_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: how many of the exact neighbours the index finds, and the part of all pairs that get an exact distance."""
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    indexed, asked = ann.index(rows), rows.where("vec_id % 20 = 0")
+    found = ann.recall(operators.nearest(rows), ann.approx_nearest(indexed, asked))
+    tried = ann.candidates(indexed, asked).agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_candidates"))
+    per = rows.groupBy("label").agg(F.count("*").alias("n"), F.count(F.when(F.col("vec_id") % 20 == 0, 1)).alias("n_asked"))
+    pairs = per.agg(F.sum("n_asked").alias("asked"), F.sum("n").alias("all"), F.sum(F.col("n_asked") * F.col("n")).alias("own"))
+    # Three tables of one row each.
+    one = lambda df: df.withColumn("one", F.lit(1))
+    out = one(found).join(one(tried), "one").join(one(pairs.select(F.coalesce(F.expr("asked * `all` - own"), F.lit(0)).alias("n_pairs"))), "one")
+    return out.select("n_exact", "n_found", "recall", "n_candidates", "n_pairs")
+
+
 _ROWS = """rows_ AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
   WHERE len(embedding) = 64 AND abs(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) - 1) < 1e-3)"""
 _KNN = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c, b.label AS cl, round(2 - 2 * list_dot_product(a.x, b.x), 6) AS d2
@@ -61,18 +82,33 @@ _MUTUAL = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id A
 _TRACKS = f"""{_MUTUAL}, e AS (SELECT a, b FROM mutual UNION SELECT b, a FROM mutual), t AS (SELECT a AS v, a AS m FROM e UNION SELECT e.b, t.m FROM t JOIN e ON e.a = t.v),
  tracks AS (SELECT v AS vec_id, min(m) AS track_id FROM t GROUP BY v)"""
 
+#: Codes as bit strings, cells by their first bits, and the cells that each query probes.
+_ANN = f"""{_KNN}, plane AS (SELECT b, list(CASE WHEN substr(md5('plane-' || b || '-' || d), 1, 1) < '8' THEN 1.0 ELSE -1.0 END ORDER BY d) AS s FROM (SELECT unnest(range({ann.BITS})) AS b), (SELECT unnest(range(64)) AS d) GROUP BY b),
+ m AS (SELECT vec_id, label, x, b, list_dot_product(list_transform(x, lambda v: floor(v * {ann.SCALE} + 0.5)), s) AS m FROM rows_, plane),
+ coded AS (SELECT vec_id, label, any_value(x) AS x, string_agg(CASE WHEN m >= 0 THEN '1' ELSE '0' END, '' ORDER BY b)::BIT AS code,
+  sum(CASE WHEN b < {ann.CELL_BITS} AND m >= 0 THEN 1 << b ELSE 0 END)::INT AS cell, list(m::HUGEINT ORDER BY b) FILTER (b < {ann.CELL_BITS}) AS first FROM m GROUP BY vec_id, label),
+ cost AS (SELECT vec_id, c AS cell, list_sum(list_transform(range({ann.CELL_BITS}), lambda b: CASE WHEN ((c >> b) & 1) <> ((coded.cell >> b) & 1) THEN first[b + 1] * first[b + 1] ELSE 0 END)) AS cost
+  FROM coded, (SELECT unnest(range({1 << ann.CELL_BITS}))::INT AS c) WHERE vec_id % 20 = 0),
+ probed AS (SELECT vec_id, cell FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY cost, cell) AS place FROM cost) WHERE place <= {ann.PROBES}),
+ tried AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c, b.label AS cl, round(2 - 2 * list_dot_product(a.x, b.x), 6) AS d2
+  FROM probed JOIN coded a USING (vec_id) JOIN coded b ON b.cell = probed.cell AND a.label <> b.label AND bit_count(xor(a.code, b.code)) <= {ann.RADIUS}),
+ near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM tried) WHERE r <= 2)"""
+
 _REJECTS = """WITH v AS (SELECT embedding IS NULL OR len(embedding) <> list_count(embedding) AS gap, embedding::DOUBLE[] AS x FROM embeddings),
  w AS (SELECT CASE WHEN gap THEN 'null' WHEN len(x) <> 64 THEN 'length' WHEN NOT coalesce(abs(list_dot_product(x, x) - 1) < 1e-3, false) THEN 'norm' END AS why FROM v)
  SELECT count(*) AS n_rows, count(*) FILTER (why = 'null') AS n_null, count(*) FILTER (why = 'length') AS n_length, count(*) FILTER (why = 'norm') AS n_norm FROM w"""
 
 
 def queries() -> dict:
-    return {"descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph, "mutual_matches": mutual_matches, "tracks": tracks, "consistent_tracks": consistent_tracks}
+    return {"approx_nearest": approx_nearest, "approx_recall": approx_recall, "descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph, "mutual_matches": mutual_matches, "tracks": tracks, "consistent_tracks": consistent_tracks}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
         "descriptors": f"WITH {_ROWS} SELECT label, count(*) AS n, min(vec_id) AS first_id, max(vec_id) AS last_id FROM rows_ GROUP BY label",
+        "approx_nearest": f"WITH {_ANN} SELECT q, ql, c, cl, d2, r::INT AS r FROM near",
+        "approx_recall": f"""WITH {_ANN}, hits AS (SELECT count(*) AS n_exact, count(near.q) AS n_found FROM knn LEFT JOIN near USING (q, c))
+  SELECT n_exact, n_found, round(n_found / n_exact, 6) AS recall, (SELECT count(*) FROM tried) AS n_candidates, (SELECT count(*) FROM pairs) AS n_pairs FROM hits""",
         "descriptor_rejects": _REJECTS,
         "nearest": f"WITH {_KNN} SELECT q, ql, c, cl, d2, r::INT AS r FROM knn",
         "ratio_matches": f"WITH {_RATIO} SELECT * FROM matches",
