@@ -1,16 +1,21 @@
-"""Column functions over vectors, JVM-side."""
+"""Column functions of the match graph, JVM-side."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 
-def dot(a: Column, b: Column) -> Column:
-    """Left-to-right dot product of two arrays of doubles."""
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
+def inverse_frequency(n: Column, df: Column) -> Column:
+    """Weight of a word that df of n images have; over 0 even for one that all have."""
+    return F.log(1 + n / df)
 
 
-def squared_distance(a: Column, b: Column) -> Column:
-    """Of unit vectors, to 6 places."""
-    return F.round(F.lit(2.0) - F.lit(2.0) * dot(a, b), 6)
+def unit_weight(weight: Column, image: str) -> Column:
+    """The weight as a part of the length of its image's vector."""
+    return weight / F.sqrt(F.sum(weight * weight).over(Window.partitionBy(image)))
+
+
+def least_of(*columns: str) -> list[Column]:
+    """An unordered pair of columns in ascending order."""
+    return [F.least(*columns), F.greatest(*columns)]

@@ -8,6 +8,11 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import least_of
+from ..sources import sized, stored, write_matches
+
+__all__ = ["consistent_tracks", "descriptors", "mutual", "nearest", "nearest_in_pairs", "ratio_matches", "rejects", "top_neighbours", "track_stats", "tracks", "view_graph", "write_matches"]
+
 #: Rows and queries of a cell, which one task multiplies at a time.
 CELL_ROWS, CELL_QUERIES = 1 << 13, 1 << 11
 
@@ -46,6 +51,35 @@ def nearest(rows: DataFrame, k: int = 2, every: int = 20, queries: DataFrame | N
     left = asked.select("vec_id", "label", "x", cell(down).alias("i"), each(across).alias("j"), F.lit(True).alias("asks"))
     right = rows.select("vec_id", "label", "x", each(down).alias("i"), cell(across).alias("j"), F.lit(False).alias("asks"))
 
+    return _best(left.unionByName(right), ["i", "j"], k)
+
+
+def nearest_in_pairs(rows: DataFrame, pairs: DataFrame, k: int = 2, every: int = 20, queries: DataFrame | None = None) -> DataFrame:
+    """Like nearest, but each query looks only at the labels that pairs (la, lb, either way round) has with its own.
+
+    A pair is a grid of its own, as many cells as its queries and rows need, so work follows the pairs and a
+    label of any size is spread over cells of at most about CELL_ROWS x CELL_QUERIES.
+    """
+    asked = rows.where(F.col("vec_id") % every == 0) if queries is None else queries
+    return _best(_pair_cells(rows, pairs, asked), ["la", "lb", "i", "j"], k)
+
+
+def _pair_cells(rows: DataFrame, pairs: DataFrame, asked: DataFrame) -> DataFrame:
+    """Queries (asks) and rows of every pair under the cell (la, lb, i, j) in which they meet."""
+    either = pairs.select("la", "lb").unionByName(pairs.select(F.col("lb").alias("la"), F.col("la").alias("lb"))).where("la <> lb").distinct()
+    count = lambda df, label, n, size: df.groupBy(F.col("label").alias(label)).agg(F.ceil(F.count("*") / size).cast("int").alias(n))
+    plan = either.join(count(asked, "la", "down", CELL_QUERIES), "la").join(count(rows, "lb", "across", CELL_ROWS), "lb")
+    plan = sized(stored(plan, "pair-cells"), 32)
+    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = asked.join(plan, asked["label"] == plan["la"]).select("vec_id", "label", "x", "la", "lb", block("down").alias("i"), each("across").alias("j"), F.lit(True).alias("asks"))
+    right = rows.join(plan, rows["label"] == plan["lb"]).select("vec_id", "label", "x", "la", "lb", each("down").alias("i"), block("across").alias("j"), F.lit(False).alias("asks"))
+    return left.unionByName(right)
+
+
+def _best(cells: DataFrame, keys: list[str], k: int) -> DataFrame:
+    """The k nearest rows of each query and label over all cells (vec_id, label, x, asks)."""
+
     def look(table: pa.Table) -> pa.Table:
         found = [[] for _ in range(5)]
         table_q, table_c = table.filter(table.column("asks")), table.filter(pc.invert(table.column("asks")))
@@ -64,9 +98,9 @@ def nearest(rows: DataFrame, k: int = 2, every: int = 20, queries: DataFrame | N
         kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.float64()]
         return pa.table({n: pa.array(np.concatenate(v) if v else [], t) for n, v, t in zip(("q", "ql", "c", "cl", "d2"), found, kinds)})
 
-    pairs = left.unionByName(right).groupBy("i", "j").applyInArrow(look, "q long, ql int, c long, cl int, d2 double")
+    found = cells.groupBy(*keys).applyInArrow(look, "q long, ql int, c long, cl int, d2 double")
     w = Window.partitionBy("q", "cl").orderBy("d2", "c")
-    return pairs.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
+    return found.withColumn("r", F.row_number().over(w)).where(F.col("r") <= k)
 
 
 def _vectors(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -87,39 +121,72 @@ def view_graph(matches: DataFrame, min_matches: int = 1) -> DataFrame:
     return pairs.groupBy("la", "lb").agg(F.count("*").alias("n"), F.round(F.avg("d2"), 4).alias("mean_d2")).where(F.col("n") >= min_matches)
 
 
+def top_neighbours(graph: DataFrame, top: int = 3) -> DataFrame:
+    """label, neighbour, n, mean_d2, r: of every label's edges in a view graph (la, lb, n, mean_d2) the `top` with most matches, then the nearest."""
+    ways = graph.select(F.explode(F.array(F.struct(F.col("la").alias("label"), F.col("lb").alias("neighbour")), F.struct(F.col("lb").alias("label"), F.col("la").alias("neighbour")))).alias("e"), "n", "mean_d2")
+    w = Window.partitionBy("label").orderBy(F.desc("n"), "mean_d2", "neighbour")
+    return ways.select("e.*", "n", "mean_d2").withColumn("r", F.row_number().over(w)).where(F.col("r") <= top)
+
+
 def mutual(rows: DataFrame, matches: DataFrame) -> DataFrame:
     """Of matches (q, ql, c, cl, d2) those whose c has q as its nearest row of label ql: a, b, la, lb, d2, each pair once with a < b."""
-    asked = rows.join(matches.select(F.col("c").alias("vec_id")).distinct(), "vec_id", "left_semi")
-    back = nearest(rows, 1, queries=asked).select(F.col("q").alias("c"), F.col("c").alias("q"), F.col("cl").alias("ql"))
+    matches = stored(matches, "matches")  # read three times below
+    asked = stored(rows.join(matches.select(F.col("c").alias("vec_id")).distinct(), "vec_id", "left_semi"), "asked-back")
+    labels = matches.select(F.col("ql").alias("la"), F.col("cl").alias("lb")).distinct()
+    back = nearest_in_pairs(rows, labels, 1, queries=asked).select(F.col("q").alias("c"), F.col("c").alias("q"), F.col("cl").alias("ql"))
     both = matches.join(back, ["q", "c", "ql"])
     swap = F.col("q") > F.col("c")
     side = lambda x, y: F.when(swap, F.col(y)).otherwise(F.col(x))
     return both.select(side("q", "c").alias("a"), side("c", "q").alias("b"), side("ql", "cl").alias("la"), side("cl", "ql").alias("lb"), "d2").distinct()
 
 
+#: Bytes of a node and its least neighbour in a broadcast.
+NODE_BYTES = 64
+
+
 def tracks(pairs: DataFrame) -> DataFrame:
     """vec_id, track_id: connected components of pairs (a, b), named by their least member.
 
-    Every node hangs from the least of its neighbours, and then from what that one hangs from, until
-    nothing moves; each round is checkpointed, and only a count of what moved reaches the driver.
+    Large stars and small stars in turn: a node's greater neighbours move to its least neighbour, then a node and
+    its lesser neighbours to the least of them, until nothing moves; rounds grow with the logarithm of the
+    longest chain.  A round is written once and read back; only a count and a checksum reach the driver.  Least
+    neighbours are joined by broadcast where the edges prove that they fit, else by a join that Spark can split at a node of many edges.
     """
-    edges = pairs.select("a", "b").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    at = edges.groupBy(F.col("a").alias("vec_id")).agg(F.min("b").alias("m")).select("vec_id", F.least("vec_id", "m").alias("track_id")).checkpoint()
-    while True:
-        seen = edges.join(at.select(F.col("vec_id").alias("b"), "track_id"), "b").groupBy(F.col("a").alias("vec_id")).agg(F.min("track_id").alias("near"))
-        up = at.select(F.col("vec_id").alias("track_id"), F.col("track_id").alias("above"))
-        new = at.join(up, "track_id", "left").join(seen, "vec_id").select("vec_id", F.least("track_id", "above", "near").alias("track_id"), (F.least("above", "near") < F.col("track_id")).alias("moved")).checkpoint()
-        at = new.drop("moved")
-        if not new.where("moved").limit(1).count():
-            return at
+    alone = pairs.where("a = b").select(F.col("a").alias("vec_id"), F.col("a").alias("track_id"))
+    low, high = least_of("a", "b")
+    edges = stored(pairs.where("a <> b").select(high.alias("a"), low.alias("b")).distinct(), "edges")
+    state = _state(edges)
+    while state[0]:
+        near = (lambda df: F.broadcast(df)) if 2 * state[0] * NODE_BYTES <= 32 << 20 else (lambda df: stored(df, "least"))
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = near(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")))
+        large = stored(both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "large-stars")
+        least = near(large.groupBy("a").agg(F.min("b").alias("m")))
+        small = large.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
+        edges = stored(small.distinct(), "small-stars")
+        before, state = state, _state(edges)
+        if state == before:
+            break
+    roots = edges.select(F.col("b").alias("vec_id"), F.col("b").alias("track_id"))
+    found = edges.select(F.col("a").alias("vec_id"), F.col("b").alias("track_id")).unionByName(roots).unionByName(alone)
+    return found.groupBy("vec_id").agg(F.min("track_id").alias("track_id"))
+
+
+def _state(edges: DataFrame) -> tuple:
+    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def _by_track(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """track_id, n, most: members of a track, and of its most frequent label; a track of any size is first counted by label."""
+    labels = members.join(rows.select("vec_id", "label"), "vec_id").groupBy("track_id", "label").agg(F.count("*").alias("k"))
+    return labels.groupBy("track_id").agg(F.sum("k").alias("n"), F.max("k").alias("most"))
 
 
 def consistent_tracks(members: DataFrame, rows: DataFrame, least: int = 2) -> DataFrame:
     """track_id, n of the tracks of at least `least` members in which no label comes twice."""
-    of = members.join(rows.select("vec_id", "label"), "vec_id").groupBy("track_id")
-    return of.agg(F.count("*").alias("n"), F.countDistinct("label").alias("labels")).where((F.col("n") == F.col("labels")) & (F.col("n") >= least)).drop("labels")
+    return _by_track(members, rows).where((F.col("most") == 1) & (F.col("n") >= least)).drop("most")
 
 
-def write_matches(matches: DataFrame, path: str) -> None:
-    """Matches as Parquet, one folder per label of the query."""
-    matches.write.partitionBy("ql").parquet(path)
+def track_stats(members: DataFrame, rows: DataFrame) -> DataFrame:
+    """length, n_tracks, n_conflicting: how many tracks have so many members, and in how many of them a label comes twice."""
+    return _by_track(members, rows).groupBy(F.col("n").alias("length")).agg(F.count("*").alias("n_tracks"), F.count(F.when(F.col("most") > 1, 1)).alias("n_conflicting"))

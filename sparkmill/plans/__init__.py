@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators
-from ..operators import ann
+from ..operators import ann, retrieval
 from ..sources import table
 
 
+#: Partners that retrieval gives a label.  Labels of the tables are classes of vectors without a common scene, so all but one of the nine others are asked for.
+PARTNERS = 8
+
+
 def descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
     return rows.groupBy("label").agg(F.count("*").alias("n"), F.min("vec_id").alias("first_id"), F.max("vec_id").alias("last_id"))
@@ -67,6 +71,41 @@ def approx_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("n_exact", "n_found", "recall", "n_candidates", "n_pairs")
 
 
+def view_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.top_neighbours(view_graph(spark, sf_dir))
+
+
+def _cell_words(rows: DataFrame) -> DataFrame:
+    return ann.index(rows).select("label", F.col("cell").alias("word"))
+
+
+def image_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The PARTNERS most alike labels of every label, by the cells of the index as words."""
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    return retrieval.image_pairs(retrieval.postings(_cell_words(rows)), PARTNERS)
+
+
+def pair_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest query in the retrieved pairs of labels."""
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    return operators.nearest_in_pairs(rows, image_pairs(spark, sf_dir))
+
+
+def tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The PARTNERS most alike labels of every label, by the words of a vocabulary tree."""
+    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
+    return retrieval.image_pairs(retrieval.postings(retrieval.words(rows, retrieval.fit_tree(rows))), PARTNERS)
+
+
+def retrieval_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row: how many edges of the view graph the vocabulary tree's pairs have."""
+    return retrieval.pair_recall(view_graph(spark, sf_dir), tree_pairs(spark, sf_dir))
+
+
+def track_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return operators.track_stats(tracks(spark, sf_dir), operators.descriptors(table(spark, sf_dir, "embeddings")))
+
+
 _ROWS = """rows_ AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings
   WHERE len(embedding) = 64 AND abs(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[]) - 1) < 1e-3)"""
 _KNN = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id AS c, b.label AS cl, round(2 - 2 * list_dot_product(a.x, b.x), 6) AS d2
@@ -94,13 +133,22 @@ _ANN = f"""{_KNN}, plane AS (SELECT b, list(CASE WHEN substr(md5('plane-' || b |
   FROM probed JOIN coded a USING (vec_id) JOIN coded b ON b.cell = probed.cell AND a.label <> b.label AND bit_count(xor(a.code, b.code)) <= {ann.RADIUS}),
  near AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM tried) WHERE r <= 2)"""
 
+#: Labels as images, the cells of their vectors as words.
+_IMAGES = f"""{_ANN}, tf AS (SELECT label AS image, cell AS word, count(*) AS tf FROM coded GROUP BY 1, 2),
+ idf AS (SELECT word, ln(1 + (SELECT count(DISTINCT image) FROM tf) / count(*)) AS idf FROM tf GROUP BY word),
+ post AS (SELECT image, word, tf * idf / sqrt(sum((tf * idf) * (tf * idf)) OVER (PARTITION BY image)) AS weight FROM tf JOIN idf USING (word)),
+ alike AS (SELECT a.image AS la, b.image AS lb, round(coalesce(sum(x.weight * y.weight), 0), 6) AS score
+  FROM (SELECT DISTINCT image FROM tf) a JOIN (SELECT DISTINCT image FROM tf) b ON a.image <> b.image LEFT JOIN post x ON x.image = a.image LEFT JOIN post y ON y.image = b.image AND y.word = x.word GROUP BY 1, 2),
+ pairs_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY la ORDER BY score DESC, lb) AS r FROM alike) WHERE r <= {PARTNERS})"""
+_VIEW = f"{_RATIO}, view_ AS (SELECT least(ql, cl) AS la, greatest(ql, cl) AS lb, count(*) AS n, round(avg(d2), 4) AS mean_d2 FROM matches GROUP BY 1, 2)"
+
 _REJECTS = """WITH v AS (SELECT embedding IS NULL OR len(embedding) <> list_count(embedding) AS gap, embedding::DOUBLE[] AS x FROM embeddings),
  w AS (SELECT CASE WHEN gap THEN 'null' WHEN len(x) <> 64 THEN 'length' WHEN NOT coalesce(abs(list_dot_product(x, x) - 1) < 1e-3, false) THEN 'norm' END AS why FROM v)
  SELECT count(*) AS n_rows, count(*) FILTER (why = 'null') AS n_null, count(*) FILTER (why = 'length') AS n_length, count(*) FILTER (why = 'norm') AS n_norm FROM w"""
 
 
 def queries() -> dict:
-    return {"approx_nearest": approx_nearest, "approx_recall": approx_recall, "descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph, "mutual_matches": mutual_matches, "tracks": tracks, "consistent_tracks": consistent_tracks}
+    return {"approx_nearest": approx_nearest, "approx_recall": approx_recall, "descriptors": descriptors, "descriptor_rejects": descriptor_rejects, "nearest": nearest, "ratio_matches": ratio_matches, "view_graph": view_graph, "view_neighbours": view_neighbours, "image_pairs": image_pairs, "pair_nearest": pair_nearest, "tree_pairs": tree_pairs, "retrieval_recall": retrieval_recall, "track_stats": track_stats, "mutual_matches": mutual_matches, "tracks": tracks, "consistent_tracks": consistent_tracks}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -109,6 +157,12 @@ def oracle_sql() -> dict[str, str]:
         "approx_nearest": f"WITH {_ANN} SELECT q, ql, c, cl, d2, r::INT AS r FROM near",
         "approx_recall": f"""WITH {_ANN}, hits AS (SELECT count(*) AS n_exact, count(near.q) AS n_found FROM knn LEFT JOIN near USING (q, c))
   SELECT n_exact, n_found, round(n_found / n_exact, 6) AS recall, (SELECT count(*) FROM tried) AS n_candidates, (SELECT count(*) FROM pairs) AS n_pairs FROM hits""",
+        "image_pairs": f"WITH {_IMAGES} SELECT la, lb, score, r::INT AS r FROM pairs_",
+        "pair_nearest": f"WITH {_IMAGES} SELECT q, ql, c, cl, d2, r::INT AS r FROM knn WHERE EXISTS (SELECT 1 FROM pairs_ p WHERE (p.la, p.lb) IN ((ql, cl), (cl, ql)))",
+        "view_neighbours": f"""WITH {_VIEW}, ways AS (SELECT la AS label, lb AS neighbour, n, mean_d2 FROM view_ UNION ALL SELECT lb, la, n, mean_d2 FROM view_)
+  SELECT label, neighbour, n, mean_d2, r::INT AS r FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY n DESC, mean_d2, neighbour) AS r FROM ways) WHERE r <= 3""",
+        "track_stats": f"""WITH RECURSIVE {_TRACKS}, per AS (SELECT track_id, count(*) AS length, count(DISTINCT label) AS labels FROM tracks JOIN rows_ USING (vec_id) GROUP BY track_id)
+  SELECT length, count(*) AS n_tracks, count(*) FILTER (labels < length) AS n_conflicting FROM per GROUP BY length""",
         "descriptor_rejects": _REJECTS,
         "nearest": f"WITH {_KNN} SELECT q, ql, c, cl, d2, r::INT AS r FROM knn",
         "ratio_matches": f"WITH {_RATIO} SELECT * FROM matches",

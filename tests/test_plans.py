@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.01"
 REPO = Path(__file__).resolve().parent.parent
 
 
-@pytest.mark.parametrize("name", sorted(plans.queries()))
+@pytest.mark.parametrize("name", sorted(plans.oracle_sql()))
 def test_equals_sql(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{DATA}/embeddings.parquet'")
