@@ -10,7 +10,7 @@
    together, and sets that only share a passage with one of a group stay out of it.  Copies are one set before that.
 2. Search.  Only documents of candidate groups have their whole shingle sets shuffled, one
    per distinct set.  Inside a group each document asks which earlier ones reach the
-   overlap T: its longest inverted lists are set aside (DivideSkip), the heads of the short ones are
+   overlap T: its longest inverted lists are set aside (DivideSkip; T - 1 of them, size by size, where the others are long as well), the heads of the short ones are
    merged, least head first, skipping ahead where too few agree, for documents that occur often enough to
    reach T with the long lists' help, and those are probed in the long lists by binary search.  The merges
    of many documents run side by side, their heads in one array.
@@ -47,6 +47,8 @@ POSTINGS = 1 << 18
 #: Heads of lists that are merged side by side; DivideSkip's weight of a probe.
 CELLS = 1 << 18
 MU = 0.1
+#: Postings of a query's short lists for each of its shingles, above which each size of documents is asked for by itself.
+LONG = 16
 #: One more piece for so many: linked sets then share more pieces than are likely to be empty.
 SPARE = 8
 SPREAD = 4
@@ -162,8 +164,9 @@ def _padded(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return out, filled
 
 
-def _candidates_of(index: _Lists, xs: np.ndarray, first: np.ndarray, short: list[np.ndarray], need: np.ndarray, after):
-    """(places in xs, documents, lists that have them): T-occurrence in the short lists of many queries side by side.
+def _candidates_of(index: _Lists, first: np.ndarray, stop: np.ndarray, short: list[np.ndarray], need: np.ndarray, after):
+    """(queries' places, documents, lists that have them): T-occurrence in the short lists of many queries side by side,
+    each over the documents from first to stop.
 
     A row holds the heads of a query's lists.  Its least head is the next document of the k-way merge: if
     enough heads agree it is a candidate, else the lists skip ahead (MergeSkip) to the need-th
@@ -172,8 +175,8 @@ def _candidates_of(index: _Lists, xs: np.ndarray, first: np.ndarray, short: list
     """
     lists, filled = _padded(short)
     pos = index.at(lists, first[:, None])
-    end = np.where(filled, index.at(lists, xs[:, None]), pos)
-    of, none = np.arange(len(xs)), index.n
+    end = np.where(filled, index.at(lists, stop[:, None]), pos)
+    of, none = np.arange(len(first)), index.n
     doc = np.r_[index.doc, none]
     heads = np.where(pos < end, doc[pos], none)
     while len(of):
@@ -211,36 +214,46 @@ def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False)
     first = np.searchsorted(index.sizes, least)
     asking = np.flatnonzero(first < np.arange(index.n))
     of, links = np.arange(index.n), []  # of: the component of each so far
-    cut, begin = [], 0
-    for i, size in enumerate(index.sizes[asking].tolist()):  # ascending: a query's row is as long as the last one's
-        if i > begin and (i + 1 - begin) * size > CELLS:
-            cut.append(i)
-            begin = i
-    for xs in np.split(asking, cut):
-        short, long_ = [], []
-        for x in xs:
-            # DivideSkip: long lists aside, so that T - aside occurrences in the short ones are needed.
+    by_size = np.r_[np.flatnonzero(np.r_[True, index.sizes[1:] != index.sizes[:-1]]), index.n]
+
+    def asked():
+        """(query, documents from and to, short lists, long lists, occurrences needed in the short ones): DivideSkip, so T less the long lists set aside."""
+        for x in asking.tolist():
             own = index.own[index.edge[x] : index.edge[x + 1]]
             lens = index.length[own]
-            aside = min(int(least[x]) - 1, int(least[x] / (MU * int(lens.max()).bit_length() + 1)))
             by = np.argsort(lens, kind="stable")
-            short.append(own[by[: len(own) - aside]])
-            long_.append(own[by[len(own) - aside :]])
-        if not len(xs):
-            continue
-        aside = np.array([len(x) for x in long_])
+            own = own[by]
+            aside = min(int(least[x]) - 1, int(least[x] / (MU * int(lens.max()).bit_length() + 1)))
+            short = len(own) - aside
+            if int(lens[by[:short]].sum()) <= LONG * len(own):
+                yield x, int(first[x]), x, own[:short], own[short:], int(least[x]) - aside
+                continue
+            # Lists that many documents share: documents of each size by themselves, as T is known then, and T - 1 lists aside.
+            # A text that fits a template as all others do, but is linked with none of them, has only words of its own in the rest.
+            for k in range(int(np.searchsorted(by_size, first[x], "right")) - 1, len(by_size) - 1):
+                lo, hi = max(int(by_size[k]), int(first[x])), min(int(by_size[k + 1]), x)
+                if lo >= hi:
+                    break
+                t = int(_required(len(own), int(index.sizes[lo]), percent))
+                if t <= len(own):
+                    yield x, lo, hi, own[: len(own) - t + 1], own[len(own) - t + 1 :], 1
+
+    def merged(queries):
+        xs, lo, hi, short, long_, need = zip(*queries)
+        xs, lo, hi, need = map(np.array, (xs, lo, hi, need))
+        aside = np.array([len(v) for v in long_])
         probes, filled = _padded(long_)
 
-        def after(rows, ys, xs=xs):
+        def after(rows, ys):
             """The next document that is not in the query's component."""
             out = ys + 1
             for r in np.flatnonzero(of[xs[rows]] == of[ys]):
                 x = xs[rows[r]]
-                rest = of[out[r] : x] != of[x]
+                rest = of[out[r] : hi[rows[r]]] != of[x]
                 out[r] = out[r] + rest.argmax() if rest.any() else index.n
             return out
 
-        for rows, ys, k in _candidates_of(index, xs, first[xs], short, least[xs] - aside, (lambda rows, ys: ys + 1) if every else after):
+        for rows, ys, k in _candidates_of(index, lo, hi, short, need, (lambda rows, ys: ys + 1) if every else after):
             wanted = _required(index.sizes[xs[rows]], index.sizes[ys], percent)
             some = (k + aside[rows] >= wanted) & (every | (of[xs[rows]] != of[ys]))  # else their component is known already
             rows, ys, k, wanted = rows[some], ys[some], k[some], wanted[some]
@@ -251,6 +264,16 @@ def search(sets: list[np.ndarray], percent: int = PERCENT, every: bool = False)
                 if every or of[x] != of[y]:
                     links.append((order[x], order[y]))
                     of[of == of[x]] = of[y]
+
+    some, wide = [], 0
+    for query in asked():
+        wide = max(wide, len(query[3]), len(query[4]))
+        if some and (len(some) + 1) * wide > CELLS:
+            merged(some)
+            some, wide = [], max(len(query[3]), len(query[4]))
+        some.append(query)
+    if some:
+        merged(some)
     return links
 
 

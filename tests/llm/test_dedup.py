@@ -138,24 +138,28 @@ def test_components_of_the_table(spark, words, percent):
     assert got == components([tuple(x) for x in docs.collect()], words, percent)
 
 
-@pytest.mark.parametrize("percent", [90, 80])
-def test_search_finds_all_links_and_spans_components(percent):
-    import numpy as np
+def rooted(n, links):
+    root = list(range(n))
 
-    r = random.Random(11)
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
 
-    def rooted(n, links):
-        root = list(range(n))
+    for a, b in links:
+        a, b = sorted((find(a), find(b)))
+        root[b] = a
+    return [find(i) for i in range(n)]
 
-        def find(x):
-            while root[x] != x:
-                x = root[x]
-            return x
 
-        for a, b in links:
-            a, b = sorted((find(a), find(b)))
-            root[b] = a
-        return [find(i) for i in range(n)]
+@pytest.mark.parametrize("long_", [0, 16])
+@pytest.mark.parametrize("percent", [90, 80])
+def test_search_finds_all_links_and_spans_components(monkeypatch, percent, long_):
+    import numpy as np
+
+    monkeypatch.setattr(jaccard, "LONG", long_)
+
+    r = random.Random(11)
 
     for _ in range(60):
         size = r.choice([12, 40, 300])
@@ -173,6 +177,29 @@ def test_search_finds_all_links_and_spans_components(percent):
         assert {tuple(sorted(x)) for x in some} <= want and rooted(len(sets), some) == rooted(len(sets), want)
 
 
+@pytest.mark.parametrize("long_", [0, 16])
+@pytest.mark.parametrize("percent", [80, 90])
+def test_search_of_texts_that_share_a_template(monkeypatch, percent, long_):
+    """Lists that every document is in: links against all pairs, and work that does not grow with pairs."""
+    import time
+    from itertools import combinations
+
+    import numpy as np
+
+    monkeypatch.setattr(jaccard, "LONG", long_)
+    r = np.random.default_rng(6)
+    drawn = lambda n: r.integers(0, 1 << 62, n).astype(np.uint64)
+    common = drawn(60)
+    sets = [np.unique(np.r_[common[: r.integers(1, 60)], drawn(r.integers(0, 9))]) for _ in range(250)]
+    sets += [np.unique(np.r_[s[1:], drawn(1)]) for s in sets[:60] if len(s) > 1] + sets[:3]
+    linked = {(i, j) for i, j in combinations(range(len(sets)), 2) if 100 * (o := len(np.intersect1d(sets[i], sets[j]))) >= percent * (len(sets[i]) + len(sets[j]) - o)}
+    every, some = jaccard.search(sets, percent, True), jaccard.search(sets, percent)
+    assert {tuple(sorted(x)) for x in every} == linked and len(linked) > 50
+    assert {tuple(sorted(x)) for x in some} <= linked and rooted(len(sets), some) == rooted(len(sets), linked)
+    began = time.time()
+    assert jaccard.search([np.unique(np.r_[common[:9], drawn(1)]) for _ in range(26_000)], 90) == [] and time.time() - began < 10
+
+
 @pytest.mark.parametrize("most", [1 << 25, 0])
 def test_components_of_edges(spark, monkeypatch, most):
     from sparkmill.llm import components as c
