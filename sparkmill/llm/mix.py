@@ -164,25 +164,27 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     A turn that its source's end cuts short (one document per source at most) keeps the words taken,
     up to the white space before the next one.
     """
-    spans = mix(docs, block).where("slot is not null").groupBy("doc_id", "skey", "start", "size", "epoch", "slots").agg(F.max("word_hi").alias("__words"), F.min("slot").alias("__slot"))
+    spans = mix(docs, block).where("slot is not null").groupBy("doc_id", "skey", "start", "size", "epoch", "slots").agg(F.max("word_hi").alias("words"), F.min("slot").alias("slot"))
     key = lambda skey, size: F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), size.cast("string"), skey)
-    spans = spans.withColumn("__key", key(F.col("skey"), F.col("size")))
+    spans = spans.withColumn("key", key(F.col("skey"), F.col("size")))
     # Rows that nothing tells apart but their texts are dealt the turns of one another's places.
-    spans = spans.withColumn("__turn", F.row_number().over(Window.partitionBy("__key", "epoch").orderBy("start")))
-    s = spans.select("__key", "__turn", "__words", "__slot", F.col("start").alias("__start"), F.col("slots").alias("__slots"))
+    spans = spans.withColumn("turn", F.row_number().over(Window.partitionBy("key", "epoch").orderBy("start")))
+    s = spans.select("key", "turn", "words", "slot", "start", "slots")
     size = F.expr(WORD_SIZE).cast("long")
-    rows = docs.select(*(F.col(f"`{c}`") for c in docs.columns), key(source_key(), size).alias("__key"), size.alias("__size"))
-    rows = rows.withColumn("__row", F.row_number().over(Window.partitionBy("__key").orderBy(F.xxhash64("text"))))
+    # The documents' own columns stay in a struct, so that they may have any names.
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), key(source_key(), size).alias("key"), size.alias("size"))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("doc.text"))))
     # Equal numbers as a difference of 0: the join then needs no other partitioning than the window's.
-    out = rows.join(s, "__key").where("__row - __turn = 0")
-    pieces = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    some = F.array_join(F.slice(pieces, F.lit(1), F.col("__words").cast("int")), "")
-    whole = F.col("__words") == F.col("__size")
-    made = {"text": F.when(whole, F.col("text")).otherwise(some)}
+    out = rows.join(s, "key").where("place - turn = 0")
+    pieces = F.regexp_extract_all("doc.text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    some = F.array_join(F.slice(pieces, F.lit(1), F.col("words").cast("int")), "")
+    whole = F.col("words") == F.col("size")
+    made = {"text": F.when(whole, F.col("doc.text")).otherwise(some)}
     if "n_chars" in docs.columns:
-        made["n_chars"] = F.when(whole, F.col("n_chars")).otherwise(F.char_length(some)).cast(docs.schema["n_chars"].dataType)
+        made["n_chars"] = F.when(whole, F.col("doc.n_chars")).otherwise(F.char_length(some)).cast(docs.schema["n_chars"].dataType)
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    out = out.select(*((made[c] if c in made else F.col(f"`{c}`")).alias(c) for c in docs.columns), "__slot", "__start", "__slots")
+    new = F.struct(*((made[c] if c in made else F.col("doc")[c]).alias(c) for c in docs.columns)).alias("doc")
+    out = out.select(new, "slot", "start", "slots")
     # Slots are of one size, so equal stretches of them make even partitions.
-    out = out.repartitionById(parts, F.expr(f"cast(floor(__slot / __slots * {parts}) as int)")).sortWithinPartitions("__slot", "__start")
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    out = out.repartitionById(parts, F.expr(f"cast(floor(slot / slots * {parts}) as int)")).sortWithinPartitions("slot", "start")
+    return out.select("doc.*")

@@ -65,16 +65,16 @@ def bits(names) -> int:
 def ledger(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with MEASURES (long) and fail_bits (int); the text column is read once and left out."""
     keep = [f for f in docs.schema.fields if f.name not in {text, "fail_bits", *MEASURES}]
-    src = docs.select(*(F.col(f"`{f.name}`") for f in keep), F.col(f"`{text}`").cast("string").alias("__text"))
+    src = docs.select(*(F.col(f"`{f.name}`") for f in keep), F.col(f"`{text}`").cast("string").alias(text))
     names = [f.name for f in keep]
 
     def run(batches):
-        for batch in slices(batches, "__text"):
+        for batch in slices(batches, text):
             rows = [measure(x) for x in batch.column(len(names)).to_pylist()]
             found = [pa.array(v, pa.int64()) for v in zip(*rows)]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *found], [*names, *MEASURES])
 
-    schema = src.drop("__text").schema
+    schema = src.select(*(F.col(f"`{n}`") for n in names)).schema
     for m in MEASURES:
         schema = schema.add(m, "long")
     out = src.mapInArrow(run, schema)

@@ -456,9 +456,10 @@ def cleaned(docs: DataFrame) -> DataFrame:
 
     A null text stays null where docs has one.
     """
-    done = remove_repeats(docs.withColumn("__null", F.col("text").isNull()), characters=True)
-    null, text = F.col("doc")["__null"], F.col("kept").cast("string")
+    own = F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("own")
+    done = remove_repeats(docs.select("doc_id", "text", own, F.col("text").isNull().alias("null")), characters=True)
+    null, text, own = F.col("doc.null"), F.col("kept").cast("string"), F.col("doc.own")
     made = {"text": F.when(~null, text)}
     if "n_chars" in docs.columns:
-        made["n_chars"] = F.when(null, F.col("doc")["n_chars"]).otherwise(F.char_length(text).cast(docs.schema["n_chars"].dataType))
-    return done.select(*((made[c] if c in made else F.col("doc")[c]).alias(c) for c in docs.columns))
+        made["n_chars"] = F.when(null, own["n_chars"]).otherwise(F.char_length(text).cast(docs.schema["n_chars"].dataType))
+    return done.select(*((made[c] if c in made else own[c]).alias(c) for c in docs.columns))

@@ -73,3 +73,16 @@ def test_clashing_columns_and_odd_rows(spark):
             if name == "suffix dedup":
                 assert out.count() == n and {r["kept"] for r in out.collect()} <= {"own"}
         assert bool(cp.STAGES[-1][1](spark, out, DATA).count()) == bool(n)
+
+
+def test_own_columns_may_have_any_name(spark):
+    names = ["__size", "__key", "__turn", "__slot", "__slots", "__start", "__words", "__row", "__null", "__text", "__part", "__id", "doc", "own", "null", "key", "place", "turn", "slots", "start", "words", "size", "skey", "kept", "runs", "rep", "node", "label", "component_id", "n_words", "fail_bits", "a.b", "queue", "ids"]
+    text = lambda k: " ".join(f"{'abcdefgh'[k % 8]}word{k * i}" for i in range(1, 80))
+    rows = [(i, text(i), "s" if i % 2 else "t", len(text(i)), *(f"{n} {i}" for n in names)) for i in range(1, 9)] + [(9, text(8), "s", 1, *(f"{n} 9" for n in names))]
+    out = docs = spark.createDataFrame(rows, ["doc_id", "text", "source", "n_chars", *names])
+    for name, stage in cp.STAGES[:-1]:
+        out = materialize(stage(spark, out, DATA), "t")
+        assert out.dtypes == docs.dtypes, name
+        kept = out.collect()
+        assert kept and all(r[n] == f"{n} {r['doc_id']}" for r in kept for n in names), name
+    assert cp.STAGES[-1][1](spark, out, DATA).count()
