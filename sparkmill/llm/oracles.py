@@ -20,6 +20,22 @@ b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)
 SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
 """
 
+#: Bytes as hex digits, two each, in pieces of 300 places: every string of 50 with the least document that has it, then islands of covered bytes and the gaps between them.
+OP4 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+q AS (SELECT doc_id, n, pos, substr(h, 2 * pos + 1, 698) AS h FROM (SELECT doc_id, h, n, unnest(range(0, n - 49, 300)) AS pos FROM d WHERE n >= 50)),
+g AS (SELECT doc_id, pos + i AS i, substr(h, 2 * i + 1, 100) AS s FROM (SELECT doc_id, pos, h, unnest(range(least(300, n - 49 - pos))) AS i FROM q)),
+l AS (SELECT s, min(doc_id) AS first FROM g GROUP BY s HAVING min(doc_id) < max(doc_id)),
+c AS (SELECT g.doc_id, i FROM g JOIN l USING (s) WHERE l.first < g.doc_id),
+e AS (SELECT doc_id, i, CASE WHEN i <= lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 50 THEN 0 ELSE 1 END AS new FROM c),
+r AS (SELECT doc_id, min(i) AS lo, max(i) + 50 AS hi FROM (SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM e) GROUP BY doc_id, run),
+k AS (SELECT r.doc_id, count(*) AS n_spans, sum(hi - lo)::BIGINT AS n_removed, list(struct_pack(lo := lo, hi := hi) ORDER BY lo) AS runs FROM r GROUP BY r.doc_id),
+p AS (SELECT d.doc_id, n, n_removed, n_spans, h, list_zip(list_prepend(0, list_transform(runs, lambda x: x.hi)), list_append(list_transform(runs, lambda x: x.lo), n)) AS kept FROM d LEFT JOIN k USING (doc_id))
+SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+ sha256(CASE WHEN n_spans IS NULL THEN unhex(h) ELSE unhex(array_to_string(list_transform(kept, lambda x: substr(h, (2 * x[1] + 1)::BIGINT, (2 * (x[2] - x[1]))::BIGINT)), '')) END) AS kept_sha256
+FROM p
+"""
+
 _RULES = ("few_words", "repeated_words", "symbols", "word_length", "repeated_lines", "shouting")
 ABLATION = f"""
 WITH led AS ({OP5}), r AS (SELECT unnest({list(_RULES)}) AS rule, unnest([1, 2, 4, 8, 16, 32]) AS bit)
@@ -135,4 +151,4 @@ SELECT doc_id, leaf, s.node AS subroot, r.node AS root, sha256(siblings) AS proo
 FROM walk w JOIN s ON s.g = w.own, (SELECT node FROM top WHERE size = 1) r WHERE w.g = 'top' AND w.size = 1
 """
 
-ORACLES: dict[str, str] = {"op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}
+ORACLES: dict[str, str] = {"op4_suffix_dedup": OP4, "op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}

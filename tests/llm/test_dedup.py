@@ -1,9 +1,10 @@
 import random
 
+import duckdb
 import pytest
 from brute import components, removed, shingles
 
-from sparkmill.llm import jaccard, repeats
+from sparkmill.llm import jaccard, oracles, repeats
 from sparkmill.llm.common import table
 
 DATA = "/root/testdata"
@@ -46,6 +47,9 @@ def test_removed_bytes_of_the_table(spark):
     docs = table(spark, f"{DATA}/sf0.001", "documents").select("doc_id", "text")
     got = repeats.remove_repeats(docs).select("doc.doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
     assert sorted(map(tuple, got)) == sorted(removed([tuple(x) for x in docs.collect()]))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/sf0.001/documents.parquet'")
+    assert sorted(map(tuple, got)) == sorted(con.execute(oracles.OP4).fetchall())
 
 
 @pytest.mark.parametrize("bits", [8, 3, 64])
