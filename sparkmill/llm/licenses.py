@@ -10,6 +10,10 @@ license's name, version, terms), all of which have to be matched.  Of templates
 over half of the same words of a text, the one that matches more of its words is kept, then the better
 covered, then the one in fewer words of the text: a notice that adds a word to another's is told from it.
 
+A notice is not reported where one of the three words before it in its sentence denies it ("not released
+under ...", "modified MIT License").  The names of licenses, their SPDX identifiers and abbreviations are
+templates as well, whose words have to stand side by side.
+
 A text is aligned in windows of 1.5 template lengths, half a length apart, so that every
 stretch of one length lies whole in one.  A window is aligned if it holds half the words of the
 template that the coverage asks (a notice spread over two lengths has them in some window: a
@@ -44,6 +48,8 @@ class Template(NamedTuple):
     license: str
     text: str
     deciding: str = ""
+    #: Whether the deciding words have to stand side by side in the text, as the names of licenses do.
+    tight: bool = False
 
 
 # Public license notices.
@@ -95,6 +101,29 @@ _MPL = (
     "You can obtain one at https://mozilla.org/MPL/2.0/."
 )
 _GNU = [("gpl", "GNU General Public License", ("1", "2", "3")), ("lgpl", "GNU Lesser General Public License", ("2.1", "3")), ("lgpl", "GNU Library General Public License", ("2",)), ("agpl", "GNU Affero General Public License", ("3",))]
+_UNLICENSE = (
+    "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute "
+    "this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."
+)
+_ZLIB = (
+    "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+    "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+    "redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+    "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. "
+    "2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+    "3. This notice may not be removed or altered from any source distribution."
+)
+_BSL = (
+    'Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") '
+    "to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software "
+    "is furnished to do so, all subject to the following:"
+)
+_EPL = "This program and the accompanying materials are made available under the terms of the Eclipse Public License {0} which is available at"
+_CC_TERMS = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial", "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+_CC_PORTS = {"3.0": "Unported", "4.0": "International"}
+_SPDX = ("0BSD", "AFL-3.0", "Apache-1.1", "Apache-2.0", "Artistic-2.0", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC0-1.0", "CDDL-1.0", "ECL-2.0", "EPL-1.0", "EPL-2.0", "EUPL-1.2", "ISC", "MIT", "MPL-1.1", "MPL-2.0", "MS-PL", "NCSA", "OFL-1.1", "PostgreSQL", "Unlicense", "WTFPL", "Zlib")
+#: Words that, up to three before a notice in its sentence, say that it does not hold.
+_DENIALS = frozenset(b"not never no non isn't aren't wasn't weren't neither nor without except unlike modified".split())
 # End of fixed values.
 
 
@@ -124,7 +153,33 @@ def _templates() -> list[Template]:
             own = f"{short}-{_numbered(version)}"
             out.append(Template(own, own, f"This work is licensed under the {name}, version {version}.", f"{name}, version {version}"))
             out.append(Template(f"{own}-header", own, _GPL.format(name, version), f"version {version} of the License"))
-    return out
+    return out + _full_texts() + _names()
+
+
+def _full_texts() -> list[Template]:
+    out = [Template("unlicense-text", "unlicense", _UNLICENSE, "free and unencumbered software"), Template("zlib-text", "zlib", _ZLIB, "must not be misrepresented"), Template("bsl-1.0-text", "bsl-1.0", _BSL, "person or organization")]
+    return out + [Template(f"epl-{v}-header", f"epl-{v}", _EPL.format(v), f"Eclipse Public License {v}") for v in ("1.0", "2.0")]
+
+
+def _names() -> list[Template]:
+    """Licenses by name alone, by SPDX identifier and by abbreviation: all words decide, side by side."""
+    named = lambda name, license, text: Template(name, license, text, text, True)
+    out = [named("mit-name", "mit", "MIT License"), named("cc0-name", "cc0-1.0", "CC0 1.0 Universal"), named("mpl-2.0-name", "mpl-2.0", "Mozilla Public License 2.0"), named("bsl-1.0-name", "bsl-1.0", "Boost Software License Version 1.0")]
+    for version in ("1.1", "2.0"):
+        out += [named(f"apache-{version}-{k}", f"apache-{version}", text) for k, text in (("name", f"Apache License {version}"), ("version", f"Apache License Version {version}"))]
+    for terms, name in _CC_TERMS.items():
+        for version, port in _CC_PORTS.items():
+            own = f"cc-{terms.lower()}-{version}"
+            out.append(Template(f"{own}-notice", own, f"This work is licensed under a Creative Commons {name} {version} {port} License.", f"Creative Commons {name} {version} {port} License"))
+            out += [named(f"{own}-{k}", own, text) for k, text in (("name", f"CC {terms} {version}"), ("id", f"CC-{terms}-{version}"))]
+            out.append(named(f"{own}-spdx", own, f"SPDX-License-Identifier: CC-{terms}-{version}"))
+    for short, _, versions in _GNU:
+        for version in versions:
+            own, upper = f"{short}-{_numbered(version)}", short.upper()
+            forms = {"v": f"{upper} v{version}", "joined": f"{upper}v{version}", "id": f"{upper}-{_numbered(version)}", "version": f"{upper} version {version}"}
+            out += [named(f"{own}-{k}", own, text) for k, text in forms.items()]
+            out += [named(f"{own}-spdx{end}", own, f"SPDX-License-Identifier: {upper}-{_numbered(version)}{end}") for end in ("", "-only", "-or-later")]
+    return out + [named(f"{i.lower()}-spdx", i.lower(), f"SPDX-License-Identifier: {i}") for i in _SPDX]
 
 
 TEMPLATES = _templates()
@@ -137,6 +192,11 @@ def words(text: str) -> list[bytes]:
     return [w for w in (x.strip(_EDGE) for x in text.lower().encode().split()) if w]
 
 
+def _ends(text: str) -> list[bool]:
+    """Whether each of the words ends its sentence."""
+    return [x.rstrip(b"\"')]}>*")[-1:] in (b".", b"!", b"?", b";") for x in text.lower().encode().split() if x.strip(_EDGE)]
+
+
 def increasing(ys: list[int]) -> list[int]:
     """Indices of a longest increasing subsequence (patience piles)."""
     tops, at, back = [], [], []
@@ -204,6 +264,9 @@ class Scanner:
                 raise ValueError(f"template {given.name} lacks its deciding words")
             self.decides.append(set(range(at, at + len(phrase))))
             self.must.append(np.unique(ids[at : at + len(phrase)]))
+        # Templates without deciding words have a word that every text has: number 0, of words in no template.
+        held = [m if len(m) else np.zeros(1, np.int64) for m in self.must]
+        self.musts, self.first = np.concatenate(held), np.cumsum([0, *map(len, held)][:-1])
 
     def scan(self, text: str | None):
         """(template, matched words, template words, first word, end word) of every covered window, the best of those over the same words."""
@@ -213,9 +276,10 @@ class Scanner:
         ids = np.fromiter((self.vocabulary.get(w, 0) for w in ws), np.int32, len(ws))
         present = np.zeros(len(self.vocabulary) + 1, bool)
         present[ids] = True
+        present[0] = True
         every: list[tuple[int, Found]] = []
-        for k, (_, t) in enumerate(self.templates):
-            if not present[self.must[k]].all() or np.count_nonzero(present & self.member[k]) < self.coverage * np.count_nonzero(self.member[k]) / 2:
+        for k in np.flatnonzero(np.logical_and.reduceat(present[self.musts], self.first)).tolist():
+            if np.count_nonzero(present & self.member[k]) < self.coverage * np.count_nonzero(self.member[k]) / 2:
                 continue
             hits = np.r_[0, np.cumsum(self.member[k][ids])]
             rest = [(0, len(ws))]
@@ -226,13 +290,27 @@ class Scanner:
                     every += [(k, x) for x in some]
                     edges = [lo, *(e for x in some for e in (x.lo, x.hi)), hi]
                     rest += zip(edges[::2], edges[1::2])
+        if not every:
+            return []
         size = lambda k: len(self.templates[k][1])
         kept: list[tuple[int, Found]] = []
         for k, x in sorted(every, key=lambda y: (-y[1].matched, -y[1].matched / size(y[0]), y[1].hi - y[1].lo, y[1].lo, y[0])):
             if all(2 * len(x.places & y.places) <= min(x.matched, y.matched) for _, y in kept if x.lo < y.hi and y.lo < x.hi):
                 kept.append((k, x))
+        ends = _ends(text)
+        kept = [(k, x) for k, x in kept if not self._denied(ws, ends, x.lo)]
         return [(self.templates[k][0], x.matched, size(k), x.lo, x.hi) for k, x in sorted(kept, key=lambda y: (y[1].lo, y[0]))]
 
+    @staticmethod
+    def _denied(ws: list[bytes], ends: list[bool], lo: int) -> bool:
+        """Whether one of the three words before a notice, in its sentence, denies it."""
+        for i in range(lo - 1, max(lo - 4, -1), -1):
+            if ends[i]:
+                return False
+            if ws[i] in _DENIALS:
+                return True
+        return False
+
     def _covered(self, k: int, ws: list[bytes], ids: np.ndarray, hits: np.ndarray, lo: int, hi: int) -> list[Found]:
         """Covered windows inside ws[lo:hi], ascending and apart."""
         t, count = self.templates[k][1], self.count[k]
@@ -281,12 +359,22 @@ class Scanner:
                     found = [(i, s + j) for i, j in more]
         if not found or not self.decides[k] <= {i for i, _ in found}:
             return None
+        if self.templates[k][0].tight:
+            places = [j for i, j in found if i in self.decides[k]]
+            if places[-1] - places[0] >= len(places):
+                return None
         return Found(len(found), found[0][1], found[-1][1] + 1, frozenset(j for _, j in found))
 
 
 def templates_of(rows: DataFrame) -> list[Template]:
-    """Templates from a table (name, license, text, deciding); a few hundred rows, as each text is held against each."""
-    return [Template(r["name"], r["license"], r["text"], r["deciding"] or "") for r in rows.select("name", "license", "text", "deciding").collect()]
+    """Templates from a table (name, license, text, deciding, and tight where it has that column); a few hundred rows, as each text is held against each."""
+    tight = F.col("tight") if "tight" in rows.columns else F.lit(False)
+    return [Template(r["name"], r["license"], r["text"], r["deciding"] or "", bool(r["tight"])) for r in rows.select("name", "license", "text", "deciding", tight.alias("tight")).collect()]
+
+
+def template_table(spark, templates: list[Template] | None = None) -> DataFrame:
+    """The templates as a table, to be changed and given back by templates_of."""
+    return spark.createDataFrame(TEMPLATES if templates is None else templates, "name string, license string, text string, deciding string, tight boolean")
 
 
 def scan(docs: DataFrame, templates: list[Template] | None = None, coverage: float = COVERAGE) -> DataFrame:

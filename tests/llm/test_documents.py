@@ -247,7 +247,7 @@ def test_siblings_are_told_apart():
     for t in licenses.TEMPLATES:
         assert names(t.text) == names(near + t.text + " And some go after it.") == [t.license], t.name
     wanted = {
-        "Licensed under CC BY 4.0.": ["cc-by-4.0"], "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"], "CC BY-SA 4.0.": [], "Licensed under CC BY-NC 4.0.": ["cc-by-nc-4.0"],
+        "Licensed under CC BY 4.0.": ["cc-by-4.0"], "Licensed under CC BY-SA 4.0.": ["cc-by-sa-4.0"], "CC BY-SA 4.0.": ["cc-by-sa-4.0"], "Licensed under CC BY-NC 4.0.": ["cc-by-nc-4.0"],
         "Released under the BSD License.": ["bsd"], "Released under the Apache License.": [], "released under the terms of the license": [],
         "Licensed under the Apache License, Version 1.1.": ["apache-1.1"], "Licensed under the Apache License, Version 1.1. See 2.0 too.": ["apache-1.1"],
         "This work is licensed under the GNU General Public License, version 2.": ["gpl-2.0"],
@@ -265,6 +265,24 @@ def test_siblings_are_told_apart():
     assert not [x for _ in range(400) for x in names(" ".join(r.choice(plain) for _ in range(12))) if x not in ("mit",)]
 
 
+def test_names_identifiers_and_denials(spark):
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
+    names = lambda text: [x[0].license for x in scanner.scan(text)]
+    wanted = {
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.": ["cc-by-4.0"],
+        "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.": ["cc-by-sa-3.0"],
+        "SPDX-License-Identifier: MIT": ["mit"], "# SPDX-License-Identifier: Apache-2.0": ["apache-2.0"], "// SPDX-License-Identifier: GPL-2.0-or-later": ["gpl-2.0"], "SPDX-License-Identifier: Zlib": ["zlib"],
+        "MIT License": ["mit"], "Licensed under CC-BY-4.0": ["cc-by-4.0"], "GPL v3": ["gpl-3.0"], "GPLv2 applies": ["gpl-2.0"], "LGPL-2.1": ["lgpl-2.1"], "Apache License 2.0": ["apache-2.0"], "Apache License, Version 2.0": ["apache-2.0"], "CC0 1.0 Universal": ["cc0-1.0"],
+        "Licensed under CC BY 3.0 and CC BY 4.0.": ["cc-by-3.0", "cc-by-4.0"],
+        "Not released under the MIT License.": [], "It is not MIT License.": [], "modified MIT License": [], "They did not. Released under the MIT License.": ["mit"], "It is never, ever licensed under CC BY 4.0.": [],
+        "The MIT people have a License": [], "the Apache License was made before 2.0": [], "CC by 4.0 today": ["cc-by-4.0"], "GPL, then v3": [], "SPDX-License-Identifier: Proprietary": [],
+    }
+    for text, want in wanted.items():
+        assert names(text) == want, (text, names(text))
+    assert names(licenses._UNLICENSE) == ["unlicense"] and names(licenses._ZLIB.replace("original", "first")) == ["zlib"] and names("x " * 99 + licenses._BSL) == ["bsl-1.0"]
+    assert licenses.templates_of(licenses.template_table(spark)) == licenses.TEMPLATES and len({t.name for t in licenses.TEMPLATES}) == len(licenses.TEMPLATES) > 150
+
+
 def test_repeated_and_stretched_notices():
     scanner = licenses.Scanner(licenses.TEMPLATES, licenses.COVERAGE)
     spans = lambda text, name: [x[1:] for x in scanner.scan(text) if x[0].name == name]
