@@ -2,22 +2,46 @@
 
 from __future__ import annotations
 
+from . import quality
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_COMMON = ", ".join(f"'{w}'" for w in quality.COMMON)
+
+
+def _repeats(width: int) -> str:
+    """doc_id, n: words in windows of so many that the text has twice or more."""
+    window = " || chr(10) || ".join(f"w[i + {k}]" for k in range(width))
+    return f"""(WITH g AS (SELECT doc_id, i, {window} AS v FROM (SELECT doc_id, w, unnest(range(1, len(w) - {width - 2})) AS i FROM d)),
+  m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, v) AS n FROM g) WHERE n > 1)
+  SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + {width})) AS j FROM m) GROUP BY doc_id)"""
+
+
+_BITS = " + ".join(f"{1 << i} * ({rule})::INT" for i, rule in enumerate(quality.RULES.values()))
+_POLICY = f"(fail_bits & {quality.bits(quality.STRICT)}) = 0"
 OP5 = rf"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, {_WORDS} AS w FROM documents),
-l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d),
-li AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-g AS (SELECT doc_id, i, w[i] || chr(10) || w[i + 1] || chr(10) || w[i + 2] AS tri FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
-m AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, tri) AS n FROM g) WHERE n > 1),
-r AS (SELECT doc_id, count(DISTINCT j) AS n_repeat_words FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS j FROM m) GROUP BY doc_id),
-x AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda v: length(v))), 0)::BIGINT AS word_chars,
-  length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines,
-  len(list_filter(w, lambda v: regexp_matches(v, '[A-Z]') AND NOT regexp_matches(v, '[a-z]'))) AS n_upper_words
-  FROM d LEFT JOIN li USING (doc_id) LEFT JOIN r USING (doc_id)),
-b AS (SELECT *, ((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (10 * n_symbols > n_words)::INT
-  + 8 * (word_chars < 3 * n_words OR word_chars > 10 * n_words)::INT + 16 * (10 * n_dup_lines > 6 * n_lines)::INT + 32 * (2 * n_upper_words > n_words)::INT)::INT AS fail_bits FROM x)
-SELECT *, (fail_bits & 3) <> 0 AS base_failed, fail_bits = 0 AS kept FROM b
+l AS (SELECT doc_id, line, regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g') AS bare, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, unnest(string_split(t, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+li AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines, count(*) FILTER (n < 3) AS n_short_lines, count(*) FILTER (bare[1] IN ('-', '*', '•')) AS n_bullet_lines,
+  count(*) FILTER (suffix(bare, '...') OR suffix(bare, '…')) AS n_ellipsis_lines, count(*) FILTER (bare[-1] IN ('.', '!', '?', '"')) AS n_ended_lines FROM l GROUP BY doc_id),
+lr AS (SELECT doc_id, sum((k - 1) * strlen(line))::BIGINT AS dup_line_bytes FROM (SELECT doc_id, line, count(*) AS k FROM l GROUP BY 1, 2) GROUP BY doc_id),
+u AS (SELECT doc_id, v, count(*) AS k FROM (SELECT doc_id, unnest(w) AS v FROM d) GROUP BY 1, 2),
+wo AS (SELECT doc_id, sum(k * length(v)) AS word_chars, sum(k) FILTER (regexp_matches(v, '[A-Z]') AND NOT regexp_matches(v, '[a-z]')) AS n_upper_words,
+  sum(k) FILTER (regexp_matches(v, '[A-Za-z]|[^\x00-\x7F]')) AS n_letter_words, sum(k) FILTER (regexp_full_match(v, '[0-9]+')) AS n_number_words, sum(k) FILTER (length(v) = 1) AS n_single_words,
+  max(strlen(v)) AS longest_word, sum(k) FILTER (prefix(v, 'http://') OR prefix(v, 'https://') OR prefix(v, 'www.')) AS n_link_words,
+  sum(k) FILTER (trim({_LOWER.format("v")}, '.,;:!?') IN ({_COMMON})) AS n_common_words, max(k) AS n_top_word, count(*) AS n_distinct_words FROM u GROUP BY doc_id),
+x AS (SELECT doc_id, len(w) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+  coalesce(r3.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, coalesce(n_upper_words, 0)::BIGINT AS n_upper_words, coalesce(n_letter_words, 0)::BIGINT AS n_letter_words,
+  coalesce(n_number_words, 0)::BIGINT AS n_number_words, coalesce(n_single_words, 0)::BIGINT AS n_single_words, coalesce(longest_word, 0)::BIGINT AS longest_word, coalesce(n_link_words, 0)::BIGINT AS n_link_words,
+  length(regexp_replace(t, '[^{{}}]', '', 'g')) AS n_braces, coalesce(n_common_words, 0)::BIGINT AS n_common_words, coalesce(n_top_word, 0)::BIGINT AS n_top_word, coalesce(n_distinct_words, 0)::BIGINT AS n_distinct_words,
+  coalesce(n_short_lines, 0) AS n_short_lines, coalesce(n_bullet_lines, 0) AS n_bullet_lines, coalesce(n_ellipsis_lines, 0) AS n_ellipsis_lines, coalesce(n_ended_lines, 0) AS n_ended_lines,
+  coalesce(dup_line_bytes, 0) AS dup_line_bytes, strlen(t)::BIGINT AS text_bytes, coalesce(r5.n, 0) AS n_repeat_fives,
+  ((strlen(t) - strlen(replace({_LOWER.format("t")}, '{quality.FILLER}', ''))) // {len(quality.FILLER)})::BIGINT AS n_fillers
+  FROM d LEFT JOIN li USING (doc_id) LEFT JOIN lr USING (doc_id) LEFT JOIN wo USING (doc_id) LEFT JOIN {_repeats(3)} r3 USING (doc_id) LEFT JOIN {_repeats(5)} r5 USING (doc_id)),
+b AS (SELECT *, ({_BITS})::INT AS fail_bits FROM x)
+SELECT *, (fail_bits & 3) <> 0 AS base_failed, {_POLICY} AS kept FROM b
 """
 
 #: Bytes as hex digits, two each, in pieces of 300 places: every string of 50 with the least document that has it, then islands of covered bytes and the gaps between them.
@@ -36,12 +60,17 @@ SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coales
 FROM p
 """
 
-_RULES = ("few_words", "repeated_words", "symbols", "word_length", "repeated_lines", "shouting")
-ABLATION = f"""
-WITH led AS ({OP5}), r AS (SELECT unnest({list(_RULES)}) AS rule, unnest([1, 2, 4, 8, 16, 32]) AS bit)
-SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits = bit) AS n_failed_alone, count(*) FILTER (fail_bits = 0) AS n_kept FROM led, r GROUP BY rule
+def _ablation(policy: str) -> str:
+    names = [n for n in quality.RULES if n in quality.POLICIES[policy]]
+    mask = quality.bits(names)
+    return f"""
+WITH led AS ({OP5}), r AS (SELECT unnest({names}) AS rule, unnest({[quality.bits([n]) for n in names]}) AS bit)
+SELECT rule, count(*) FILTER (fail_bits & bit <> 0) AS n_failed, count(*) FILTER (fail_bits & {mask} = bit) AS n_failed_alone, count(*) FILTER (fail_bits & {mask} = 0) AS n_kept FROM led, r GROUP BY rule
 """
 
+
+ABLATION, WEB_ABLATION = _ablation("strict-1"), _ablation("web-1")
+
 _U = "((('0x' || substr(md5(doc_id::VARCHAR || '|' || {path}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
 
 
@@ -151,4 +180,4 @@ SELECT doc_id, leaf, s.node AS subroot, r.node AS root, sha256(siblings) AS proo
 FROM walk w JOIN s ON s.g = w.own, (SELECT node FROM top WHERE size = 1) r WHERE w.g = 'top' AND w.size = 1
 """
 
-ORACLES: dict[str, str] = {"op4_suffix_dedup": OP4, "op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}
+ORACLES: dict[str, str] = {"op4_suffix_dedup": OP4, "op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "web_ablation": WEB_ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}

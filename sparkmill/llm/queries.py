@@ -45,6 +45,11 @@ def ledger_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.ablation(quality.stored_ledger(table(spark, sf_dir, "documents").select("doc_id", "text")), "strict-1")
 
 
+def web_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every rule of the library."""
+    return quality.ablation(quality.stored_ledger(table(spark, sf_dir, "documents").select("doc_id", "text")), "web-1")
+
+
 def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_pairs(table(spark, sf_dir, "documents"))
 
@@ -115,7 +120,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of", "op12_of", "op13_of")}
-    return named | {"ledger_ablation": ledger_ablation}
+    return named | {"ledger_ablation": ledger_ablation, "web_ablation": web_ablation}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -4,6 +4,7 @@ import zlib
 from itertools import combinations
 
 import duckdb
+import pyarrow as pa
 import pytest
 from brute import rules
 from pyspark.sql import functions as F
@@ -38,7 +39,37 @@ def test_rules(spark, odd, none):
     for r in quality.ablation(led, "strict-1").collect():
         bit = quality.bits([r["rule"]])
         assert r["n_failed"] == led.where(F.col("fail_bits").bitwiseAND(bit) != 0).count()
-        assert r["n_failed_alone"] == led.where(F.col("fail_bits") == bit).count() and r["n_kept"] == kept
+        assert r["n_failed_alone"] == led.where(F.col("fail_bits").bitwiseAND(quality.bits(quality.STRICT)) == bit).count() and r["n_kept"] == kept
+    first = quality.ledger(docs, first=True)
+    assert sorted(map(repr, first.collect())) == sorted(map(repr, led.select("doc_id", *quality.MEASURES[: quality.FIRST], F.col("fail_bits").bitwiseAND(quality.bits(quality.STRICT)).alias("fail_bits")).collect()))
+
+
+RULE_TEXTS = {
+    "few_letters": "12 34 --- 5 6 7 8 9 word %" * 9, "numbers": "1 22 333 a word here " * 20, "single_letters": "a b c d e word " * 12, "long_word": "x" * 1001 + " and the rest of it " * 12, "links": "http://a.b www.c and some more words of it " * 9,
+    "braces": "if (a) { b } else { c } " * 12, "no_common_words": "xylophone quartz vivid jumps " * 20, "one_word": "spam eggs spam spam ham " * 15, "few_distinct": "one two three four " * 20, "short_lines": "a b\n" * 9,
+    "bullets": "- a point of it\n* another\n  • third one\n" * 5, "ellipses": "and so on...\nthen more…\nend of it. \n" * 6, "no_sentence_ends": "a line without an end\n" * 6, "repeated_line_text": "the same long line comes again\n" * 4 + "once", "repeated_fives": "one two three four five six " * 3 + "seven", "filler": "Some Lorem IPSUM dolor",
+    "many_words": "w " * 100_001,
+}
+
+
+@pytest.mark.parametrize("name", sorted(RULE_TEXTS))
+def test_every_rule_has_a_text_that_fails_it(name):
+    plain = "The house stands on a hill, and the river runs to the sea below it.\nIn spring the grass of its garden is green with rain. Who would not walk there?"
+    fails = lambda text: {n for n, rule in quality.RULES.items() if eval(rule.replace(" = ", " == "), {}, dict(zip(quality.MEASURES, quality.measure(text))))}
+    assert name in fails(RULE_TEXTS[name]) and fails(plain) == {"few_words"} and set(RULE_TEXTS) == set(quality.RULES) - set(quality.STRICT)
+
+
+def test_rules_in_sql(spark):
+    rows = [(i, t) for i, t in enumerate([*RULE_TEXTS.values(), None, "", " \n\t", "é\n É.\nFür DIE \x0b...\n", "a\r\nb\r\n a", "{}{ • •x http:// HTTP://x 9 99. — « “"])]
+    con = duckdb.connect()
+    con.register("documents", pa.table({"doc_id": [i for i, _ in rows], "text": pa.array([t for _, t in rows], pa.string())}))
+    cols = ["doc_id", *quality.MEASURES, "fail_bits"]
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({oracles.OP5})").fetchall()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, quality.ledger(docs).select(cols).collect())) == sorted(want)
+    patterns = quality.ablation(quality.stored_ledger(docs), "web-1")
+    names = {n: i for i, n in enumerate(quality.RULES)}
+    assert {r["rule"]: r["n_failed"] for r in patterns.collect()} == {n: sum(w[-1] >> i & 1 for w in want) for n, i in names.items()}
 
 
 def test_rules_agree_with_labels(spark):
