@@ -45,7 +45,7 @@ def test_a_tree_finds_the_images_of_a_scene(scenes):
 
 
 def test_a_fit_does_not_depend_on_partitions(spark, scenes):
-    first, second = (retrieval.fit_tree(df, 4, 2, 5) for df in (scenes, scenes.repartition(7)))
+    first, second = (retrieval.fit_tree(df, 4, 2, 3) for df in (scenes, scenes.repartition(7)))
     assert all(np.array_equal(a, b) for a, b in zip(first.centres, second.centres))
     assert retrieval.fit_tree(scenes.limit(0)).centres == []
     few = retrieval.fit_tree(scenes.where("vec_id in (0, 100)"), 4, 2)
