@@ -180,4 +180,9 @@ SELECT doc_id, leaf, s.node AS subroot, r.node AS root, sha256(siblings) AS proo
 FROM walk w JOIN s ON s.g = w.own, (SELECT node FROM top WHERE size = 1) r WHERE w.g = 'top' AND w.size = 1
 """
 
-ORACLES: dict[str, str] = {"op4_suffix_dedup": OP4, "op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "web_ablation": WEB_ABLATION, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}
+EDITED = """
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, ''))::BIGINT AS n, coalesce(lead(coalesce(text, '')) OVER (ORDER BY doc_id DESC), first(coalesce(text, '')) OVER (ORDER BY doc_id DESC)) AS next FROM documents)
+SELECT doc_id, n AS n_chars, sha256(substr(t, 1, n - n // 3) || substr(next, 1, n // 3)) AS edited_sha256 FROM d
+"""
+
+ORACLES: dict[str, str] = {"op4_suffix_dedup": OP4, "op5_rule_ledger": OP5, "ledger_ablation": ABLATION, "web_ablation": WEB_ABLATION, "edited_texts": EDITED, "op7_golden_mix": OP7, "op9_hash_tree": OP9, "op10_toccurrence_join": OP10, "op11_periodic_runs": OP11, "op13_merkle_manifest": OP13}

@@ -54,6 +54,11 @@ def op6_scaled_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sketch.edited_pairs(table(spark, sf_dir, "documents"))
 
 
+def edited_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What op6 compares, without its sketches: the length of every text and the digest of its edited text."""
+    return sketch.edited_texts(table(spark, sf_dir, "documents")).select("doc_id", "n_chars", "edited_sha256")
+
+
 def op7_golden_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.taken_words(table(spark, sf_dir, "documents"))
 
@@ -120,7 +125,7 @@ def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     named = {name: f for name, f in sorted(globals().items()) if name.startswith("op") and name[2].isdigit() and name not in ("op1_sections", "op11_texts", "op11_of", "op12_of", "op13_of")}
-    return named | {"ledger_ablation": ledger_ablation, "web_ablation": web_ablation}
+    return named | {"ledger_ablation": ledger_ablation, "web_ablation": web_ablation, "edited_texts": edited_texts}
 
 
 def oracle_sql() -> dict[str, str]:

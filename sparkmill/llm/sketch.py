@@ -91,13 +91,18 @@ def with_next(docs: DataFrame, sketched: bool = False) -> DataFrame:
     return placed.select(*cols, "guest", *nexts).where("guest = 0").drop("guest")
 
 
+def edited_texts(docs: DataFrame, sketched: bool = False) -> DataFrame:
+    """with_next's rows with n_chars, edited (the last third of the text replaced by the beginning of the next) and edited_sha256."""
+    n, m = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
+    p = with_next(docs, sketched).withColumn("edited", F.concat(F.col("text").substr(F.lit(1), n - m), F.col("next_text").substr(F.lit(1), m)))
+    return p.withColumns({"n_chars": n.cast("long"), "edited_sha256": F.sha2("edited", 256)})
+
+
 def edited_pairs(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    n, m = F.char_length("text"), F.floor(F.char_length("text") / 3).cast("int")
-    p = with_next(docs, True).withColumn("edited", F.concat(F.col("text").substr(F.lit(1), n - m), F.col("next_text").substr(F.lit(1), m)))
-    p = p.withColumn("edited_sketch", sketch(F.col("edited")))
+    p = edited_texts(docs, True).withColumn("edited_sketch", sketch(F.col("edited")))
     return p.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        "doc_id", "n_chars", "edited_sha256",
         fingerprint(F.col("text"), F.col("sketch")).alias("fingerprint"), fingerprint(F.col("edited"), F.col("edited_sketch")).alias("edited_fingerprint"),
         likeness(F.col("text"), F.col("sketch"), F.col("edited"), F.col("edited_sketch")).alias("near_edited"),
         likeness(F.col("text"), F.col("sketch"), F.col("next_text"), F.col("next_sketch")).alias("near_next"),

@@ -352,3 +352,11 @@ def test_alignment_is_monotone_and_equal():
             for j in range(12):
                 longest[i + 1][j + 1] = longest[i][j] + 1 if a[i] == b[j] else max(longest[i][j + 1], longest[i + 1][j])
         assert len(licenses.align(a, b)) == longest[12][12]
+
+
+def test_edited_texts_in_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/sf0.001/documents.parquet'")
+    got = queries.edited_texts(spark, f"{DATA}/sf0.001").collect()
+    assert sorted(map(tuple, got)) == sorted(con.execute(oracles.EDITED).fetchall())
+    assert {(r["doc_id"], r["edited_sha256"]) for r in got} == {(r["doc_id"], r["edited_sha256"]) for r in queries.op6_scaled_sketch(spark, f"{DATA}/sf0.001").collect()}
