@@ -313,6 +313,8 @@ _MEETS = "array<struct<g1:bigint,c:int,i:int,d:int,j:int>>"
 _PLACED = ["rep", "label", "class", "i", "own", "above", "below"]
 #: A place in a broadcast: 64 bytes, and as many for its share of the hash table.
 PLACED_BYTES = 128
+#: A group's size in a broadcast, with its share of the hash table.
+GROUP_BYTES = 96
 _SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
 _FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
 
@@ -414,8 +416,8 @@ def _linked_sets(docs: DataFrame, words: int, percent: int, postings: int, every
     groups = heads.join(of, "head", "left").select("node", F.coalesce("component", "head").alias("label")).distinct()
     members = classes.withColumn("node", F.col("c").bitwiseAND(F.lit(_NODE))).join(groups, "node").select("rep", "n", "label").distinct()
     members = materialize(members, "members")
-    count = members.groupBy("label").agg(F.count("*").alias("g"), F.sum("n").alias("all")).where("g > 1")
-    placed = members.join(count, "label")
+    count = materialize(members.groupBy("label").agg(F.count("*").alias("g"), F.sum("n").alias("all")).where("g > 1"), "groups")
+    placed = members.join(sized(count, GROUP_BYTES), "label")  # by broadcast, where it fits: a hot group's members stay where they are
     edges = F.array(*(F.lit(e) for e in _classes(percent, 1 << 40)))
     large = placed.where(F.col("all") > postings).withColumn("class", F.size(F.filter(edges, lambda e: e <= F.col("n"))))
     blocks = large.groupBy("label", "class").agg(F.ceil(F.sum("n") / (postings / 2)).cast("int").alias("m"))
