@@ -44,8 +44,8 @@ MEMO_BYTES = 24 << 20
 _ENTRY = 240
 #: Longer pieces are not remembered.
 LONG = 100
-#: Pieces in work at once.
-PIECES = 1 << 18
+#: Pieces in work at once: those of a slice of 2 MB (streams.SLICE), so that a slice looks up each different piece once.
+PIECES = 1 << 19
 
 # Settings of tokenizer files for which the cuts hold.
 _BYTE_SETTINGS = (None, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True})
