@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import operators
-from ..operators import ann, retrieval
+from ..operators import ann, crosscheck, retrieval
 from ..sources import table
 
 
@@ -39,8 +39,7 @@ def view_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mutual_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = operators.descriptors(table(spark, sf_dir, "embeddings"))
-    return operators.mutual(rows, operators.nearest(rows, 1))
+    return crosscheck.mutual_pairs(operators.descriptors(table(spark, sf_dir, "embeddings")))
 
 
 def tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,7 +116,7 @@ _MUTUAL = f"""{_ROWS}, pairs AS (SELECT a.vec_id AS q, a.label AS ql, b.vec_id A
   FROM rows_ a JOIN rows_ b ON a.label <> b.label),
  best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q, cl ORDER BY d2, c) AS r FROM pairs) WHERE r = 1),
  mutual AS (SELECT DISTINCT least(x.q, x.c) AS a, greatest(x.q, x.c) AS b, CASE WHEN x.q < x.c THEN x.ql ELSE x.cl END AS la, CASE WHEN x.q < x.c THEN x.cl ELSE x.ql END AS lb, x.d2
-  FROM best x JOIN best y ON x.q = y.c AND x.c = y.q WHERE x.q % 20 = 0)"""
+  FROM best x JOIN best y ON x.q = y.c AND x.c = y.q)"""
 _TRACKS = f"""{_MUTUAL}, e AS (SELECT a, b FROM mutual UNION SELECT b, a FROM mutual), t AS (SELECT a AS v, a AS m FROM e UNION SELECT e.b, t.m FROM t JOIN e ON e.a = t.v),
  tracks AS (SELECT v AS vec_id, min(m) AS track_id FROM t GROUP BY v)"""
 
