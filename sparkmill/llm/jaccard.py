@@ -8,13 +8,16 @@
    hashes, of which two linked sets share one).  Sets that have a signature in common make up the group of its
    head, the least of them; a set is in the groups of all its heads, so every pair of linked sets is in a group
    together, and sets that only share a passage with one of a group stay out of it.  Copies are one set before that.
-2. Search.  Only documents of candidate groups have their whole shingle sets shuffled, one
-   per distinct set.  Inside a group each document asks which earlier ones reach the
+2. Parities.  In these groups sets are compared by their parities first: a bit for every one or two shingles, whether an odd
+   number of them fall on it.  Two sets differ in at least as many shingles as bits, so no linked pair is lost, while sets that
+   share a piece by chance differ in far too many.  The components of the pairs that remain are the groups of the search.
+3. Search.  Only documents of these groups have their whole shingle sets shuffled, one
+   per distinct set, once unless its group is cut.  Inside a group each document asks which earlier ones reach the
    overlap T: its longest inverted lists are set aside (DivideSkip; T - 1 of them, size by size, where the others are long as well), the heads of the short ones are
    merged, least head first, skipping ahead where too few agree, for documents that occur often enough to
    reach T with the long lists' help, and those are probed in the long lists by binary search.  The merges
    of many documents run side by side, their heads in one array.
-3. Components of the links found.
+4. Components of the links found.
 
 Skew: copies collapse to one set; signatures are made distinct in every task before the
 shuffle; a group of more than POSTINGS shingles is cut into blocks, by its work, and every two blocks meet in a task
@@ -55,6 +58,10 @@ SPREAD = 4
 FLUSH = 1 << 19
 #: Sets with one signature among FLUSH signatures, above which one of them stands for all.
 HOT = 64
+#: Sets whose parities are compared in one task; the sets of a larger group are dealt to blocks, of which every two meet.
+TOGETHER = 1 << 13
+#: Words of parities that are compared at a time.
+COMPARED = 1 << 20
 #: Sets go by so many bits of their hashes when they are grouped; two sets of one name are only compared more often.
 _NODE = (1 << 48) - 1
 
@@ -127,6 +134,59 @@ def signatures(s: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return np.concatenate(out)
 
 
+def _parity_bytes(n: int) -> int:
+    """The bytes of a set's parities: 1 to 2 bits a shingle, whole words of 64."""
+    return max(64, 1 << (n - 1).bit_length()) // 8 if n else 0
+
+
+def parities(s: np.ndarray) -> bytes:
+    """For each value of the low bits of a shingle, whether an odd number of the set's have it.  Of two sets no more of them differ than shingles."""
+    bits = 8 * _parity_bytes(len(s))
+    count = np.bincount((s & _U(bits - 1)).astype(np.int64), minlength=bits) if bits else np.zeros(0, np.int64)
+    return np.packbits((count & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+def plausible(n: np.ndarray, bits: list[bytes], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Pairs that span the components of the graph of sets that may be linked, by their sizes (ascending) and parities."""
+    of, pairs = np.arange(len(n)), []
+    width = np.array([len(b) // 8 for b in bits])
+    level = np.flatnonzero(np.r_[True, width[1:] != width[:-1], True]).tolist()
+    for lo, hi in zip(level, level[1:]):
+        end = int(np.searchsorted(n, 100 * n[hi - 1] // percent, "right"))
+        words = [_words(bits[max(a, lo) : min(b, end)], int(width[lo])) for a, b in zip(level, level[1:]) if a >= lo and a < end]
+        words = np.concatenate(words)
+        step = max(1, COMPARED // words.size)
+        for a in range(lo, hi, step):
+            b = min(a + step, hi)
+            z = int(np.searchsorted(n, 100 * n[b - 1] // percent, "right"))
+            differ = np.bitwise_count(words[a - lo : b - lo, None] ^ words[None, a - lo : z - lo]).sum(axis=2, dtype=np.int32)
+            both = n[a:b, None] + n[None, a:z]
+            need = _required(n[a:b, None], n[None, a:z], percent)
+            near = (differ <= both - 2 * need) & (need <= np.minimum(n[a:b, None], n[None, a:z]))
+            x, y = np.nonzero(np.triu(near, 1))
+            edge = np.flatnonzero(np.r_[True, x[1:] != x[:-1], True]) if len(x) else []
+            for i, j in zip(edge, edge[1:]):
+                own = a + x[i]
+                ys = a + y[i:j]
+                ys = ys[of[ys] != of[own]]
+                if len(ys):
+                    others, first = np.unique(of[ys], return_index=True)
+                    pairs += [(int(own), int(k)) for k in ys[first]]
+                    of[np.isin(of, others)] = of[own]
+            if len(x) and (of == of[0]).all():
+                return pairs
+    return pairs
+
+
+def _words(bits: list[bytes], width: int) -> np.ndarray:
+    """A row of `width` words for each of parities that are as long or longer; halves of longer ones are added up."""
+    words = np.frombuffer(b"".join(bits), np.uint64).reshape(len(bits), -1)
+    while words.shape[1] > width:
+        half = words.shape[1] // 2
+        words = words[:, :half] ^ words[:, half:]
+    return words
+
+
 class _Lists:
     """Inverted lists over sets in ascending order of size: the documents that have a token, ascending."""
 
@@ -316,22 +376,24 @@ PLACED_BYTES = 128
 #: A group's size in a broadcast, with its share of the hash table.
 GROUP_BYTES = 96
 _SENT = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary())])
-_FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64())])
+_FOUND = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("bits", pa.binary())])
 
 
 def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """(kind, a, b, c, d): kind 1 sets and the head of a signature they have (a, b), by 48 bits of their
+    """(kind, a, b, c, d, bits): kind 1 sets and the head of a signature they have (a, b), by 48 bits of their
     hashes; kind 5 pairs (a, b) of which either stands for all that the other does; kind 2 documents (id, set
-    size, 128-bit set hash); kind 3 documents without an id (0, set size).  Materialized."""
+    size, 128-bit set hash, parities); kind 3 documents without an id (0, set size).  Materialized."""
     buckets, most = SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), HOT
 
     def send(batches):
         sigs, nodes, held, turn, seen = [], [], 0, 0, set()
         for batch in slices(batches, "text"):
-            info = []
+            info, bits = [], []
             for i, s in zip(batch.column(0).to_pylist(), shingle_sets(batch.column(1), words)):
                 check = [np.add.reduce(mix(s + p)) if len(s) else _U(0) for p in _PLACE[:2]]
                 info.append((i, len(s), *(int(x.astype(np.int64)) for x in check)))
+                if i is not None:
+                    bits.append(parities(s))
                 if i is not None and len(s) and info[-1][1:] not in seen:
                     seen.add(info[-1][1:])
                     found = signatures(s, percent)
@@ -340,7 +402,7 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
                     held += len(found)
             turn += 1
             known = [np.array([x[k] for x in info if x[0] is not None], np.int64) for k in range(4)]
-            rows = [(turn * 7919 % buckets, 2, np.concatenate(known).tobytes(), b"")] if len(known[0]) else []
+            rows = [(turn * 7919 % buckets, 2, np.concatenate(known).tobytes(), b"".join(bits))] if len(known[0]) else []
             nulls = [x[1] for x in info if x[0] is None]
             if nulls:
                 rows.append((turn * 7919 % buckets, 3, np.array(nulls, np.int64).tobytes(), b""))
@@ -371,12 +433,15 @@ def candidates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> D
         out += [(3, np.stack([np.zeros(len(a) // 8, np.int64), ints(a)])) for k, a, b in rows if k == 3]
         cols = [np.concatenate([np.full(x.shape[1], k, np.int32) for k, x in out])]
         cols += [np.concatenate([x[c] if c < len(x) else np.zeros(x.shape[1], np.int64) for _, x in out]) for c in range(4)]
+        held = np.where(cols[0] == 2, [_parity_bytes(n) for n in cols[2].tolist()], 0)  # in the order of the documents
+        ends = np.r_[0, np.cumsum(held)].astype(np.int32)
+        bits = pa.Array.from_buffers(pa.binary(), len(held), [None, pa.py_buffer(ends), pa.py_buffer(b"".join(b for k, _, b in rows if k == 2))])
         release(2)
-        return pa.Table.from_arrays([pa.array(c) for c in cols], schema=_FOUND)
+        return pa.Table.from_arrays([*(pa.array(c) for c in cols), bits], schema=_FOUND)
 
     ddl = "bucket int, kind int, a binary, b binary"
     sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(send, ddl)
-    return materialize(sent.groupBy("bucket").applyInArrow(meet, "kind int, a long, b long, c long, d long"), "signatures")
+    return materialize(sent.groupBy("bucket").applyInArrow(meet, "kind int, a long, b long, c long, d long, bits binary"), "signatures")
 
 
 def _meets(bins: int):
@@ -400,6 +465,38 @@ def _documents(found: DataFrame) -> DataFrame:
     return found.where("kind = 2").select(F.col("a").alias("doc_id"), F.col("b").alias("n"), "c", "d")
 
 
+def _plausible_pairs(sharing: DataFrame, percent: int, bins: int) -> DataFrame:
+    """(a, b): pairs of sets of one group (rep, n, label, bits; materialized) that may be linked, as many as span them.
+
+    Small groups go to a task by the bin; a group of more than TOGETHER sets is dealt to blocks, of which every two meet.
+    """
+    large = sharing.groupBy("label").agg(F.count("*").alias("g")).where(F.col("g") > TOGETHER)
+    large = materialize(large.select("label", F.ceil(F.col("g") / TOGETHER).cast("int").alias("blocks")), "large-groups")
+    cut = sharing.join(sized(large, GROUP_BYTES), "label", "left")
+    own = F.pmod(F.xxhash64("rep", "n"), F.col("blocks")).cast("int")
+    other = F.when(F.col("blocks").isNull(), F.array(F.lit(-1))).otherwise(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: k != own))
+    cells = cut.select("rep", "n", "label", "bits", F.coalesce(own, F.lit(-1)).alias("own"), F.explode(other).alias("k"))
+    cells = cells.select("rep", "n", "label", "bits", F.least("own", "k").alias("i"), F.greatest("own", "k").alias("j"))
+    cells = cells.withColumn("bin", F.pmod(F.xxhash64("label", "i", "j"), F.lit(bins)))
+
+    def compare(table):
+        label, i, j, rep, n = (table.column(c).to_numpy() for c in ("label", "i", "j", "rep", "n"))
+        bits = table.column("bits").to_pylist()
+        order = np.lexsort((n, j, i, label))
+        place = np.stack([label, i, j])[:, order]
+        edge = np.flatnonzero(np.r_[True, (place[:, 1:] != place[:, :-1]).any(axis=0), True]).tolist()
+        out = [np.zeros((2, 0), np.int64)]
+        for lo, hi in zip(edge, edge[1:]):
+            own = order[lo:hi]
+            pairs = plausible(n[own], [bits[k] for k in own.tolist()], percent)
+            out.append(rep[own[np.array(pairs, np.int64).reshape(-1, 2).T]])
+        a, b = np.concatenate(out, axis=1)
+        release(2)
+        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    return cells.groupBy("bin").applyInArrow(compare, "a long, b long")
+
+
 def _linked_sets(docs: DataFrame, words: int, percent: int, postings: int, every: bool):
     """Signatures and documents as candidates gives them, the distinct sets (n, c, d, rep), and links (a, b) between their reps."""
     spark = docs.sparkSession
@@ -407,14 +504,17 @@ def _linked_sets(docs: DataFrame, words: int, percent: int, postings: int, every
     found = candidates(docs, words, percent)
     info = _documents(found)
     # One representative per distinct set, the least id: grouped with partial minima.
-    classes = materialize(info.where("n > 0").groupBy("n", "c", "d").agg(F.min("doc_id").alias("rep")), "classes")
+    same_set = found.where("kind = 2 and b > 0").groupBy(F.col("b").alias("n"), "c", "d")
+    classes = materialize(same_set.agg(F.min("a").alias("rep"), F.first("bits").alias("bits")), "classes")
     # A group per head; those of sets that stand for one another are one.
     same = components(found.where("kind = 5").select("a", "b"))
     heads = found.where("kind = 1").select(F.col("a").alias("node"), F.col("b").alias("head")).distinct()
     heads = heads.unionByName(heads.select(F.col("head").alias("node"), "head").distinct()).unionByName(same.select("node", F.col("node").alias("head")))
     of = same.select(F.col("node").alias("head"), "component")
     groups = heads.join(of, "head", "left").select("node", F.coalesce("component", "head").alias("label")).distinct()
-    members = classes.withColumn("node", F.col("c").bitwiseAND(F.lit(_NODE))).join(groups, "node").select("rep", "n", "label").distinct()
+    sharing = classes.withColumn("node", F.col("c").bitwiseAND(F.lit(_NODE))).join(groups, "node").select("rep", "n", "label", "bits")
+    near = components(_plausible_pairs(materialize(sharing, "sharing"), percent, bins))
+    members = classes.join(near, classes["rep"] == near["node"]).select("rep", "n", F.col("component").alias("label")).distinct()
     members = materialize(members, "members")
     count = materialize(members.groupBy("label").agg(F.count("*").alias("g"), F.sum("n").alias("all")).where("g > 1"), "groups")
     placed = members.join(sized(count, GROUP_BYTES), "label")  # by broadcast, where it fits: a hot group's members stay where they are
