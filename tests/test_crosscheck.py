@@ -60,6 +60,7 @@ def _sql(path, name):
 #: What two pairs of ids that 20 does not divide give.
 OF_TWO_PAIRS = {
     "mutual_matches": [(1, 2, 0, 1), (3, 41, 0, 1)],
+    "tracks": [(1, 1), (2, 1), (3, 3), (41, 3)],
     "track_stats": [(2, 2, 0)],
     "consistent_tracks": [(1, 2), (3, 2)],
 }
